@@ -3,5 +3,8 @@
 from tablecraft.plans import (  # noqa: F401
     basics,
     history,
+    regression,
+    scalars,
+    windows,
 )
 from tablecraft.plans.registry import ORACLES, QUERIES  # noqa: F401
