@@ -81,14 +81,14 @@ def cents(col: Column) -> Column:
 
 
 def avg_money(total: Column, n: Column) -> Column:
-    """Average rounded half up to cents through integers, NULL for no rows.
+    """Average rounded half away from zero to cents, NULL for no rows.
 
-    ``total`` is a DECIMAL with two digits; negative totals round away from 0.
+    ``total`` is a DECIMAL with two digits; whole-number division keeps it exact
+    for any number of rows.
     """
     whole = (total * 100).cast("decimal(30,0)")
     size = n.cast("decimal(18,0)")
-    # 2|s|+n over 2n, whole part only
-    half_up = F.floor(((F.abs(whole) * 2 + size) / (size * 2)).cast("decimal(38,6)"))
+    half_up = F.call_function("div", F.abs(whole) * 2 + size, size * 2)
     signed = F.when(whole < 0, -half_up).otherwise(half_up)
     return F.when(n > 0, (signed.cast("double") / 100.0))
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.functions.scalars import calendar_parts, ts
+from tablecraft.functions.scalars import avg_money, calendar_parts, ts
 from tablecraft.operators.scd import scd2_init
 from tablecraft.operators.windows import Ordered, assign_sk, ordered
 
@@ -138,9 +138,10 @@ def daily_snapshot(
         closing.alias("balance_closing"),
         F.least(opening, F.coalesce("_low", opening)).cast(money).alias("balance_minimum"),
         F.greatest(opening, F.coalesce("_high", opening)).cast(money).alias("balance_maximum"),
-        ((opening + F.coalesce("_sum_after", zero)) / (F.coalesce("_count", F.lit(0)) + 1)).alias(
-            "balance_average"
-        ),
+        avg_money(
+            (opening + F.coalesce("_sum_after", zero)).cast("decimal(30,2)"),
+            F.coalesce("_count", F.lit(0)) + 1,
+        ).alias("balance_average"),
         F.coalesce("_count", F.lit(0)).cast("long").alias("transaction_count"),
         F.coalesce("_n_credit", F.lit(0)).cast("long").alias("credit_count"),
         F.coalesce("_n_debit", F.lit(0)).cast("long").alias("debit_count"),

@@ -2,9 +2,12 @@
 
 from tablecraft.plans import (  # noqa: F401
     basics,
+    checks,
     history,
     regression,
     scalars,
+    stars,
+    vaults,
     windows,
 )
 from tablecraft.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -15,7 +15,7 @@ THRESHOLDS_A = [(1_750_000, "Premium"), (1_300_000, "High Value"), (600_000, "St
 THRESHOLDS_B = [(1_750_000, "Premium"), (1_400_000, "High Value"), (600_000, "Standard")]
 
 
-def flow(spark, d, thresholds):
+def flow(spark, d, thresholds, store=()):
     """order_totals, customer_metrics and final over orders, line items and customers."""
     orders = exclude_values(
         read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]),
@@ -48,7 +48,8 @@ def flow(spark, d, thresholds):
             )
             .drop("o_custkey")
             .withColumn("customer_segment", band(F.col("total_amount"), thresholds, "Low Value")),
-        }
+        },
+        store=store,
     )
 
 
@@ -250,21 +251,26 @@ def key_coverage(spark, d):
     )
 
 
+def _days_sql(kind: str) -> str:
+    return f"""SELECT DISTINCT 'day_' || strftime(ts, '%Y-%m-%d') AS stage FROM events
+      WHERE event_type = '{kind}' AND value > 200"""
+
+
 @query(
     "stage_inventory",
-    """WITH a AS (SELECT DISTINCT 'type_' || event_type AS stage FROM events
-                  WHERE ts < TIMESTAMP '2024-01-01 00:30:00'),
-            b AS (SELECT DISTINCT 'type_' || event_type AS stage FROM events
-                  WHERE ts >= TIMESTAMP '2024-01-30 23:30:00')
+    f"""WITH a AS ({_days_sql('purchase')}), b AS ({_days_sql('error')})
        SELECT coalesce(a.stage, b.stage) AS stage,
               CASE WHEN a.stage IS NOT NULL AND b.stage IS NOT NULL THEN 'common'
                    WHEN a.stage IS NOT NULL THEN 'only_a' ELSE 'only_b' END AS presence
        FROM a FULL JOIN b ON a.stage = b.stage""",
 )
 def stage_inventory(spark, d):
-    """Stages named by the data: the event types seen at the start and at the end."""
-    events = read_table(spark, d, "events", ["ts", "event_type"])
-    stage = F.concat(F.lit("type_"), "event_type").alias("stage")
-    first = events.filter(F.col("ts") < F.lit("2024-01-01 00:30:00").cast("timestamp_ntz"))
-    last = events.filter(F.col("ts") >= F.lit("2024-01-30 23:30:00").cast("timestamp_ntz"))
-    return cmp.stage_inventory(first.select(stage).distinct(), last.select(stage).distinct())
+    """Two daily flows with one stage per day on which they have something to do."""
+    events = read_table(spark, d, "events", ["ts", "event_type", "value"])
+    large = events.filter(F.col("value") > 200)
+    stage = F.concat(F.lit("day_"), F.date_format("ts", "yyyy-MM-dd")).alias("stage")
+    names = [
+        large.filter(F.col("event_type") == kind).select(stage).distinct()
+        for kind in ("purchase", "error")
+    ]
+    return cmp.stage_inventory(*names)

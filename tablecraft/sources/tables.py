@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablecraft.session import cut_lineage
+
 
 def read_table(
     spark: SparkSession, base: str, name: str, cols: Sequence[str] | None = None
@@ -26,14 +28,18 @@ def rows(spark: SparkSession, data: Sequence[tuple], schema: str | T.StructType)
 Stage = Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
-def run_stages(stages: Mapping[str, Stage], views_prefix: str | None = None) -> dict[str, DataFrame]:
+def run_stages(
+    stages: Mapping[str, Stage], views_prefix: str | None = None, store: Collection[str] = ()
+) -> dict[str, DataFrame]:
     """Build named stages in order; each sees the stages before it.
 
-    With ``views_prefix`` every stage is also a temp view of that prefix.
+    With ``views_prefix`` every stage is also a temp view of that prefix. Stages
+    in ``store`` are written to the shared folder once, so the stages and
+    compares that read them do not compute them again.
     """
     built: dict[str, DataFrame] = {}
     for name, stage in stages.items():
-        built[name] = stage(built)
+        built[name] = cut_lineage(stage(built)) if name in store else stage(built)
         if views_prefix is not None:
             built[name].createOrReplaceTempView(f"{views_prefix}{name}")
     return built
@@ -111,16 +117,17 @@ def catalog(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     keys: Mapping[str, Sequence[str]] | None = None,
-    measured: bool = True,
+    measured: bool | Sequence[str] = True,
 ) -> DataFrame:
-    """Catalog rows, with the measured profile unless ``measured`` is off.
+    """Catalog rows, with the measured profile of all or of the named tables.
 
-    A table without a declared key takes its first unique column as the key.
+    A measured table without a declared key takes its first unique column as key.
     """
     base = catalog_columns(spark, tables, keys)
-    if not measured:
+    chosen = tables if measured is True else {t: tables[t] for t in measured or ()}
+    if not chosen:
         return base
-    joined = base.join(profile(tables), ["table_name", "column_name"], "left")
+    joined = base.join(profile(chosen), ["table_name", "column_name"], "left")
     joined = (
         joined.withColumn("row_count", F.coalesce("row_count", F.lit(0)).cast("long"))
         .withColumn("null_count", F.coalesce("null_count", F.lit(0)).cast("long"))
