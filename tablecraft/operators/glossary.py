@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import title_words, words
+from tablecraft.session import cut_lineage
 
 # Match scores.
 SCORE_EQUAL = 1.0
@@ -39,17 +40,13 @@ def _lengths(df: DataFrame, col: str) -> list[int]:
 
 def _substrings(col: Column, lengths: Sequence[int]) -> Column:
     """All distinct substrings of the given lengths."""
-    size = F.length(col)
-    pieces = [
-        F.when(
-            size >= n,
-            F.transform(
-                F.sequence(F.lit(1), size - n + 1), lambda i, n=n: F.substring(col, i, F.lit(n))
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in lengths
-    ]
-    return F.array_distinct(F.flatten(F.array(*pieces)))
+
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(col) - n + 1)
+        pieces = F.transform(starts, lambda i: F.substring(col, i, F.lit(n)))
+        return F.when(F.length(col) >= n, pieces).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.array(*[of_length(n) for n in lengths])))
 
 
 def contains_pairs(needles: DataFrame, needle: str, hay: DataFrame, text: str) -> DataFrame:
@@ -129,16 +126,21 @@ def auto_map(
     """
     if min_conf <= 0:
         raise ValueError("min_conf must be above 0: every pair would qualify")
-    terms = terms.select(
-        "term_id",
-        F.lower("name").alias("_name"),
-        term_words(F.col("name"), F.col("synonyms")).alias("words"),
+    # both sides are read by several joins: compute their sources once
+    terms = cut_lineage(
+        terms.select(
+            "term_id",
+            F.lower("name").alias("_name"),
+            term_words(F.col("name"), F.col("synonyms")).alias("words"),
+        )
     )
-    targets = targets.select(
-        "target_id",
-        F.lower("name").alias("_target"),
-        words(F.col("name")).alias("words"),
-        F.lower("description").alias("_desc"),
+    targets = cut_lineage(
+        targets.select(
+            "target_id",
+            F.lower("name").alias("_target"),
+            words(F.col("name")).alias("words"),
+            F.lower("description").alias("_desc"),
+        )
     )
     inside = contains_pairs(terms, "_name", targets, "_target")
     around = contains_pairs(targets, "_target", terms, "_name")

@@ -2,6 +2,7 @@
 
 from tablecraft.plans import (  # noqa: F401
     basics,
+    catalogs,
     checks,
     history,
     regression,
