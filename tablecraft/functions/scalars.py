@@ -76,17 +76,40 @@ def as_double(col: Column) -> Column:
 
 
 def cents(col: Column) -> Column:
-    """Whole cents of a money column."""
-    return (money(col) * 100).cast("decimal(38,0)")
+    """Whole hundredths of a two-decimal double as BIGINT.
+
+    Sums of BIGINT stay in generated code and are exact; DECIMAL sums are not
+    needed until totals of many groups meet (``wide_sum``).
+    """
+    return F.rint(col * 100).cast("long")
+
+
+def wide_sum(col: Column) -> Column:
+    """Sum of BIGINT subtotals that has room for any number of them."""
+    return F.sum(col.cast("decimal(20,0)"))
+
+
+def units(col: Column, digits: int = 2) -> Column:
+    """The double value of a whole number of 10^-digits."""
+    return col.cast("double") / float(10**digits)
+
+
+def cents_to_money(col: Column) -> Column:
+    """BIGINT cents as DECIMAL(18,2)."""
+    return (col.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)")
 
 
 def avg_money(total: Column, n: Column) -> Column:
-    """Average rounded half away from zero to cents, NULL for no rows.
+    """Average of a DECIMAL total with two digits, see ``avg_cents``."""
+    return avg_cents(total * 100, n)
+
 
-    ``total`` is a DECIMAL with two digits; whole-number division keeps it exact
-    for any number of rows.
+def avg_cents(total: Column, n: Column) -> Column:
+    """Average of whole cents, half away from zero to cents, NULL for no rows.
+
+    Whole-number division keeps it exact for any number of rows.
     """
-    whole = (total * 100).cast("decimal(30,0)")
+    whole = total.cast("decimal(30,0)")
     size = n.cast("decimal(18,0)")
     half_up = F.call_function("div", F.abs(whole) * 2 + size, size * 2)
     signed = F.when(whole < 0, -half_up).otherwise(half_up)
@@ -120,12 +143,17 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def alternatives(patterns: Sequence[str]) -> str:
+    """One regular expression that hits where any of the patterns hits."""
+    return "|".join(f"(?:{p})" for p in patterns)
+
+
 def first_label(col: Column, table: Sequence[tuple[str, Sequence[str]]], anchored: bool) -> Column:
-    """Label of the first pattern, in table order, that hits the column."""
+    """Label of the first entry, in table order, with a pattern that hits the column."""
     test = regex_match if anchored else regex_search
     result = F.lit(None).cast("string")
     for label, patterns in reversed(list(table)):
-        result = F.when(any_of([test(col, p) for p in patterns]), label).otherwise(result)
+        result = F.when(test(col, alternatives(patterns)), label).otherwise(result)
     return result
 
 

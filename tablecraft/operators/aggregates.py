@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.functions.scalars import any_of, as_double, avg_money, days_between, money
+from tablecraft.functions.scalars import any_of, avg_cents, cents, days_between, units
 
 # Name parts that tell how a measure may be summed and which
 # function fits it, tested in this order.
@@ -28,7 +28,7 @@ def order_summary(customers: DataFrame, orders: DataFrame, status: str) -> DataF
     Orders are summed per customer key before the join, so the join moves one
     row per customer and a customer with many orders stays cheap.
     """
-    price = money(F.col("o_totalprice"))
+    price = cents(F.col("o_totalprice"))
     metrics = (
         orders.filter(F.col("o_orderstatus") == status)
         .groupBy("o_custkey")
@@ -45,8 +45,8 @@ def order_summary(customers: DataFrame, orders: DataFrame, status: str) -> DataF
         "c_name",
         "c_mktsegment",
         "order_count",
-        as_double(F.col("_total")).alias("total_revenue"),
-        avg_money(F.col("_total"), F.col("order_count")).alias("avg_order_value"),
+        units(F.col("_total")).alias("total_revenue"),
+        avg_cents(F.col("_total"), F.col("order_count")).alias("avg_order_value"),
         "first_order_date",
         "last_order_date",
         days_between(F.col("first_order_date"), F.col("last_order_date")).alias(

@@ -32,7 +32,8 @@ def _walk(
             F.count(F.lit(1)).alias("_n")
         )
 
-    links = steps(edges)
+    # every hop reads the links, so they are built once
+    links = cut_lineage(steps(edges)) if depth > 1 else steps(edges)
     first = links if first_hop is None else steps(edges.filter(first_hop))
     frontier = roots.select(
         F.col("root"), F.col("root").alias("node"), F.lit(1).cast("long").alias("n_paths")

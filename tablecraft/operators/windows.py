@@ -175,17 +175,23 @@ class Ordered:
         )
 
 
-def ordered(df: DataFrame, part: Sequence[str], order: Sequence[str | Column]) -> Ordered:
+def ordered(
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str | Column],
+    sizes: tuple[int, int] | None = None,
+) -> Ordered:
     """Prepare ``df`` for ordered functions; splits groups beyond the row limit.
 
     ``order`` must be unique inside a group. The segments are stored, because a
     segment number read twice from a shuffle could differ between the reads.
+    ``sizes`` is the result of ``group_sizes``, if the caller has it already.
     """
     if not order:
         raise ValueError("an ordered window needs an order")
     spark = df.sparkSession
     limit = group_limit(spark)
-    total, largest = group_sizes(df, part)
+    total, largest = sizes or group_sizes(df, part)
     if largest <= limit:
         return Ordered(df, tuple(part), tuple(order), split=False)
     segments = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / limit))
@@ -252,13 +258,14 @@ def ranked(
     tie: Sequence[str | Desc],
     out: str,
     buckets: int | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """ROW_NUMBER, RANK, DENSE_RANK or NTILE with an enforced order."""
     if fn not in RANKING:
         raise ValueError(f"unknown ranking function {fn!r}")
     if not order:
         raise ValueError(f"{fn} needs an order")
-    rows = ordered(df, part, [*order, *tie])
+    rows = ordered(df, part, [*order, *tie], sizes)
     if not rows.split:
         full = rows.window()
         peers = Window.partitionBy(*part).orderBy(*_cols(order))
@@ -306,6 +313,7 @@ def navigate(
     col: str,
     out: str,
     nth: int = 1,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """LAG, LEAD, FIRST_VALUE, LAST_VALUE or NTH_VALUE with an enforced order.
 
@@ -315,7 +323,7 @@ def navigate(
         raise ValueError(f"unknown navigation function {fn!r}")
     if not order:
         raise ValueError(f"{fn} needs an order")
-    rows = ordered(df, part, order)
+    rows = ordered(df, part, order, sizes)
     if fn in ("lag", "lead"):
         return getattr(rows, fn)(F.col(col), out).frame()
     if not rows.split:

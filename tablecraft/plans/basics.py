@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import (
-    as_double,
-    avg_money,
+    avg_cents,
     band,
+    cents,
     contains_ci,
     differs,
-    money,
     ts,
+    units,
+    wide_sum,
 )
 from tablecraft.operators import aggregates as agg
 from tablecraft.operators import joins, setops
@@ -25,7 +26,7 @@ from tablecraft.operators.projections import (
 from tablecraft.operators.windows import sample_mod
 from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
-from tablecraft.session import work_path
+from tablecraft.session import cut_lineage, work_path
 from tablecraft.sources.sinks import materialise, upsert, write_fact
 from tablecraft.sources.tables import read_table, rows, run_stages
 
@@ -75,7 +76,7 @@ def stage_chain(spark, d):
             .join(s["items"], F.col("o_orderkey") == F.col("l_orderkey")),
             "final": lambda s: s["order_totals"]
             .groupBy("o_custkey")
-            .agg(F.count(F.lit(1)).alias("orders"), as_double(F.sum("t")).alias("total")),
+            .agg(F.count(F.lit(1)).alias("orders"), units(wide_sum(F.col("t"))).alias("total")),
         }
     )
     return built["final"]
@@ -131,7 +132,7 @@ def fact_partition_pruned_read(spark, d):
         .groupBy("fact_month")
         .agg(
             F.count(F.lit(1)).alias("orders"),
-            as_double(F.sum(money(F.col("o_totalprice")))).alias("total"),
+            units(F.sum(cents(F.col("o_totalprice")))).alias("total"),
         )
     )
 
@@ -177,10 +178,10 @@ BANDS = [(2_000_000, "Premium"), (1_500_000, "High Value"), (500_000, "Standard"
 )
 def segment_banding(spark, d):
     orders = read_table(spark, d, "orders", ["o_custkey", "o_totalprice"])
-    totals = orders.groupBy("o_custkey").agg(F.sum(money(F.col("o_totalprice"))).alias("t"))
+    totals = orders.groupBy("o_custkey").agg(F.sum(cents(F.col("o_totalprice"))).alias("t"))
     return totals.select(
-        "o_custkey", as_double(F.col("t")).alias("total"),
-        band(F.col("t"), BANDS, "Low Value").alias("segment"),
+        "o_custkey", units(F.col("t")).alias("total"),
+        band(units(F.col("t")), BANDS, "Low Value").alias("segment"),
     )
 
 
@@ -419,7 +420,8 @@ def asof_join(spark, d):
     from tablecraft.plans.history import customer_history
 
     orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    history = customer_history(spark, d).withColumnRenamed("c_custkey", "o_custkey")
+    # built by two loads, read by the size check and by the join
+    history = cut_lineage(customer_history(spark, d)).withColumnRenamed("c_custkey", "o_custkey")
     return joins.as_of_join(
         orders, history, ["o_custkey"], "o_orderdate", fx.TRACKED, ["o_orderkey"]
     ).drop("o_orderdate")
@@ -547,7 +549,7 @@ def order_totals(spark, d):
         .agg(F.sum(F.col("price") * F.col("quantity")).alias("t"))
     )
     return orders.join(totals, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "o_orderkey", "o_custkey", as_double(F.col("t")).alias("order_total")
+        "o_orderkey", "o_custkey", units(F.col("t"), 4).alias("order_total")
     )
 
 
@@ -576,11 +578,11 @@ def distinct_orders_per_customer(spark, d):
 def rounded_metrics(spark, d):
     orders = read_table(spark, d, "orders", ["o_custkey", "o_totalprice"])
     totals = orders.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("o_totalprice"))).alias("t")
+        F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("o_totalprice"))).alias("t")
     )
     return totals.select(
-        "o_custkey", as_double(F.col("t")).alias("total_amount"),
-        avg_money(F.col("t"), F.col("n")).alias("avg_order_value"),
+        "o_custkey", units(F.col("t")).alias("total_amount"),
+        avg_cents(F.col("t"), F.col("n")).alias("avg_order_value"),
     )
 
 
@@ -599,15 +601,15 @@ def ratio_metrics(spark, d):
     orders = read_table(spark, d, "orders", ["o_custkey", "o_totalprice", "o_orderpriority"])
     # one row per priority and customer first: distinct counting then needs no second copy
     per = orders.groupBy("o_orderpriority", "o_custkey").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("o_totalprice"))).alias("t")
+        F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("o_totalprice"))).alias("t")
     )
     out = per.groupBy("o_orderpriority").agg(
-        F.sum("n").alias("n"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("k")
+        F.sum("n").alias("n"), wide_sum(F.col("t")).alias("t"), F.count(F.lit(1)).alias("k")
     )
     return out.select(
         "o_orderpriority",
-        avg_money(F.col("t"), F.col("k")).alias("revenue_per_customer"),
-        avg_money(F.col("t"), F.col("n")).alias("revenue_per_order"),
+        avg_cents(F.col("t"), F.col("k")).alias("revenue_per_customer"),
+        avg_cents(F.col("t"), F.col("n")).alias("revenue_per_order"),
     )
 
 
@@ -684,11 +686,11 @@ def measures_additive(spark, d):
         spark, d, "lineitem", ["l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice"]
     ).select(
         "l_returnflag", "l_linestatus",
-        money(F.col("l_quantity")).alias("quantity"), money(F.col("l_extendedprice")).alias("price"),
+        cents(F.col("l_quantity")).alias("quantity"), cents(F.col("l_extendedprice")).alias("price"),
     )
     out = agg.rollup_measures(lines, ["l_returnflag", "l_linestatus"], additive=["quantity", "price"])
-    return out.withColumn("quantity", as_double(F.col("quantity"))).withColumn(
-        "price", as_double(F.col("price"))
+    return out.withColumn("quantity", units(F.col("quantity"))).withColumn(
+        "price", units(F.col("price"))
     )
 
 
@@ -714,7 +716,7 @@ def measures_semi_additive(spark, d):
     out = agg.rollup_measures(
         balances, ["month"], semi_additive={"balance": (["account"], ["txn_ts", "txn_id"])}
     )
-    return out.withColumn("balance", as_double(F.col("balance")))
+    return out.withColumn("balance", units(F.col("balance")))
 
 
 @query(
@@ -728,7 +730,7 @@ def measures_non_additive(spark, d):
     lines = read_table(spark, d, "lineitem", ["l_returnflag", "l_quantity", "l_extendedprice"]).select(
         "l_returnflag",
         F.col("l_quantity").cast("long").alias("quantity"),
-        (money(F.col("l_extendedprice")) * 100).cast("long").alias("price_cents"),
+        cents(F.col("l_extendedprice")).alias("price_cents"),
     )
     return agg.rollup_measures(lines, ["l_returnflag"], ratios={"price_rate": ("price_cents", "quantity")})
 
@@ -750,10 +752,10 @@ def rollup_calendar(spark, d):
         F.year("o_orderdate").cast("long").alias("year"),
         F.quarter("o_orderdate").cast("long").alias("quarter"),
         F.month("o_orderdate").cast("long").alias("month"),
-    ).agg(F.count(F.lit(1)).alias("n"), F.sum(money(F.col("o_totalprice"))).alias("t"))
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("o_totalprice"))).alias("t"))
     return agg.rollup_hierarchy(
         months, ["year", "quarter", "month"],
-        [F.sum("n").alias("orders"), as_double(F.sum("t")).alias("total")],
+        [F.sum("n").alias("orders"), units(wide_sum(F.col("t"))).alias("total")],
     )
 
 

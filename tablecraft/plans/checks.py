@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.functions.scalars import money
+from tablecraft.functions.scalars import cents
 from tablecraft.operators import determinism as det
 from tablecraft.operators import quality as dq
 from tablecraft.operators import scd
@@ -178,8 +178,8 @@ def dq_range(spark, d):
 def dq_derived_total(spark, d):
     orders = read_table(spark, d, "orders", ["o_orderkey", "o_totalprice"])
     return dq.check_total(
-        orders.withColumn("total", money(F.col("o_totalprice"))), "orders", "o_orderkey", "total",
-        fx.fact_rows(spark, d), "l_orderkey", F.col("price"), tolerance=1000,
+        orders.withColumn("total", cents(F.col("o_totalprice"))), "orders", "o_orderkey", "total",
+        fx.fact_rows(spark, d), "l_orderkey", F.col("price"), tolerance=100_000,
     )
 
 

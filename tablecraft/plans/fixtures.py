@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.functions.scalars import money, ts
+from tablecraft.functions.scalars import cents, ts
 from tablecraft.operators.windows import dedup_latest
 from tablecraft.sources.tables import read_table
 
@@ -82,18 +82,16 @@ HISTORY_SQL = f"""
 
 
 def ledger(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as account transactions; finished orders are debits."""
+    """Orders as account transactions in cents; finished orders are debits."""
     orders = read_table(
         spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus"]
     )
-    price = money(F.col("o_totalprice"))
+    price = cents(F.col("o_totalprice"))
     return orders.select(
         F.col("o_custkey").alias("account"),
         F.col("o_orderkey").alias("txn_id"),
         F.col("o_orderdate").alias("txn_ts"),
-        F.when(F.col("o_orderstatus") == "F", -price).otherwise(price).cast("decimal(18,2)").alias(
-            "amount"
-        ),
+        F.when(F.col("o_orderstatus") == "F", -price).otherwise(price).alias("amount"),
         F.col("o_orderstatus").alias("status"),
     )
 
@@ -134,16 +132,16 @@ DEFECTS_SQL = """
 
 
 def fact_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with exact money columns."""
+    """Line items with quantity, price and discount in whole hundredths."""
     lines = read_table(
         spark, d, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                                "l_extendedprice", "l_discount"],
     )
     return lines.select(
         "l_orderkey", "l_partkey", "l_suppkey",
-        money(F.col("l_quantity")).alias("quantity"),
-        money(F.col("l_extendedprice")).alias("price"),
-        money(F.col("l_discount")).alias("discount"),
+        cents(F.col("l_quantity")).alias("quantity"),
+        cents(F.col("l_extendedprice")).alias("price"),
+        cents(F.col("l_discount")).alias("discount"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablecraft.functions.scalars import as_double, avg_money, band
+from tablecraft.functions.scalars import avg_cents, band, units
 from tablecraft.operators import compare as cmp
 from tablecraft.operators.projections import exclude_values
 from tablecraft.plans import fixtures as fx
@@ -32,8 +32,8 @@ def flow(spark, d, thresholds, store=()):
             F.max("o_orderdate").alias("last_order_date"),
         )
         return grouped.select(
-            "o_custkey", "order_count", as_double(F.col("t")).alias("total_amount"),
-            avg_money(F.col("t"), F.col("order_count")).alias("avg_order_value"),
+            "o_custkey", "order_count", units(F.col("t")).alias("total_amount"),
+            avg_cents(F.col("t"), F.col("order_count")).alias("avg_order_value"),
             "first_order_date", "last_order_date",
         )
 
@@ -103,8 +103,16 @@ STAGES_SQL = " UNION ALL ".join(
 )
 
 
-def _finals(spark, d):
-    return flow(spark, d, THRESHOLDS_A)["final"], flow(spark, d, THRESHOLDS_B)["final"]
+# every stage is read by the next one and by its compare
+STORED = ("order_totals", "customer_metrics", "final")
+
+
+def _finals(spark, d, store=()):
+    return tuple(flow(spark, d, t, store)["final"] for t in (THRESHOLDS_A, THRESHOLDS_B))
+
+
+def _flows(spark, d):
+    return tuple(flow(spark, d, t, STORED) for t in (THRESHOLDS_A, THRESHOLDS_B))
 
 
 @query(
@@ -157,7 +165,7 @@ def diff_sample_bounded(spark, d):
         WHERE a.customer_segment IS DISTINCT FROM b.customer_segment HAVING count(*) > 0""",
 )
 def compare_columns(spark, d):
-    return cmp.column_diffs(*_finals(spark, d), keys=["c_custkey"])
+    return cmp.column_diffs(*_finals(spark, d, ("final",)), keys=["c_custkey"])
 
 
 LINES_SQL = """
@@ -190,7 +198,7 @@ def compare_columns_repeated_keys(spark, d):
 
 @query("compare_stages", f"WITH {FLOW_SQL} {_verdict_sql(STAGES_SQL)}")
 def compare_stages(spark, d):
-    results, _ = cmp.compare_stages(flow(spark, d, THRESHOLDS_A), flow(spark, d, THRESHOLDS_B))
+    results, _ = cmp.compare_stages(*_flows(spark, d))
     return results.drop("note")
 
 
@@ -232,7 +240,7 @@ def value_pairs(spark, d):
                  AS verdict FROM r""",
 )
 def compare_summary(spark, d):
-    results, _ = cmp.compare_stages(flow(spark, d, THRESHOLDS_A), flow(spark, d, THRESHOLDS_B))
+    results, _ = cmp.compare_stages(*_flows(spark, d))
     return cmp.summarise(results)
 
 

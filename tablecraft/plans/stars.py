@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablecraft.functions.scalars import as_double, money, ts
+from tablecraft.functions.scalars import (
+    as_double,
+    cents,
+    cents_to_money,
+    money,
+    ts,
+    units,
+    wide_sum,
+)
 from tablecraft.operators import credit, star
 from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
@@ -60,9 +68,9 @@ def fact_sales(spark, d):
             "supplier_sk": (suppliers, "l_suppkey", "s_suppkey", "supplier_sk"),
         },
         measures={
-            "quantity": as_double(F.col("quantity")),
-            "sales_amount": as_double(F.col("price")),
-            "discount_rate": as_double(F.col("discount")),
+            "quantity": units(F.col("quantity")),
+            "sales_amount": units(F.col("price")),
+            "discount_rate": units(F.col("discount")),
         },
         degenerate={"date_key": F.date_format("o_orderdate", "yyyyMMdd").cast("long")},
     )
@@ -114,6 +122,7 @@ def txn_derivations(spark, d):
     currency = F.when(status == "F", "USD").when(status == "O", "GBP").otherwise("XXX")
     ledger = (
         fx.ledger(spark, d)
+        .withColumn("amount", cents_to_money(F.col("amount")))
         .withColumn("currency_code", currency)
         .withColumn("original_id", F.when(status == "P", F.col("txn_id")))
     )
@@ -219,9 +228,9 @@ def dormant_customers(spark, d):
 )
 def below_minimum(spark, d):
     totals = fx.ledger(spark, d).groupBy("account").agg(F.sum("amount").alias("b"))
-    flagged = star.below_minimum(totals, "b", F.lit(250000))
+    flagged = star.below_minimum(totals, "b", F.lit(25_000_000))
     return flagged.select(
-        "account", as_double(F.col("b")).alias("balance"), (F.col("b") < 0).alias("is_overdrawn"),
+        "account", units(F.col("b")).alias("balance"), (F.col("b") < 0).alias("is_overdrawn"),
         "is_below_minimum",
     )
 
@@ -267,7 +276,7 @@ def date_dimension(spark, d):
 def star_revenue_by_nation_year(spark, d):
     # revenue per order first: the joins then move one row per order
     per_order = fx.fact_rows(spark, d).groupBy("l_orderkey").agg(
-        F.sum(F.col("price") * (F.lit(1) - F.col("discount"))).alias("r")
+        F.sum(F.col("price") * (F.lit(100) - F.col("discount"))).alias("r")
     )
     orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]).withColumn(
         "order_year", F.year("o_orderdate").cast("long")
@@ -280,7 +289,7 @@ def star_revenue_by_nation_year(spark, d):
             (read_table(spark, d, "nation", ["n_nationkey", "n_name"]), "c_nationkey", "n_nationkey"),
         ],
         ["n_name", "order_year"],
-        [as_double(F.sum("r")).alias("revenue")],
+        [units(wide_sum(F.col("r")), 4).alias("revenue")],
     )
 
 
@@ -428,7 +437,7 @@ def reporting_snapshot(spark, d):
     reports = fx.ledger(spark, d).withColumn("reporting_month", month)
     one = credit.snapshot_for(reports, "reporting_month", F.lit("1998-06"))
     return one.groupBy("account", "reporting_month").agg(
-        as_double(F.sum("amount")).alias("net_change"), F.count(F.lit(1)).alias("transactions")
+        units(F.sum("amount")).alias("net_change"), F.count(F.lit(1)).alias("transactions")
     )
 
 
@@ -448,7 +457,7 @@ def exposure_by(spark, d):
         spark, d, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
     ).select(
         F.col("o_orderkey").alias("instrument"), "o_orderstatus", "o_orderpriority",
-        money(F.col("o_totalprice")).alias("outstanding"),
+        cents(F.col("o_totalprice")).alias("outstanding"),
     )
     acc = fx.fact_rows(spark, d).select(
         F.col("l_orderkey").alias("instrument"), F.col("price").alias("carrying"),
@@ -459,5 +468,6 @@ def exposure_by(spark, d):
         fin, acc, ["instrument"], ["o_orderstatus", "o_orderpriority"], amounts
     )
     return out.select(
-        "o_orderstatus", "o_orderpriority", *[as_double(F.col(c)).alias(c) for c in amounts]
+        "o_orderstatus", "o_orderpriority", units(F.col("outstanding")).alias("outstanding"),
+        units(F.col("carrying")).alias("carrying"), units(F.col("impairment"), 4).alias("impairment"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablecraft.functions.scalars import as_double
+from tablecraft.functions.scalars import units
 from tablecraft.operators import determinism as det
 from tablecraft.operators import windows as w
 from tablecraft.operators.star import opening_closing
@@ -65,10 +65,10 @@ def first_value_region(spark, d):
 def rank_family(spark, d):
     df = read_table(spark, d, "orders", ["o_orderkey", "o_orderpriority", "o_orderdate"])
     part, order, tie = ["o_orderpriority"], ["o_orderdate"], ["o_orderkey"]
-    df = w.ranked(df, "row_number", part, order, tie, "row_no")
-    df = w.ranked(df, "rank", part, order, tie, "rank_no")
-    df = w.ranked(df, "dense_rank", part, order, tie, "dense_no")
-    df = w.ranked(df, "ntile", part, order, tie, "quartile", buckets=4)
+    sizes = w.group_sizes(df, part)
+    for fn, out in (("row_number", "row_no"), ("rank", "rank_no"), ("dense_rank", "dense_no"),
+                    ("ntile", "quartile")):
+        df = w.ranked(df, fn, part, order, tie, out, buckets=4, sizes=sizes)
     return df.select("o_orderkey", "row_no", "rank_no", "dense_no", "quartile")
 
 
@@ -86,9 +86,10 @@ def rank_family(spark, d):
 )
 def nav_family(spark, d):
     df = read_table(spark, d, "events", ["event_id", "user_id", "ts", "event_type"])
+    sizes = w.group_sizes(df, ["user_id"])
     for fn, out in (("lag", "prev_type"), ("lead", "next_type"), ("first_value", "first_type"),
                     ("last_value", "last_type"), ("nth_value", "third_type")):
-        df = w.navigate(df, fn, ["user_id"], ["ts", "event_id"], "event_type", out, nth=3)
+        df = w.navigate(df, fn, ["user_id"], ["ts", "event_id"], "event_type", out, 3, sizes)
     return df.select("event_id", "prev_type", "next_type", "first_type", "last_type", "third_type")
 
 
@@ -111,7 +112,7 @@ BALANCE_SQL = f"""
 @query("running_balance", BALANCE_SQL)
 def running_balance(spark, d):
     out = w.running_total(fx.ledger(spark, d), ["account"], ["txn_ts", "txn_id"], "amount", "balance")
-    return out.select("account", "txn_id", as_double(F.col("balance")).alias("balance"))
+    return out.select("account", "txn_id", units(F.col("balance")).alias("balance"))
 
 
 @query(
@@ -128,7 +129,7 @@ def opening_closing_query(spark, d):
     ledger = fx.ledger(spark, d).withColumn("month", F.date_format("txn_ts", "yyyy-MM"))
     out = opening_closing(ledger, ["account"], "month", ["txn_ts", "txn_id"], "amount")
     return out.select(
-        "account", "month", *[as_double(F.col(c)).alias(c) for c in ("opening", "closing", "net_change")]
+        "account", "month", *[units(F.col(c)).alias(c) for c in ("opening", "closing", "net_change")]
     )
 
 

@@ -12,11 +12,21 @@ from pyspark.sql import types as T
 from tablecraft.session import cut_lineage
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def read_table(
     spark: SparkSession, base: str, name: str, cols: Sequence[str] | None = None
 ) -> DataFrame:
-    """One Parquet table; only ``cols`` are read from the files."""
-    df = spark.read.parquet(f"{base}/{name}.parquet")
+    """One Parquet table; only ``cols`` are read from the files.
+
+    The schema of a table is looked up in the files once per session.
+    """
+    path = f"{base}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    df = spark.read.schema(_schemas[known]).parquet(path)
     return df.select(*cols) if cols else df
 
 
@@ -52,13 +62,23 @@ CATALOG_SCHEMA = (
 
 
 def _value_key(field: T.StructField) -> Column:
-    """A short exact-comparison key for any value of the column."""
+    """A short text that is equal where values are equal.
+
+    Long texts are replaced by a marked digest, which no short text can equal.
+    """
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
         text = F.to_json(F.struct(col))
+    elif isinstance(field.dataType, T.FractionalType):
+        text = (col + F.lit(0).cast(field.dataType)).cast("string")  # one zero, not two
     else:
         text = col.cast("string")
-    return F.when(col.isNotNull(), F.md5(text.cast("binary")))
+    if isinstance(field.dataType, T.AtomicType) and not isinstance(
+        field.dataType, (T.StringType, T.BinaryType)
+    ):
+        return text
+    digest = F.concat(F.lit("#"), F.md5(text.cast("binary")))
+    return F.when(F.length(text) <= 32, text).when(col.isNotNull(), digest)
 
 
 def catalog_columns(
@@ -79,7 +99,7 @@ def catalog_columns(
 def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Exact row, null and distinct counts of every column of every table.
 
-    Each table is scanned once: its cells become (column, value digest) pairs,
+    Each table is scanned once: its cells become (column, value) pairs,
     combined before the shuffle, so a value held by a third of all rows travels
     once per task.
     """
