@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import title_words, words
+from tablecraft.operators.windows import join_per_key
 from tablecraft.session import cut_lineage
 
 # Match scores.
@@ -86,7 +87,7 @@ def _word_pairs(terms: DataFrame, targets: DataFrame, min_conf: float) -> DataFr
     sized = sets.select("side", "id", F.size("words").alias("n"))
     keep = F.col("n") - F.ceil(F.col("n") * need - 1e-9) + 1
     prefix = (
-        each.join(freq, "word")
+        join_per_key(each, freq, ["word"], "freq", keep_n=True)
         .withColumn("pos", F.row_number().over(rare))
         .join(sized, ["side", "id"])
         .filter(F.col("pos") <= keep)

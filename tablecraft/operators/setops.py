@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+COPIES_PER_CHUNK = 10_000
+
+
 class UnionShapeError(ValueError):
     """Frames whose columns cannot be put under one another."""
 
@@ -22,14 +25,28 @@ def minus_all(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of ``a`` beyond the copies ``b`` has.
 
     Copies are counted per side before the shuffle, so a row repeated over a
-    third of the data travels once per task.
+    third of the data travels once per task. Writing very many copies again is
+    cut into chunks that are spread over the tasks.
     """
-    tagged = tag_counts(a, b)
-    extra = tagged.filter(F.col("n_a") > F.col("n_b"))
-    repeated = extra.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_a") - F.col("n_b")))
+    extra = tag_counts(a, b).withColumn("_n", F.col("n_a") - F.col("n_b")).filter(F.col("_n") > 0)
+    one = F.lit(1).cast("long")
+    few = extra.filter(F.col("_n") <= COPIES_PER_CHUNK)
+    many = extra.filter(F.col("_n") > COPIES_PER_CHUNK)
+    chunk = F.explode(F.sequence(one, F.ceil(F.col("_n") / COPIES_PER_CHUNK)))
+    chunks = (
+        many.withColumn("_chunk", chunk)
+        .withColumn(
+            "_n",
+            F.least(
+                F.lit(COPIES_PER_CHUNK).cast("long"),
+                F.col("_n") - (F.col("_chunk") - 1) * COPIES_PER_CHUNK,
+            ),
+        )
+        .repartition("_chunk", *a.columns)
+        .drop("_chunk")
     )
-    return repeated.select(*a.columns)
+    rows = few.unionByName(chunks)
+    return rows.withColumn("_copy", F.explode(F.sequence(one, F.col("_n")))).select(*a.columns)
 
 
 def tag_counts(a: DataFrame, b: DataFrame) -> DataFrame:

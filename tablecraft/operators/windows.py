@@ -73,6 +73,35 @@ def join_nullsafe(
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def join_per_key(
+    df: DataFrame, per_key: DataFrame, keys: Sequence[str], n: str = "_n", keep_n: bool = False
+) -> DataFrame:
+    """Attach one row per key to many rows, also where a key owns most of them.
+
+    ``per_key`` holds every key of ``df`` once, with its number of rows in ``n``.
+    Keys above the row limit are few (all rows divided by the limit), so they are
+    broadcast; their rows are then spread by a salt that no other key uses and
+    pass the join of the remaining keys untouched.
+    """
+    limit = group_limit(df.sparkSession)
+    values = [c for c in per_key.columns if c not in keys and (keep_n or c != n)]
+    row = F.struct(*values)
+    hot = per_key.filter(F.col(n) > limit).select(*keys, row.alias("_hot"))
+    flagged = join_nullsafe(df, F.broadcast(hot), keys)
+    # the same on a retry: depends on the row and its input partition only
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + F.spark_partition_id()
+    flagged = flagged.withColumn(
+        "_salt", F.when(F.col("_hot").isNull(), F.lit(-1)).otherwise(spread).cast("long")
+    )
+    rest = per_key.filter(F.col(n) <= limit).select(
+        *keys, F.lit(-1).cast("long").alias("_salt"), row.alias("_rest")
+    )
+    joined = join_nullsafe(flagged, rest, [*keys, "_salt"])
+    return joined.select(
+        *df.columns, *[F.coalesce(f"_hot.{c}", f"_rest.{c}").alias(c) for c in values]
+    )
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Rows with a group and an order; ``split`` says groups span segments."""
@@ -246,8 +275,10 @@ def first_by(
     The first value is an aggregate, combined before the shuffle; it is joined
     back, so a large group stays spread over its tasks.
     """
-    first = df.groupBy(*part).agg(F.min_by(col, F.struct(*order)).alias(out))
-    return join_nullsafe(df, first, part)
+    first = df.groupBy(*part).agg(
+        F.min_by(col, F.struct(*order)).alias(out), F.count(F.lit(1)).alias("_n")
+    )
+    return join_per_key(df, first, part)
 
 
 def ranked(
@@ -284,22 +315,24 @@ def ranked(
     )
     if fn == "rank":
         numbered = keyed.row_number("_rn").frame()
-        first = numbered.groupBy(*part, *names).agg(F.min("_rn").alias(out))
-        return join_nullsafe(numbered, first, [*part, *names]).drop("_rn", *names)
+        first = numbered.groupBy(*part, *names).agg(
+            F.min("_rn").alias(out), F.count(F.lit(1)).alias("_n")
+        )
+        return join_per_key(numbered, first, [*part, *names]).drop("_rn", *names)
     if fn == "dense_rank":
-        values = keyed.frame().select(*part, *names).distinct()
+        values = keyed.frame().groupBy(*part, *names).agg(F.count(F.lit(1)).alias("_n"))
         directed = [_direct(o, n) for o, n in zip(order, names)]
         dense = ordered(values, part, directed).row_number(out).frame()
-        return join_nullsafe(keyed.frame(), dense, [*part, *names]).drop(*names)
+        return join_per_key(keyed.frame(), dense, [*part, *names]).drop(*names)
     numbered = rows.row_number("_rn").frame()
-    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    per_group = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     small, extra = F.expr(f"_n div {buckets}"), F.expr(f"_n % {buckets}")
     wide = extra * (small + 1)
     tile = F.when(
         F.col("_rn") <= wide, F.floor((F.col("_rn") - 1) / (small + 1)) + 1
     ).otherwise(extra + F.floor((F.col("_rn") - 1 - wide) / small) + 1)
     return (
-        join_nullsafe(numbered, sizes, part)
+        join_per_key(numbered, per_group, part, keep_n=True)
         .withColumn(out, tile.cast("long"))
         .drop("_rn", "_n")
     )
@@ -340,8 +373,8 @@ def navigate(
         "last_value": lambda: F.max_by(col, "_rn"),
         "nth_value": lambda: F.max(F.when(F.col("_rn") == nth, F.col(col))),
     }[fn]()
-    per_group = numbered.groupBy(*part).agg(picked.alias(out))
-    return join_nullsafe(numbered, per_group, part).drop("_rn")
+    per_group = numbered.groupBy(*part).agg(picked.alias(out), F.count(F.lit(1)).alias("_n"))
+    return join_per_key(numbered, per_group, part).drop("_rn")
 
 
 def assign_sk(
