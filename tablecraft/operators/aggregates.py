@@ -79,24 +79,6 @@ def conditional_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataF
     )
 
 
-def grouped_totals(df: DataFrame, first: str, second: str) -> DataFrame:
-    """Row counts by each of two columns and overall, in one pass."""
-    return (
-        df.groupingSets([[F.col(first)], [F.col(second)], []], F.col(first), F.col(second))
-        .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g"))
-        .select(
-            F.when(F.col("_g") == 1, F.lit(first))
-            .when(F.col("_g") == 2, F.lit(second))
-            .otherwise("total")
-            .alias("dimension"),
-            F.when(F.col("_g") == 1, F.col(first))
-            .when(F.col("_g") == 2, F.col(second))
-            .alias("value"),
-            "n",
-        )
-    )
-
-
 def rollup_hierarchy(df: DataFrame, levels: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Totals at every level of a hierarchy, with ``level_id`` = grouping id."""
     return df.rollup(*levels).agg(F.grouping_id().cast("long").alias("level_id"), *aggs)

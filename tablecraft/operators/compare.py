@@ -111,41 +111,48 @@ def column_diffs(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+# Columns per grouping-set pass: the grouping id has one bit per column.
+COLUMNS_PER_PASS = 24
+
+
 def _repeated_key_diffs(
     a: DataFrame, b: DataFrame, keys: list[str], values: list[str]
 ) -> DataFrame:
-    def cells(df: DataFrame, side: str) -> DataFrame:
-        other = "n_b" if side == "n_a" else "n_a"
-        cell = F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.to_json(F.struct(F.col(f"`{c}`").alias("v"))).alias("value"),
-                    )
-                    for c in values
-                ]
+    """Differing pairs per column from the counts of each value under each key."""
+    wide = "decimal(19,0)"
+    parts = []
+    for start in range(0, len(values), COLUMNS_PER_PASS):
+        some = values[start : start + COLUMNS_PER_PASS]
+        cols = [*keys, *some]
+        both = (
+            _no_null_key(a, keys)
+            .select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_b"))
+            .unionByName(
+                _no_null_key(b, keys).select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
             )
         )
-        return (
-            _no_null_key(df, keys)
-            .select(*keys, cell.alias("x"))
-            .groupBy(*keys, "x.column_name", "x.value")
-            .agg(F.count(F.lit(1)).alias(side))
-            .withColumn(other, F.lit(0).cast("long"))
+        sets = [[F.col(k) for k in [*keys, c]] for c in some]
+        per_value = both.groupingSets(sets, *[F.col(c) for c in cols]).agg(
+            F.sum("_a").alias("_a"), F.sum("_b").alias("_b"),
+            F.grouping_id().alias("_set"),
         )
-
-    wide = "decimal(38,0)"
-    per_value = (
-        cells(a, "n_a")
-        .unionByName(cells(b, "n_b"))
-        .groupBy(*keys, "column_name", "value")
-        .agg(F.sum("n_a").cast(wide).alias("n_a"), F.sum("n_b").cast(wide).alias("n_b"))
-    )
-    per_key = per_value.groupBy(*keys, "column_name").agg(
-        (F.sum("n_a") * F.sum("n_b") - F.sum(F.col("n_a") * F.col("n_b"))).alias("d")
-    )
-    return per_key.groupBy("column_name").agg(F.sum("d").cast("long").alias("difference_count"))
+        per_key = per_value.groupBy(*keys, "_set").agg(
+            (
+                F.sum("_a").cast(wide) * F.sum("_b").cast(wide)
+                - F.sum(F.col("_a").cast(wide) * F.col("_b").cast(wide))
+            ).alias("d")
+        )
+        name = F.lit(None).cast("string")
+        for i, c in enumerate(some):
+            # every value column but this one is rolled up
+            bits = (1 << len(some)) - 1 - (1 << (len(some) - 1 - i))
+            name = F.when(F.col("_set") == bits, c).otherwise(name)
+        parts.append(
+            per_key.groupBy(name.alias("column_name")).agg(
+                F.sum("d").cast("long").alias("difference_count")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def key_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ and is safe to broadcast.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -204,23 +204,17 @@ class Ordered:
         )
 
 
-def ordered(
-    df: DataFrame,
-    part: Sequence[str],
-    order: Sequence[str | Column],
-    sizes: tuple[int, int] | None = None,
-) -> Ordered:
+def ordered(df: DataFrame, part: Sequence[str], order: Sequence[str | Column]) -> Ordered:
     """Prepare ``df`` for ordered functions; splits groups beyond the row limit.
 
     ``order`` must be unique inside a group. The segments are stored, because a
     segment number read twice from a shuffle could differ between the reads.
-    ``sizes`` is the result of ``group_sizes``, if the caller has it already.
     """
     if not order:
         raise ValueError("an ordered window needs an order")
     spark = df.sparkSession
     limit = group_limit(spark)
-    total, largest = sizes or group_sizes(df, part)
+    total, largest = group_sizes(df, part)
     if largest <= limit:
         return Ordered(df, tuple(part), tuple(order), split=False)
     segments = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / limit))
@@ -281,61 +275,129 @@ def first_by(
     return join_per_key(df, first, part)
 
 
-def ranked(
+def rank_columns(
     df: DataFrame,
-    fn: str,
     part: Sequence[str],
     order: Sequence[str | Desc],
     tie: Sequence[str | Desc],
-    out: str,
+    columns: Mapping[str, str],
     buckets: int | None = None,
-    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """ROW_NUMBER, RANK, DENSE_RANK or NTILE with an enforced order."""
-    if fn not in RANKING:
-        raise ValueError(f"unknown ranking function {fn!r}")
+    """Several ranking columns, output name -> function, over one ordering."""
+    unknown = set(columns.values()) - set(RANKING)
+    if unknown:
+        raise ValueError(f"unknown ranking functions {sorted(unknown)}")
     if not order:
-        raise ValueError(f"{fn} needs an order")
-    rows = ordered(df, part, [*order, *tie], sizes)
+        raise ValueError("ranking functions need an order")
+    rows = ordered(df, part, [*order, *tie])
     if not rows.split:
         full = rows.window()
         peers = Window.partitionBy(*part).orderBy(*_cols(order))
-        value = {
+        values = {
             "row_number": lambda: F.row_number().over(full),
             "rank": lambda: F.rank().over(peers),
             "dense_rank": lambda: F.dense_rank().over(peers),
             "ntile": lambda: F.ntile(buckets).over(full),
-        }[fn]()
-        return df.withColumn(out, value.cast("long"))
-    if fn == "row_number":
-        return rows.row_number(out).frame()
+        }
+        return df.select("*", *[values[fn]().cast("long").alias(o) for o, fn in columns.items()])
+    wanted = set(columns.values())
     names = [f"_o{i}" for i in range(len(order))]
-    keyed = rows.with_df(
-        rows.df.select("*", *[_plain(o).alias(n) for o, n in zip(order, names)])
-    )
-    if fn == "rank":
-        numbered = keyed.row_number("_rn").frame()
-        first = numbered.groupBy(*part, *names).agg(
-            F.min("_rn").alias(out), F.count(F.lit(1)).alias("_n")
+    out = rows.row_number("_rn").frame().select("*", *[_plain(o).alias(n) for o, n in zip(order, names)])
+    if wanted & {"rank", "dense_rank"}:
+        # one row per group and order value, with the first position of that value
+        values = out.groupBy(*part, *names).agg(
+            F.min("_rn").alias("_rank"), F.count(F.lit(1)).alias("_n")
         )
-        return join_per_key(numbered, first, [*part, *names]).drop("_rn", *names)
-    if fn == "dense_rank":
-        values = keyed.frame().groupBy(*part, *names).agg(F.count(F.lit(1)).alias("_n"))
-        directed = [_direct(o, n) for o, n in zip(order, names)]
-        dense = ordered(values, part, directed).row_number(out).frame()
-        return join_per_key(keyed.frame(), dense, [*part, *names]).drop(*names)
+        if "dense_rank" in wanted:
+            directed = [_direct(o, n) for o, n in zip(order, names)]
+            values = ordered(values, part, directed).row_number("_dense").frame()
+        out = join_per_key(out, values, [*part, *names])
+    if "ntile" in wanted:
+        per_group = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+        out = join_per_key(out, per_group, part, keep_n=True)
+        small, extra = F.expr(f"_n div {buckets}"), F.expr(f"_n % {buckets}")
+        wide = extra * (small + 1)
+        out = out.withColumn(
+            "_tile",
+            F.when(
+                F.col("_rn") <= wide, F.floor((F.col("_rn") - 1) / (small + 1)) + 1
+            ).otherwise(extra + F.floor((F.col("_rn") - 1 - wide) / small) + 1),
+        )
+    source = {"row_number": "_rn", "rank": "_rank", "dense_rank": "_dense", "ntile": "_tile"}
+    return out.select(
+        *df.columns, *[F.col(source[fn]).cast("long").alias(o) for o, fn in columns.items()]
+    )
+
+
+def ranked(
+    df: DataFrame,
+    fn: str,
+    part: Sequence[str],
+    order: Sequence[str | Desc],
+    tie: Sequence[str | Desc],
+    out: str,
+    buckets: int | None = None,
+) -> DataFrame:
+    """ROW_NUMBER, RANK, DENSE_RANK or NTILE with an enforced order."""
+    return rank_columns(df, part, order, tie, {out: fn}, buckets)
+
+
+def navigate_columns(
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str | Column],
+    columns: Mapping[str, tuple],
+) -> DataFrame:
+    """Several navigation columns, output name -> (function, column[, n]), over one ordering.
+
+    LAG and LEAD look ``n`` rows away (1 unless given); FIRST, LAST and NTH look
+    at the whole group.
+    """
+    unknown = {spec[0] for spec in columns.values()} - set(NAVIGATION)
+    if unknown:
+        raise ValueError(f"unknown navigation functions {sorted(unknown)}")
+    if not order:
+        raise ValueError("navigation functions need an order")
+    rows = ordered(df, part, order)
+    if not rows.split:
+        one = rows.window()
+        whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        values = {
+            "lag": lambda col, n=1: F.lag(col, n).over(one),
+            "lead": lambda col, n=1: F.lead(col, n).over(one),
+            "first_value": lambda col: F.first(col).over(whole),
+            "last_value": lambda col: F.last(col).over(whole),
+            "nth_value": lambda col, n: F.nth_value(col, n).over(whole),
+        }
+        return df.select("*", *[values[fn](*args).alias(o) for o, (fn, *args) in columns.items()])
+    picked = {
+        "first_value": lambda col: F.min_by(col, "_rn"),
+        "last_value": lambda col: F.max_by(col, "_rn"),
+        "nth_value": lambda col, n: F.max(F.when(F.col("_rn") == n, F.col(col))),
+    }
+    per_group = {o: picked[fn](*args) for o, (fn, *args) in columns.items() if fn in picked}
+    distant = []
+    for o, (fn, *args) in columns.items():
+        if fn in picked:
+            continue
+        if len(args) == 1 or args[1] == 1:
+            rows = getattr(rows, fn)(F.col(args[0]), o)
+        else:
+            distant.append((o, args[0], args[1] if fn == "lag" else -args[1]))
+    if distant:
+        # (group, position) is unique, so this join spreads a large group evenly
+        placed = rows.row_number("_rn").df
+        for o, col, shift in distant:
+            other = placed.select(*part, (F.col("_rn") + shift).alias("_rn"), F.col(col).alias(o))
+            placed = join_nullsafe(placed, other, [*part, "_rn"])
+        rows = rows.with_df(placed.drop("_rn"))
+    if not per_group:
+        return rows.frame().select(*df.columns, *columns)
     numbered = rows.row_number("_rn").frame()
-    per_group = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    small, extra = F.expr(f"_n div {buckets}"), F.expr(f"_n % {buckets}")
-    wide = extra * (small + 1)
-    tile = F.when(
-        F.col("_rn") <= wide, F.floor((F.col("_rn") - 1) / (small + 1)) + 1
-    ).otherwise(extra + F.floor((F.col("_rn") - 1 - wide) / small) + 1)
-    return (
-        join_per_key(numbered, per_group, part, keep_n=True)
-        .withColumn(out, tile.cast("long"))
-        .drop("_rn", "_n")
+    groups = numbered.groupBy(*part).agg(
+        *[value.alias(o) for o, value in per_group.items()], F.count(F.lit(1)).alias("_n")
     )
+    return join_per_key(numbered, groups, part).select(*df.columns, *columns)
 
 
 def navigate(
@@ -346,35 +408,13 @@ def navigate(
     col: str,
     out: str,
     nth: int = 1,
-    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """LAG, LEAD, FIRST_VALUE, LAST_VALUE or NTH_VALUE with an enforced order.
 
-    FIRST, LAST and NTH look at the whole group.
+    ``nth`` is the position for NTH_VALUE and the distance for LAG and LEAD.
     """
-    if fn not in NAVIGATION:
-        raise ValueError(f"unknown navigation function {fn!r}")
-    if not order:
-        raise ValueError(f"{fn} needs an order")
-    rows = ordered(df, part, order, sizes)
-    if fn in ("lag", "lead"):
-        return getattr(rows, fn)(F.col(col), out).frame()
-    if not rows.split:
-        whole = rows.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        value = {
-            "first_value": lambda: F.first(col),
-            "last_value": lambda: F.last(col),
-            "nth_value": lambda: F.nth_value(col, nth),
-        }[fn]()
-        return df.withColumn(out, value.over(whole))
-    numbered = rows.row_number("_rn").frame()
-    picked = {
-        "first_value": lambda: F.min_by(col, "_rn"),
-        "last_value": lambda: F.max_by(col, "_rn"),
-        "nth_value": lambda: F.max(F.when(F.col("_rn") == nth, F.col(col))),
-    }[fn]()
-    per_group = numbered.groupBy(*part).agg(picked.alias(out), F.count(F.lit(1)).alias("_n"))
-    return join_per_key(numbered, per_group, part).drop("_rn")
+    spec = (fn, col) if fn in ("first_value", "last_value") else (fn, col, nth)
+    return navigate_columns(df, part, order, {out: spec})
 
 
 def assign_sk(

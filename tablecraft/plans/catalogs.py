@@ -18,7 +18,7 @@ from tablecraft.plans.basics import KEY_EDGES_SQL, NODES_SQL, key_edges, key_nod
 from tablecraft.plans.history import customer_history
 from tablecraft.plans.registry import query
 from tablecraft.plans.stars import FACT_SQL, fact_sales
-from tablecraft.plans.vaults import HUB_SQL, LINK_SQL, SAT_SQL, hub_customer, link_rows, sat_customer
+from tablecraft.plans.vaults import hub_customer, link_rows, sat_customer
 from tablecraft.sources.tables import catalog, read_table, rows
 
 TABLES = [
@@ -200,6 +200,22 @@ def catalog_stats(spark, d):
     return rules.catalog_stats(built_catalog(spark, d))
 
 
+@query(
+    "catalog_layers",
+    f"""WITH {CATALOG_SQL}, l AS (
+          SELECT *, CASE WHEN regexp_matches(table_name, '^stg_') THEN 'staging'
+                   WHEN regexp_matches(table_name, '^(hub|link|sat|int)_') THEN 'integration'
+                   WHEN regexp_matches(table_name, '^(dim|fact|fct)_') THEN 'business'
+                   ELSE 'source' END AS layer FROM cat)
+        SELECT layer, count(DISTINCT table_name) AS tables, count(*) AS columns,
+               count(*) FILTER (is_primary_key) AS key_columns,
+               CAST(CASE layer WHEN 'source' THEN 0 WHEN 'staging' THEN 1 WHEN 'integration' THEN 2
+                    ELSE 3 END AS BIGINT) AS sort_rank FROM l GROUP BY 1 ORDER BY sort_rank""",
+)
+def catalog_layers(spark, d):
+    return rules.layer_stats(built_catalog(spark, d))
+
+
 TIE_SQL = " ".join(
     f"WHEN regexp_matches(lower(column_name), '^(?:{p})') THEN {i}"
     for i, p in enumerate(det.TIE_BREAKER_PATTERNS, start=1)

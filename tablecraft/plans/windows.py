@@ -64,11 +64,11 @@ def first_value_region(spark, d):
 )
 def rank_family(spark, d):
     df = read_table(spark, d, "orders", ["o_orderkey", "o_orderpriority", "o_orderdate"])
-    part, order, tie = ["o_orderpriority"], ["o_orderdate"], ["o_orderkey"]
-    sizes = w.group_sizes(df, part)
-    for fn, out in (("row_number", "row_no"), ("rank", "rank_no"), ("dense_rank", "dense_no"),
-                    ("ntile", "quartile")):
-        df = w.ranked(df, fn, part, order, tie, out, buckets=4, sizes=sizes)
+    df = w.rank_columns(
+        df, ["o_orderpriority"], ["o_orderdate"], ["o_orderkey"],
+        {"row_no": "row_number", "rank_no": "rank", "dense_no": "dense_rank", "quartile": "ntile"},
+        buckets=4,
+    )
     return df.select("o_orderkey", "row_no", "rank_no", "dense_no", "quartile")
 
 
@@ -86,10 +86,12 @@ def rank_family(spark, d):
 )
 def nav_family(spark, d):
     df = read_table(spark, d, "events", ["event_id", "user_id", "ts", "event_type"])
-    sizes = w.group_sizes(df, ["user_id"])
-    for fn, out in (("lag", "prev_type"), ("lead", "next_type"), ("first_value", "first_type"),
-                    ("last_value", "last_type"), ("nth_value", "third_type")):
-        df = w.navigate(df, fn, ["user_id"], ["ts", "event_id"], "event_type", out, 3, sizes)
+    kind = "event_type"
+    df = w.navigate_columns(
+        df, ["user_id"], ["ts", "event_id"],
+        {"prev_type": ("lag", kind), "next_type": ("lead", kind), "first_type": ("first_value", kind),
+         "last_type": ("last_value", kind), "third_type": ("nth_value", kind, 3)},
+    )
     return df.select("event_id", "prev_type", "next_type", "first_type", "last_type", "third_type")
 
 

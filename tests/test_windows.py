@@ -65,7 +65,22 @@ def test_navigation(skewed, small_groups, fn):
         "last_value": F.last("x").over(whole),
         "nth_value": F.nth_value("x", 5).over(whole),
     }[fn]
-    same(w.navigate(skewed, fn, PART, ["t", "i"], "x", "out", 5), skewed.withColumn("out", want))
+    nth = 5 if fn == "nth_value" else 1
+    same(w.navigate(skewed, fn, PART, ["t", "i"], "x", "out", nth), skewed.withColumn("out", want))
+
+
+def test_distant_neighbours(skewed, small_groups):
+    one = plain_window()
+    got = w.navigate_columns(
+        skewed, PART, ["t", "i"],
+        {"a": ("lag", "x", 3), "b": ("lead", "s", 60), "c": ("lag", "s"), "d": ("last_value", "s")},
+    )
+    whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    want = skewed.select(
+        "*", F.lag("x", 3).over(one).alias("a"), F.lead("s", 60).over(one).alias("b"),
+        F.lag("s").over(one).alias("c"), F.last("s").over(whole).alias("d"),
+    )
+    same(got, want)
 
 
 def test_running_total_and_carry_forward(skewed, small_groups):
