@@ -8,7 +8,7 @@ from tablecraft.operators import scd
 from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
 from tablecraft.session import work_path
-from tablecraft.sources.tables import read_table
+from tablecraft.sources.tables import read_table, stream_table
 from tablecraft.streaming.scd_stream import read_history, scd2_stream
 
 KEY = ["c_custkey"]
@@ -139,13 +139,7 @@ def scd2_backfill(spark, d):
 
 @query("scd2_stream_events", STATE_SQL)
 def scd2_stream_events(spark, d):
-    schema = read_table(spark, d, "events").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(d)
-        .select("user_id", "event_type", "ts", "event_id")
-    )
+    stream = stream_table(spark, d, "events").select("user_id", "event_type", "ts", "event_id")
     path = work_path(spark, "scd-stream")
     last = scd2_stream(
         stream, path, work_path(spark, "scd-checkpoint"),

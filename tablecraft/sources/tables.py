@@ -30,6 +30,16 @@ def read_table(
     return df.select(*cols) if cols else df
 
 
+def stream_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """One Parquet table as a stream.
+
+    The path is a pattern, because a stream takes a plain path for a folder only
+    and a table may be a single file.
+    """
+    schema = read_table(spark, base, name).schema
+    return spark.readStream.schema(schema).parquet(f"{base}/{name}.parque[t]")
+
+
 def rows(spark: SparkSession, data: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """Literal rows with named, typed columns."""
     return spark.createDataFrame(list(data), schema)
