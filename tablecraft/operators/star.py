@@ -154,7 +154,7 @@ def daily_snapshot(
 
 
 def opening_closing(
-    ledger: DataFrame, part: Sequence[str], period: str, order: Sequence[str], amount: str
+    ledger: DataFrame, part: Sequence[str], period: str, amount: str
 ) -> DataFrame:
     """Opening and closing balance per group and active period.
 

@@ -129,7 +129,7 @@ def running_balance(spark, d):
 )
 def opening_closing_query(spark, d):
     ledger = fx.ledger(spark, d).withColumn("month", F.date_format("txn_ts", "yyyy-MM"))
-    out = opening_closing(ledger, ["account"], "month", ["txn_ts", "txn_id"], "amount")
+    out = opening_closing(ledger, ["account"], "month", "amount")
     return out.select(
         "account", "month", *[units(F.col(c)).alias(c) for c in ("opening", "closing", "net_change")]
     )

@@ -71,26 +71,6 @@ CATALOG_SCHEMA = (
 )
 
 
-def _value_key(field: T.StructField) -> Column:
-    """A short text that is equal where values are equal.
-
-    Long texts are replaced by a marked digest, which no short text can equal.
-    """
-    col = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(F.struct(col))
-    elif isinstance(field.dataType, T.FractionalType):
-        text = (col + F.lit(0).cast(field.dataType)).cast("string")  # one zero, not two
-    else:
-        text = col.cast("string")
-    if isinstance(field.dataType, T.AtomicType) and not isinstance(
-        field.dataType, (T.StringType, T.BinaryType)
-    ):
-        return text
-    digest = F.concat(F.lit("#"), F.md5(text.cast("binary")))
-    return F.when(F.length(text) <= 32, text).when(col.isNotNull(), digest)
-
-
 def catalog_columns(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -106,43 +86,67 @@ def catalog_columns(
     return rows(spark, data, CATALOG_SCHEMA)
 
 
-def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Exact row, null and distinct counts of every column of every table.
+# Columns profiled per pass: the grouping id has one bit per column.
+COLUMNS_PER_PASS = 32
+
 
-    Each table is scanned once: its cells become (column, value) pairs,
-    combined before the shuffle, so a value held by a third of all rows travels
-    once per task.
+def _value_key(field: T.StructField) -> Column:
+    """The value itself where it is short, else a text that is equal where values are.
+
+    Long texts are replaced by a marked digest, which no short text can equal.
     """
-    parts = []
-    for name, df in tables.items():
-        cells = F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(f.name).alias("column_name"), _value_key(f).alias("value"))
-                    for f in df.schema.fields
-                ]
-            )
-        )
-        parts.append(
-            df.select(cells.alias("c"))
-            .groupBy(
-                F.lit(name).alias("table_name"),
-                F.col("c.column_name").alias("column_name"),
-                F.col("c.value").alias("value"),
-            )
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(F.struct(col))
+    elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        text = col.cast("string")
+    else:
+        return col
+    digest = F.concat(F.lit("#"), F.md5(text.cast("binary")))
+    return F.when(F.length(text) <= 32, text).when(col.isNotNull(), digest)
+
+
+def _profile_pass(name: str, df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Counts of some columns of one table, each column one grouping set."""
+    keys = [f"c{i}" for i in range(len(fields))]
+    values = df.select(*[_value_key(f).alias(k) for f, k in zip(fields, keys)])
+    groups = values.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("set")
+    )
+    # in its own set only the grouped column can hold a value
+    given = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
+    column = F.lit(None).cast("string")
+    for i, f in enumerate(fields):
+        bits = (1 << len(fields)) - 1 - (1 << (len(fields) - 1 - i))
+        column = F.when(F.col("set") == bits, f.name).otherwise(column)
     return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("table_name", "column_name")
+        groups.groupBy("set")
         .agg(
             F.sum("n").alias("row_count"),
-            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-            F.count("value").alias("distinct_count"),
+            F.sum(F.when(given, 0).otherwise(F.col("n"))).alias("null_count"),
+            F.sum(given.cast("long")).alias("distinct_count"),
+        )
+        .select(
+            F.lit(name).alias("table_name"), column.alias("column_name"),
+            "row_count", "null_count", "distinct_count",
         )
     )
 
 
+def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Exact row, null and distinct counts of every column of every table.
+
+    A table is read once per pass. Equal values are combined before the shuffle,
+    so a value held by a third of all rows travels once per task.
+    """
+    parts = []
+    for name, df in tables.items():
+        fields = df.schema.fields
+        for start in range(0, len(fields), COLUMNS_PER_PASS):
+            parts.append(_profile_pass(name, df, fields[start : start + COLUMNS_PER_PASS]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def catalog(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
