@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tablecraft.operators.scd import scd2_backfill
 
@@ -66,6 +67,16 @@ def apply_batch(
         history.unpersist()
 
 
+def last_batch(spark: SparkSession, path: str) -> int:
+    """Number of the newest batch in the folder, -1 if there is none."""
+    try:
+        opened = spark.read.parquet(f"{path}/{OPEN}")
+    except AnalysisException:
+        return -1
+    newest = opened.agg(F.max("batch")).first()[0]
+    return -1 if newest is None else int(newest)
+
+
 def scd2_stream(
     stream: DataFrame,
     path: str,
@@ -75,10 +86,12 @@ def scd2_stream(
     ts_col: str,
     tie: Sequence[str] = (),
 ) -> int:
-    """Run the stream over what is available; returns the last batch number."""
+    """Run the stream over what is available; returns the newest batch number."""
+    merged = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         apply_batch(batch, batch_id, path, keys, tracked, ts_col, tie)
+        merged.append(batch_id)
 
     query = (
         stream.writeStream.foreachBatch(merge)
@@ -87,7 +100,7 @@ def scd2_stream(
         .start()
     )
     query.awaitTermination()
-    return max((p["batchId"] for p in query.recentProgress), default=-1)
+    return max(merged) if merged else last_batch(stream.sparkSession, path)
 
 
 def read_history(spark: SparkSession, path: str, last_batch: int) -> DataFrame:

@@ -155,6 +155,16 @@ def test_stream_over_many_batches(spark, tmp_path):
     assert last == 3
     assert history_bag(scd_stream.read_history(spark, path, last)) == walk(data)
     assert scd_stream.read_late(spark, path).count() == 0
+    args = (path, str(tmp_path / "cp"), KEYS, TRACKED, "at", ["id"])
+    assert scd_stream.scd2_stream(stream, *args) == last  # nothing new
+    more = [(1, "q", "2024-01-02 00:00:00", 900), (9, "r", "2024-01-02 00:00:01", 901)]
+    as_log(spark, more).coalesce(1).write.mode("append").parquet(str(src))
+    last = scd_stream.scd2_stream(stream, *args)
+    assert history_bag(scd_stream.read_history(spark, path, last)) == walk(data + more)
+
+
+def test_no_batches_yet(spark, tmp_path):
+    assert scd_stream.last_batch(spark, str(tmp_path / "nothing")) == -1
 
 
 def test_repeated_batch_and_late_rows(spark, tmp_path):
