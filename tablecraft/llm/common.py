@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from tablecraft.session import work_path
 
+ARROW = {
+    "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
+    "binary": pa.binary(),
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,6 +37,7 @@ def map_texts(
     Rows go through one by one as Arrow batches; no row is moved.
     """
     names = [part.split()[0] for part in schema.split(", ")]
+    kinds = [ARROW[part.split()[1]] for part in schema.split(", ")]
     kept = docs.select(*columns, "text")
     out = ", ".join([f"{c} {kept.schema[c].dataType.simpleString()}" for c in columns] + [schema])
 
@@ -41,7 +47,7 @@ def map_texts(
             for piece in pieces(batch):
                 found = [apply(t) for t in piece.column("text").to_pylist()]
                 arrays = [piece.column(c) for c in columns]
-                arrays += [pa.array([row[i] for row in found]) for i in range(len(names))]
+                arrays += [pa.array([row[i] for row in found], kind) for i, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *names])
 
     return kept.mapInArrow(run, out)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import decontamination, language, secrets, tokens
+from tablecraft.llm import (
+    decontamination,
+    language,
+    multiset,
+    near_copies,
+    quality,
+    repeats,
+    secrets,
+    shards,
+    tokens,
+    toxicity,
+)
 from tablecraft.llm.common import table
 
 # A public vocabulary outside the repository; the variable names another file.
@@ -56,3 +67,39 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query("op1_label_propagation")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot, groups of equal texts kept together."""
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ordinal_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_pivot_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-copy group of every document."""
+    return near_copies.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op6_positive_unlabelled")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from trusted positives and unlabelled text."""
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_block_anchors")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated runs of 35 words."""
+    return repeats.deduplicate(table(spark, sf_dir, "documents"))
+
+
+@query("op9_multiset_hash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset hash of every document and of its edited text."""
+    return multiset.fingerprints(table(spark, sf_dir, "documents"))
