@@ -27,7 +27,7 @@ MODULUS = 1 << 32
 
 def paragraphs(text: Column) -> Column:
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
-    return F.filter(lines, lambda p: F.length(F.trim(p)) > 0)
+    return F.filter(lines, lambda p: p.rlike(r"\S"))
 
 
 def fingerprint(text: Column) -> Column:

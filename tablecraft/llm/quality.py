@@ -5,10 +5,7 @@ label. With class prior p, loss l and scores g, the risk is
 p E_pos[l(g)] + max(0, E_unl[l(-g)] - p E_pos[l(-g)]); the last part estimates the
 negatives' risk, and where a step would make it negative, the step goes back instead.
 
-The prior is estimated from the sample: a plain classifier of positives against
-unlabelled text is fitted first, and its mean over positives held back divides its mean
-over unlabelled text (the rate at which positives are labelled, where labels are given
-at random).
+The prior is estimated from the sample without any negative label: see ``prior_of``.
 
 Features of a whole text: shares of character-class trigrams, and a few ratios. Defined
 cases: null and empty texts have all features 0; without positives every score is 0.5.
@@ -114,17 +111,21 @@ def plain(pos: np.ndarray, unl: np.ndarray, steps: int = 200) -> np.ndarray:
 
 
 def prior_of(pos: np.ndarray, unl: np.ndarray) -> float:
-    """Share of positives in unlabelled text, by the scores of positives held back.
+    """Share of positives in unlabelled text, from how a plain classifier ranks both.
 
-    Balanced odds o(x) = P(x | pos) / P(x | unl) are at most 1 / prior, and reach it
-    where no negatives are. Positives held back are mostly there; their upper mean
-    gives the estimate.
+    Unlabelled text is a mixture, so above any score its share is at least the prior
+    times the positives' share, and just that where no negatives are. The least ratio
+    over scores that leave a fifth of the positives or more is the estimate. Both sides
+    of the ratio are rows that the classifier was not fitted on.
     """
-    half = len(pos) // 2
-    w = plain(pos[:half], unl)
-    chance = sigmoid(pos[half:] @ w)
-    odds = chance / np.maximum(1 - chance, 1e-6)
-    return float(np.clip(1 / max(np.median(odds), 1.0), 0.05, 0.95))
+    w = plain(pos[::2], unl[::2])
+    trusted, mixed = np.sort(pos[1::2] @ w), np.sort(unl[1::2] @ w)
+    if not len(mixed):
+        return 0.5
+    cuts = np.quantile(trusted, np.linspace(0, 0.8, 81))
+    kept = 1 - np.searchsorted(trusted, cuts) / len(trusted)
+    above = 1 - np.searchsorted(mixed, cuts) / len(mixed)
+    return float(np.clip((above / kept).min(), 0.05, 0.95))
 
 
 def non_negative(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.02) -> np.ndarray:

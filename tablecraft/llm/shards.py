@@ -3,10 +3,11 @@
 Documents are linked through hubs (here: equal texts), so a group of any size is as
 many links as it has members, never its pairs. Linked documents start spread evenly.
 Each round, every document takes the votes of its neighbours' shards and asks to move
-to the shard with the most; requests are admitted under quotas. The quota from shard to
-shard is the exchange both sides can make, plus the room left in the target; so no
-shard ever exceeds its share, and cut edges fall while sizes stay even. Documents
-without links then fill each shard to its exact size, which costs no edge.
+to the shard with the most; requests are admitted under quotas. The quotas are a flow between shards
+under which none gains more than its room, its share and a small slack less what it
+holds; so cut edges fall while sizes stay even. Then each shard gives up what it holds
+above its share, and this and the documents without links, which cost no edge, fill
+each shard to its exact size.
 
 Ties between shards are broken by hub and shard, so that the members of a group ask for
 the same one. Votes of a hub are one row per hub, joined from a written table, so that a
@@ -28,6 +29,7 @@ from tablecraft.llm.common import rank_rows, store
 SHARDS = 24
 ROUNDS = 12
 SLICES = 16
+SLACK = 10  # a shard may exceed its share by a tenth until the last step
 
 
 def shares(rows: int, shards: int) -> list[int]:
@@ -35,18 +37,28 @@ def shares(rows: int, shards: int) -> list[int]:
 
 
 def quotas(asked: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
-    """How many may move from one shard to another.
+    """How many may move from one shard to another, so that no shard gains over its room.
 
-    What two shards exchange changes no size; beyond it the requests for a shard share
-    its room, the largest first.
+    All requests are granted first. Where a shard would gain too much, its inflow is cut
+    in proportion to what it may take, its room and its outflow; this takes outflow from
+    others, so it is repeated until all fit. Exchanges and longer cycles stay.
     """
-    out = {(a, b): min(n, asked.get((b, a), 0)) for (a, b), n in asked.items()}
-    left = list(room)
-    for (a, b), n in sorted(asked.items(), key=lambda x: (-x[1], x[0])):
-        more = min(n - out[a, b], left[b])
-        out[a, b] += more
-        left[b] -= more
-    return out
+    out = dict(asked)
+    while True:
+        fits = True
+        for s in range(len(room)):
+            inflow = [k for k in sorted(out) if k[1] == s]
+            coming = sum(out[k] for k in inflow)
+            may = room[s] + sum(n for (a, _), n in out.items() if a == s)
+            if coming > may:
+                fits = False
+                left = max(0, may)
+                for k in sorted(inflow, key=lambda k: -out[k]):
+                    take = min(left, -(-out[k] * max(0, may) // coming))
+                    left -= take
+                    out[k] = take
+        if fits:
+            return out
 
 
 def votes_of(links: DataFrame) -> DataFrame:
@@ -55,8 +67,13 @@ def votes_of(links: DataFrame) -> DataFrame:
     return tally.groupBy("hub").agg(F.collect_list(F.struct("shard", "n")).alias("votes"))
 
 
-def preference(links: DataFrame, votes: DataFrame, allowed: list[int]) -> DataFrame:
-    """(uid, shard, best, gain) of the documents that ask to move."""
+def preference(links: DataFrame, votes: DataFrame, allowed: list[int], share: int, seed: int) -> DataFrame:
+    """(uid, shard, best, gain) of the documents that ask to move.
+
+    A document asks for the shard with the most votes. Neighbours too many for one share
+    gather in as many shards as they need: a document in none of these asks for one of
+    them by its number.
+    """
     met = links.join(votes, "hub")
     open_ = F.array(*[F.lit(s) for s in allowed])
 
@@ -77,12 +94,18 @@ def preference(links: DataFrame, votes: DataFrame, allowed: list[int]) -> DataFr
             total(F.col("votes"), s).alias("n"), F.xxhash64(F.col("hub"), s).alias("tie"), s.alias("best")
         ),
     )
+    everyone = F.aggregate("votes", F.lit(0).cast("long"), lambda sum_, v: sum_ + v["n"])
     return (
-        per_doc.withColumn("choice", F.array_max(choices))
+        per_doc.withColumn("ranked", F.sort_array(choices, asc=False))
+        .withColumn("ranked", F.slice("ranked", 1, F.ceil(everyone / F.lit(max(share, 1))).cast("int")))
+        .where(~F.exists("ranked", lambda c: c["best"] == F.col("shard")))
+        .withColumn(
+            "choice", F.element_at("ranked", (F.pmod(F.xxhash64("uid", F.lit(seed)), F.size("ranked")) + 1).cast("int"))
+        )
         .withColumn("best", F.col("choice.best"))
         # its own vote does not count for the shard it is in
         .withColumn("gain", F.col("choice.n") - total(F.col("votes"), F.col("shard")) + 1)
-        .where("best <> shard")
+        .where("gain > 0")
         .select("uid", "shard", "best", "gain")
     )
 
@@ -123,16 +146,16 @@ def admitted(moves: DataFrame, room: list[int], seed: int) -> tuple[DataFrame |
 
 
 def propagate(links: DataFrame, share: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """``links`` (uid, hub, shard) after the rounds; no shard exceeds its share."""
+    """``links`` (uid, hub, shard) after the rounds; no shard exceeds its share by more than the slack."""
     shards = len(share)
     for number in range(rounds):
         sizes = [0] * shards
         for r in links.groupBy("shard").agg(F.count_distinct("uid").alias("n")).collect():
             sizes[r["shard"]] = r["n"]
-        room = [most - n for most, n in zip(share, sizes)]
+        room = [most + most // SLACK + 1 - n for most, n in zip(share, sizes)]
         allowed = [s for s in range(shards) if room[s] > 0] or list(range(shards))
         votes = store(votes_of(links), "votes")
-        moves, n = admitted(preference(links, votes, allowed), room, number)
+        moves, n = admitted(preference(links, votes, allowed, max(share), number), room, number)
         if not n:
             break
         links = store(
@@ -163,17 +186,21 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     linked = rank_rows(linked, [F.col("uid")], "at")
     links = linked.select("uid", "hub", F.pmod("at", F.lit(shards)).cast("int").alias("shard"))
     links = propagate(links, share, rounds)
-    kept = linked.join(links.select("uid", "shard"), "uid").drop("at", "hub")
+    kept = linked.join(links.select("uid", "shard"), "uid").drop("at")
 
-    # linked documents take the first slots of their shard, the others the rest
-    kept = rank_rows(kept, [F.col("shard"), F.col("uid")], "at")
-    sizes = [0] * shards
+    # linked documents take the first slots of their shard, up to its share; the last of
+    # the order, neighbours of each other, and the documents without links fill the rest
+    kept = rank_rows(kept, [F.col("shard"), F.col("hub"), F.col("uid")], "at").drop("hub")
+    held = [0] * shards
     for r in kept.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes[r["shard"]] = r["n"]
-    firsts = [sum(sizes[:s]) for s in range(shards)]
-    kept = kept.withColumn("slot", F.col("at") - pick(firsts, F.col("shard")))
+        held[r["shard"]] = r["n"]
+    firsts = [sum(held[:s]) for s in range(shards)]
+    kept = kept.withColumn("slot", F.col("at") - pick(firsts, F.col("shard"))).withColumn("linked", F.lit(True))
+    fits = F.col("slot") < pick(share, F.col("shard"))
+    sizes = [min(n, most) for n, most in zip(held, share)]
     free = rows.join(linked.select("uid"), "uid", "left_anti").drop("hub", "empty")
-    free = rank_rows(free, [F.col("uid")], "at")
+    spilled = kept.where(~fits).select(*free.columns, "linked")
+    free = rank_rows(free.withColumn("linked", F.lit(False)).unionByName(spilled), [F.desc("linked"), F.col("uid")], "at")
     ends, end = [], 0
     for s in range(shards):
         end += share[s] - sizes[s]
@@ -182,10 +209,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     shifts = [sizes[s] - (ends[s - 1] if s else 0) for s in range(shards)]
     free = free.withColumn("shard", shard.cast("int"))
     free = free.withColumn("slot", F.col("at") + pick(shifts, F.col("shard")))
-    columns = ["doc_id", "size", "text_crc32", "shard", "slot"]
-    return kept.select(*columns, F.lit(True).alias("linked")).unionByName(
-        free.select(*columns, F.lit(False).alias("linked"))
-    )
+    columns = ["doc_id", "size", "text_crc32", "shard", "slot", "linked"]
+    return kept.where(fits).select(*columns).unionByName(free.select(*columns))
 
 
 def pick(values: list[int], at: Column) -> Column:
