@@ -117,10 +117,16 @@ def avg_cents(total: Column, n: Column) -> Column:
 
 
 def hash_of(cols: Sequence[str | Column]) -> Column:
-    """SHA-256 hex of the columns as text, NULL as empty, joined by ``||``."""
-    texts = [
-        F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols
-    ]
+    """SHA-256 hex of the columns as text, joined by ``||``.
+
+    Different values never give the same text: NULL is ``\\N``, and a backslash or
+    bar within a value gets a backslash before it.
+    """
+    def text(col: Column) -> Column:
+        plain = F.replace(col.cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(plain, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+
+    texts = [text(F.col(c) if isinstance(c, str) else c) for c in cols]
     return F.sha2(F.concat_ws(HASH_SEPARATOR, *texts), 256)
 
 
@@ -129,10 +135,10 @@ def mask_hash(col: Column) -> Column:
 
 
 def mask_partial(col: Column, keep: int = 4) -> Column:
-    """All but the last ``keep`` characters become ``*``."""
-    return F.concat(
-        F.repeat(F.lit("*"), F.greatest(F.length(col) - keep, F.lit(0))), F.right(col, F.lit(keep))
-    )
+    """All but the last ``keep`` characters become ``*``; texts no longer than that, all of them."""
+    size = F.length(col)
+    shown = F.when(size > keep, F.right(col, F.lit(keep))).otherwise(F.lit(""))
+    return F.concat(F.repeat(F.lit("*"), F.when(size > keep, size - keep).otherwise(size)), shown)
 
 
 def days_between(start: Column, end: Column) -> Column:

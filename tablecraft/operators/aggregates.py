@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import any_of, avg_cents, cents, days_between, units
+from tablecraft.operators.windows import join_nullsafe
 
 # Name parts that tell how a measure may be summed and which
 # function fits it, tested in this order.
@@ -135,7 +136,8 @@ def rollup_measures(
     out = out.select(*cols)
     for name, (entity, order) in semi_additive.items():
         last = fact.groupBy(*dims, *entity).agg(F.max_by(name, F.struct(*order)).alias(name))
-        out = out.join(last.groupBy(*dims).agg(F.sum(name).alias(name)), list(dims))
+        # a NULL dimension is a group like any other
+        out = join_nullsafe(out, last.groupBy(*dims).agg(F.sum(name).alias(name)), list(dims))
     return out
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tablecraft.functions.scalars import differs
 from tablecraft.operators.setops import diff_rows, tag_counts
+from tablecraft.session import cut_lineage
 
 RESULT_SCHEMA = (
     "cte_name string, status string, rows_source long, rows_target long, "
@@ -28,6 +30,10 @@ def compare(a: DataFrame, b: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     a, b = a.drop(*skip), b.drop(*skip)
     if set(a.columns) != set(b.columns):
         raise ValueError(f"columns differ: {sorted(set(a.columns) ^ set(b.columns))}")
+    other = dict(b.dtypes)
+    types = {c: (kind, other[c]) for c, kind in a.dtypes if kind != other[c]}
+    if types:
+        raise ValueError(f"types differ: {types}")
     only_a = F.sum(F.when(F.col("n_b") == 0, 1).otherwise(0))
     only_b = F.sum(F.when(F.col("n_a") == 0, 1).otherwise(0))
     counts = tag_counts(a, b).agg(
@@ -169,7 +175,11 @@ def key_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def value_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], col: str, n: int = 20) -> DataFrame:
-    """Most frequent (source value, target value) pairs of a differing column."""
+    """The ``n`` most frequent (source value, target value) pairs of a differing column.
+
+    Works on the distinct values of each key: a key with v source and w target values
+    gives v * w pairs, however many rows it has.
+    """
     pairs = _pair_counts(a, b, keys, col)
     return pairs.orderBy(
         F.desc("occurrence_count"), F.asc_nulls_last("source_value"), F.asc_nulls_last("target_value")
@@ -187,7 +197,10 @@ def _pair_counts(a: DataFrame, b: DataFrame, keys: Sequence[str], col: str) -> D
             .agg(F.count(F.lit(1)).cast("decimal(38,0)").alias(n))
         )
 
-    joined = counted(a, "source_value", "n_a").join(counted(b, "target_value", "n_b"), keys)
+    # stored, so that the partition of a key with most of the values can be split
+    left = cut_lineage(counted(a, "source_value", "n_a"), "values")
+    right = cut_lineage(counted(b, "target_value", "n_b"), "values")
+    joined = left.join(right, keys)
     return (
         joined.filter(differs(F.col("source_value"), F.col("target_value")))
         .groupBy("source_value", "target_value")
@@ -198,21 +211,37 @@ def _pair_counts(a: DataFrame, b: DataFrame, keys: Sequence[str], col: str) -> D
 def investigate(
     a: DataFrame, b: DataFrame, keys: Sequence[str], col: str, n: int = 20
 ) -> dict[str, DataFrame]:
-    """Differences of one column: their number, value pairs and sample rows."""
-    counted = _pair_counts(a, b, keys, col)
-    samples = (
-        aligned(a.select(*keys, col), b.select(*keys, col), keys)
-        .filter(differs(F.col(f"a_{col}"), F.col(f"b_{col}")))
-        .select(
-            *keys, F.col(f"a_{col}").alias(f"source_{col}"), F.col(f"b_{col}").alias(f"target_{col}")
+    """Differences of one column: their number, the ``n`` most frequent value pairs and
+    the first ``n`` differing rows.
+
+    The number comes from counts per key and value. For the rows, the smallest n + 1
+    values of a key on each side are enough: at most one source value has no other
+    value to differ from.
+    """
+    keys = list(keys)
+    total = F.coalesce(F.sum("difference_count"), F.lit(0)).cast("long")
+
+    def smallest(df: DataFrame, value: str, copies: str) -> DataFrame:
+        counted = _no_null_key(df, keys).groupBy(*keys, F.col(col).alias(value)).agg(
+            F.count(F.lit(1)).alias(copies)
         )
-        .orderBy(*keys, f"source_{col}", f"target_{col}")
+        first = Window.partitionBy(*keys).orderBy(value)
+        return counted.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= n + 1).drop("_at")
+
+    source, target = f"source_{col}", f"target_{col}"
+    times = F.least(F.lit(n).cast("decimal(38,0)"), F.col("_a").cast("decimal(19,0)") * F.col("_b"))
+    samples = (
+        smallest(a, source, "_a")
+        .join(smallest(b, target, "_b"), keys)
+        .filter(differs(F.col(source), F.col(target)))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long"))))
+        .orderBy(*keys, source, target)
+        .select(*keys, source, target)
         .limit(n)
     )
-    total = F.coalesce(F.sum("occurrence_count"), F.lit(0)).cast("long")
     return {
-        "count": counted.agg(total.alias("diff_count")),
-        "pairs": value_pairs(a, b, keys, col),
+        "count": _repeated_key_diffs(a, b, keys, [col]).agg(total.alias("diff_count")),
+        "pairs": value_pairs(a, b, keys, col, n),
         "samples": samples,
     }
 
@@ -237,34 +266,34 @@ def compare_stages(
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Compare stage by stage, in the order of ``flow_a``.
 
-    Returns the result rows and, for stages with a key, their column summary.
-    A stage without a counterpart is SKIPPED; a stage that cannot be compared
-    is an ERROR row and the rest goes on.
+    Each stage runs by itself and gives one row, so a stage that fails, when it is
+    planned or when it runs, is an ERROR row and the rest goes on. A stage without a
+    counterpart is SKIPPED. Stages with a key and differences also get a column
+    summary, one row per differing column; one that fails is left out.
     """
     spark = next(iter(flow_a.values())).sparkSession
     keys = {name.lower(): cols for name, cols in (keys or {}).items()}
-    parts, summaries = [], {}
+    rows, summaries = [], {}
     for name, frame in flow_a.items():
-        note = None
         if name not in flow_b:
-            if only_common:
-                continue
-            note = ("SKIPPED", "Not present in target query")
-        else:
+            if not only_common:
+                rows.append((name, "SKIPPED", *[None] * 5, "Not present in target query"))
+            continue
+        try:
+            found = compare(frame, flow_b[name]).first()
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            rows.append((name, "ERROR", *[None] * 5, str(error).splitlines()[0]))
+            continue
+        rows.append((name, *found, None))
+        if found["status"] == "FAIL" and name.lower() in keys:
             try:
-                part = compare(frame, flow_b[name]).select(
-                    F.lit(name).alias("cte_name"), "*", F.lit(None).cast("string").alias("note")
-                )
-                if name.lower() in keys:
-                    summaries[name] = column_diffs(frame, flow_b[name], keys[name.lower()])
-            except (AnalysisException, ValueError) as error:
-                note = ("ERROR", str(error).splitlines()[0])
-        if note:
-            part = spark.createDataFrame(
-                [(name, note[0], None, None, None, None, None, note[1])], RESULT_SCHEMA
+                differing = column_diffs(frame, flow_b[name], keys[name.lower()]).take(len(frame.columns))
+            except (PySparkException, Py4JJavaError, ValueError):
+                continue
+            summaries[name] = spark.createDataFrame(
+                differing, "column_name string, difference_count long"
             )
-        parts.append(part)
-    return reduce(DataFrame.unionByName, parts), summaries
+    return spark.createDataFrame(rows, RESULT_SCHEMA), summaries
 
 
 def summarise(results: DataFrame) -> DataFrame:

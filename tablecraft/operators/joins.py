@@ -56,9 +56,10 @@ def as_of_join(
 ) -> DataFrame:
     """Each fact with the version where ``valid_from <= ts < valid_to``.
 
-    Versions of one key must not overlap. Both sides are put in one time line
-    per key and the latest version is carried forward, so the work is linear
-    also where one key has most of the facts and many versions.
+    Versions of one key must not overlap; versions of no length are left out. A NULL
+    key or time meets no version. Both sides are put in one time line per key and the
+    latest version is carried forward, so the work is linear also where one key has
+    most of the facts and many versions.
     """
     version = F.struct(
         *[F.col(c).alias(c) for c in cols],
@@ -66,7 +67,8 @@ def as_of_join(
         open_end(F.col(valid_to)).alias("_to"),
     )
     fact_row = F.struct(*[F.col(c) for c in facts.columns])
-    time_line = history.select(
+    lasting = history.filter(F.col(valid_from) < open_end(F.col(valid_to))).dropna(subset=list(keys))
+    time_line = lasting.select(
         *keys, F.col(valid_from).alias("_t"), F.lit(0).alias("_side"), version.alias("_version")
     ).unionByName(
         facts.select(
@@ -80,6 +82,8 @@ def as_of_join(
         ordered(time_line, keys, order).carry_forward(F.col("_version"), "_latest").frame()
     ).filter(F.col("_side") == 1)
     hit = F.col("_t") < F.col("_latest._to")
+    for k in keys:
+        hit = hit & F.col(k).isNotNull()
     return carried.select(
         "_fact.*", *[F.when(hit, F.col(f"_latest.{c}")).alias(c) for c in cols]
     )

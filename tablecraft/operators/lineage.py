@@ -68,6 +68,22 @@ def downstream(
     return _walk(edges, roots, depth, "source", "target", first_hop).drop("n_paths")
 
 
+def hop_edges(
+    edges: DataFrame, roots: DataFrame, depth: int = 3, carried: Sequence[str] = ()
+) -> DataFrame:
+    """The distinct edges a walk upstream of each root takes, with what they carry.
+
+    (root, source, target, ``carried``, depth), where depth is the hop. One row per
+    edge and hop, not per path: the nodes met before a hop meet their edges once.
+    """
+    links = edges.select("source", "target", *carried).distinct()
+    start = roots.select("root", F.col("root").alias("node"), F.lit(0).cast("long").alias("depth")).distinct()
+    met = start if depth == 1 else start.unionByName(upstream(edges, roots, depth - 1).drop("n_paths"))
+    return met.join(links, met["node"] == links["target"]).select(
+        "root", "source", "target", *carried, (F.col("depth") + 1).alias("depth")
+    )
+
+
 def nearest(walk: DataFrame) -> DataFrame:
     """(root, node) with the smallest depth."""
     return walk.groupBy("root", "node").agg(F.min("depth").alias("depth"))

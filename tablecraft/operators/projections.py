@@ -37,6 +37,8 @@ def apply_mappings(
     else the column of the same name. An aggregation groups by the other columns.
     """
     by_target = {m["target"]: m for m in mappings}
+    if len(by_target) < len(mappings):
+        raise ValueError("two mappings have one target")
     plain, aggregates, names = [], [], []
     for attr in sorted(attributes, key=lambda a: a["ordinal"]):
         name, mapping = attr["name"], by_target.get(attr["name"])
@@ -63,20 +65,25 @@ def derive_entity(
 ) -> DataFrame:
     """A derived entity over its sources, joined on their relationship keys.
 
-    ``relationships``: (left source, right source, key pairs). Every source
-    after the first needs one, so no source is multiplied without a key.
+    ``relationships``: (left source, right source, key pairs), in either direction.
+    Every source after the first needs one, so no source is multiplied without a key;
+    further ones between joined sources restrict the rows.
     """
     names = list(frames)
     joined = frames[names[0]].alias(names[0])
     present = {names[0]}
     for left, right, pairs in relationships:
-        if left not in present or not pairs:
-            raise ValueError(f"no usable key joins {right} to {sorted(present)}")
+        fresh = [x for x in (left, right) if x not in present]
+        if len(fresh) > 1 or not pairs:
+            raise ValueError(f"no usable key joins {left} and {right} to {sorted(present)}")
         cond = F.lit(True)
         for a, b in pairs:
             cond = cond & (F.col(f"{left}.{a}") == F.col(f"{right}.{b}"))
-        joined = joined.join(frames[right].alias(right), cond)
-        present.add(right)
+        if fresh:
+            joined = joined.join(frames[fresh[0]].alias(fresh[0]), cond)
+            present.add(fresh[0])
+        else:
+            joined = joined.filter(cond)
     if present != set(names):
         raise ValueError(f"sources without a relationship: {sorted(set(names) - present)}")
     return joined.select(

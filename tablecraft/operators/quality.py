@@ -26,18 +26,6 @@ PATTERNS = {
     "bic": r"^[A-Z]{4}[A-Z]{2}[A-Z0-9]{2}([A-Z0-9]{3})?$",
     "email_address": r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$",
 }
-VALUE_LISTS = {
-    "customer_tier": ["BRONZE", "SILVER", "GOLD", "PLATINUM"],
-    "order_status": ["PENDING", "CONFIRMED", "SHIPPED", "DELIVERED", "COMPLETED", "CANCELLED"],
-    "payment_method": ["CREDIT_CARD", "PAYPAL", "BANK_TRANSFER", "CRYPTO"],
-    "product_category": ["Electronics", "Furniture", "Accessories", "Clothing", "Books"],
-    "account_status": ["active", "dormant", "closed", "frozen", "pending"],
-    "transaction_type": [
-        "deposit", "withdrawal", "transfer_in", "transfer_out", "fee", "interest", "adjustment",
-    ],
-    "customer_segment": ["retail", "premium", "private_banking", "corporate", "institutional"],
-    "risk_rating": ["low", "medium", "high", "very_high"],
-}
 RANGES = {"interest_rate": (-0.1, 1.0), "percentage": (0, 100)}
 
 

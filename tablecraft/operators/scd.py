@@ -174,10 +174,14 @@ def scd2_backfill(
 ) -> DataFrame:
     """History of a whole change log at once; equals loading it row by row.
 
-    Rows that repeat the state before them are merged into it.
+    Rows that repeat the state before them are merged into it. Of several changes of a
+    key at one time the last in the order of ``tie`` counts (the largest state without
+    ``tie``), so every version has a length.
     """
     state = F.struct(*[F.col(c).alias(c) for c in tracked])
-    rows = ordered(log.select(*keys, *tracked, ts_col, *tie), keys, [ts_col, *tie])
+    last = F.max_by(state, F.struct(*[F.col(t) for t in tie])) if tie else F.max(state)
+    log = log.groupBy(*keys, ts_col).agg(last.alias("_state")).select(*keys, ts_col, "_state.*")
+    rows = ordered(log, keys, [ts_col])
     before = rows.lag(F.struct(state.alias("s")), "_before")
     starts = before.df.filter(
         F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(state)

@@ -25,16 +25,14 @@ def minus_all(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of ``a`` beyond the copies ``b`` has.
 
     Copies are counted per side before the shuffle, so a row repeated over a
-    third of the data travels once per task. Writing very many copies again is
-    cut into chunks that are spread over the tasks.
+    third of the data travels once per task. The copies are written again in
+    chunks that are spread over the tasks.
     """
     extra = tag_counts(a, b).withColumn("_n", F.col("n_a") - F.col("n_b")).filter(F.col("_n") > 0)
     one = F.lit(1).cast("long")
-    few = extra.filter(F.col("_n") <= COPIES_PER_CHUNK)
-    many = extra.filter(F.col("_n") > COPIES_PER_CHUNK)
     chunk = F.explode(F.sequence(one, F.ceil(F.col("_n") / COPIES_PER_CHUNK)))
     chunks = (
-        many.withColumn("_chunk", chunk)
+        extra.withColumn("_chunk", chunk)
         .withColumn(
             "_n",
             F.least(
@@ -45,8 +43,7 @@ def minus_all(a: DataFrame, b: DataFrame) -> DataFrame:
         .repartition("_chunk", *a.columns)
         .drop("_chunk")
     )
-    rows = few.unionByName(chunks)
-    return rows.withColumn("_copy", F.explode(F.sequence(one, F.col("_n")))).select(*a.columns)
+    return chunks.withColumn("_copy", F.explode(F.sequence(one, F.col("_n")))).select(*a.columns)
 
 
 def tag_counts(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -64,11 +64,15 @@ def derive_transactions(
     rates: DataFrame | None = None,
     currency: str = "currency_code",
     original: str | None = None,
+    txn: str | None = None,
 ) -> DataFrame:
     """Credit and debit split, EUR amount, running balance and reversal flag.
 
     ``rates``: (currency, rate to EUR). Without a rate the EUR amount is NULL.
-    ``original`` names the column with the reversed transaction, if any.
+    ``original`` names the column with the reversed transaction, if any. With ``txn``,
+    the column that identifies a transaction, the reversed one is looked up in ``df``:
+    its amount as ``original_amount``, and ``reversal_status`` says whether it exists
+    and the amounts cancel (FULL, PARTIAL, MISSING; NULL for other rows).
     """
     zero = F.lit(0).cast("decimal(18,2)")
     value = F.col(amount)
@@ -83,6 +87,20 @@ def derive_transactions(
         )
     if original is not None:
         split = split.withColumn("reversal_flag", F.col(original).isNotNull())
+    if original is not None and txn is not None:
+        # few rows reverse another one: only these meet the transactions
+        reversing = df.filter(F.col(original).isNotNull()).select(F.col(original).alias("_o")).distinct()
+        found = df.join(reversing, F.col(txn) == F.col("_o")).groupBy("_o").agg(
+            F.sum(value).alias("original_amount")
+        )
+        split = split.join(found, F.col(original) == F.col("_o"), "left").drop("_o")
+        known = F.col("original_amount").isNotNull()
+        split = split.withColumn("original_amount", F.col("original_amount").cast("decimal(28,2)")).withColumn(
+            "reversal_status",
+            F.when(F.col("reversal_flag") & ~known, "MISSING")
+            .when(F.col("reversal_flag") & (F.col("original_amount") + value == 0), "FULL")
+            .when(F.col("reversal_flag"), "PARTIAL"),
+        )
     return ordered(split, [account], order).running_sum(value, "balance_after").frame()
 
 
@@ -100,7 +118,9 @@ def daily_snapshot(
     Transactions become balances, balances become one row per active day; only
     then is the calendar spread out, so the carry-forward window of an account
     holds days and not transactions. The spine runs from an account's first
-    active day (or ``first_day`` if earlier rows exist) to ``last_day``.
+    active day, or from ``first_day`` if that is later, to ``last_day``; the balance
+    before ``first_day`` is carried in, and an account that starts after ``last_day``
+    has no rows.
     """
     value = F.col(amount)
     balances = ordered(txn, [account], order).running_sum(value, "_after").frame()
@@ -117,10 +137,25 @@ def daily_snapshot(
     )
     begin = F.lit(first_day).cast("date") if isinstance(first_day, str) else first_day
     end = F.lit(last_day).cast("date") if isinstance(last_day, str) else last_day
-    spine = days.groupBy(account).agg(F.min("day").alias("_first")).select(
-        account, F.explode(F.sequence(F.least(F.col("_first"), begin), end)).alias("day")
+    bounded = days.withColumn("_begin", begin).withColumn("_end", end)
+    start = F.greatest("_first", "_begin")
+    spine = (
+        bounded.groupBy(account)
+        .agg(F.min("day").alias("_first"), F.min("_begin").alias("_begin"), F.min("_end").alias("_end"))
+        .filter(start <= F.col("_end"))
+        .select(account, F.explode(F.sequence(start, F.col("_end"))).alias("day"))
+    )
+    # the balance before the first day stands on the day before it
+    earlier = (
+        bounded.filter(F.col("day") < F.col("_begin"))
+        .groupBy(account)
+        .agg(F.max_by("_closing", "day").alias("_closing"), F.date_sub(F.min("_begin"), 1).alias("day"))
+    )
+    grid = (
+        spine.join(days, [account, "day"], "left")
+        .withColumn("_shown", F.lit(True))
+        .unionByName(earlier.withColumn("_shown", F.lit(False)), allowMissingColumns=True)
     )
-    grid = spine.join(days, [account, "day"], "left")
     # at most one row per calendar day in a group, so no group needs splitting
     by_day = Ordered(grid, (account,), ("day",), split=False)
     carried = by_day.carry_forward(F.col("_closing"), "_carried").lag(
@@ -131,7 +166,7 @@ def daily_snapshot(
     opening = F.coalesce("_previous", zero).cast(money)
     closing = F.coalesce("_carried", zero).cast(money)
     credits, debits = F.coalesce("_credits", zero), F.coalesce("_debits", zero)
-    return carried.frame().select(
+    return carried.frame().filter("_shown").select(
         account,
         "day",
         opening.alias("balance_opening"),

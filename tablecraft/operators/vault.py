@@ -1,17 +1,27 @@
-"""Data Vault loads and checks on hash keys."""
+"""Data Vault loads and checks on hash keys.
+
+One rule for business keys with a NULL part holds in hubs, links and satellites: they
+are no keys, such rows are not loaded, and ``rejected`` returns them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import differs, hash_of, ts
 from tablecraft.operators.windows import dedup_latest, ordered
 
 
+def rejected(src: DataFrame, bk: Sequence[str]) -> DataFrame:
+    """Rows that no load takes, as a part of their business key is NULL."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in bk])
+    return src.filter(~whole)
+
+
 def load_hub(
     src: DataFrame,
     bk: Sequence[str],
@@ -61,16 +71,30 @@ def load_satellite(
     as_of: str,
     source: str,
     sat: DataFrame | None = None,
+    order: Sequence[str | Column] | None = None,
 ) -> DataFrame:
-    """New satellite rows: keys whose attribute hash differs from the latest one."""
-    rows = src.select(
-        hash_of(list(bk)).alias(hash_key),
+    """New satellite rows: keys whose attribute hash differs from the latest one.
+
+    ``order`` ranks several rows of one key; the first in that order is its state.
+    Without it a key may come once only, else the load raises. Equal rows of a key
+    are one state.
+    """
+    hashed = src.dropna(subset=list(bk)).select(
+        hash_of(list(bk)).alias("_hk"), hash_of(list(attrs)).alias("_diff"), "*"
+    )
+    if order:
+        hashed = dedup_latest(hashed, ["_hk"], list(order), ["_diff"]).drop("rn")
+    else:
+        hashed = hashed.dropDuplicates(["_hk", "_diff"])
+        if not hashed.groupBy("_hk").count().filter("count > 1").isEmpty():
+            raise ValueError("several states of one key need an order")
+    rows = hashed.select(
+        F.col("_hk").alias(hash_key),
         ts(as_of).alias("load_date"),
         *attrs,
-        hash_of(list(attrs)).alias("hash_diff"),
+        F.col("_diff").alias("hash_diff"),
         F.lit(source).alias("record_source"),
     )
-    rows = dedup_latest(rows, [hash_key], [F.col("hash_diff")]).drop("rn")
     if sat is None:
         return rows
     latest = (

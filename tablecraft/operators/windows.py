@@ -5,8 +5,9 @@ the best plan. Beyond ``tablecraft.maxGroupRows`` the rows are ranged over
 (group, order) instead, so a large group spans many segments; every segment is
 computed on its own, and what it needs from the segments before it (a count, a
 sum, the last row) comes from a carry table. Only a group that crosses a segment
-border needs a carry row, so that table has fewer rows than there are segments
-and is safe to broadcast.
+border needs a carry row, so that table has fewer rows than there are segments.
+Both ways give the same rows and the same types. Without a group there is nothing
+but the order, and rows are always ranged over it.
 """
 
 from __future__ import annotations
@@ -78,28 +79,14 @@ def join_per_key(
 ) -> DataFrame:
     """Attach one row per key to many rows, also where a key owns most of them.
 
-    ``per_key`` holds every key of ``df`` once, with its number of rows in ``n``.
-    Keys above the row limit are few (all rows divided by the limit), so they are
-    broadcast; their rows are then spread by a salt that no other key uses and
-    pass the join of the remaining keys untouched.
+    ``per_key`` holds every key of ``df`` once, with its number of rows in ``n``. It
+    is stored first: against a plain table, Spark splits the partition of a key that
+    owns most rows, which it does not against an aggregate, and it knows the size
+    when it chooses how to join.
     """
-    limit = group_limit(df.sparkSession)
     values = [c for c in per_key.columns if c not in keys and (keep_n or c != n)]
-    row = F.struct(*values)
-    hot = per_key.filter(F.col(n) > limit).select(*keys, row.alias("_hot"))
-    flagged = join_nullsafe(df, F.broadcast(hot), keys)
-    # the same on a retry: depends on the row and its input partition only
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + F.spark_partition_id()
-    flagged = flagged.withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), F.lit(-1)).otherwise(spread).cast("long")
-    )
-    rest = per_key.filter(F.col(n) <= limit).select(
-        *keys, F.lit(-1).cast("long").alias("_salt"), row.alias("_rest")
-    )
-    joined = join_nullsafe(flagged, rest, [*keys, "_salt"])
-    return joined.select(
-        *df.columns, *[F.coalesce(f"_hot.{c}", f"_rest.{c}").alias(c) for c in values]
-    )
+    stored = cut_lineage(per_key.select(*keys, *values), "per-key")
+    return join_nullsafe(df, stored, keys).select(*df.columns, *values)
 
 
 @dataclass(frozen=True)
@@ -126,7 +113,7 @@ class Ordered:
 
     def _with_carry(self, carry: DataFrame) -> DataFrame:
         """Attach the carry; it has at most one row per segment border."""
-        return join_nullsafe(self.df, F.broadcast(carry), [*self.part, SEGMENT])
+        return join_nullsafe(self.df, carry, [*self.part, SEGMENT])
 
     def _across(self):
         return Window.partitionBy(*self.part).orderBy(SEGMENT)
@@ -149,7 +136,9 @@ class Ordered:
             local.isNotNull() | F.col(_CARRY).isNotNull(),
             F.coalesce(local, F.lit(0)) + F.coalesce(F.col(_CARRY), F.lit(0)),
         )
-        return self.with_df(joined.withColumn(out, total).drop(_CARRY))
+        # the type of a plain window, whose range the total never needs to leave
+        kind = joined.select(local.alias("x")).schema["x"].dataType
+        return self.with_df(joined.withColumn(out, total.cast(kind)).drop(_CARRY))
 
     def row_number(self, out: str) -> "Ordered":
         if not self.split:
@@ -207,16 +196,18 @@ class Ordered:
 def ordered(df: DataFrame, part: Sequence[str], order: Sequence[str | Column]) -> Ordered:
     """Prepare ``df`` for ordered functions; splits groups beyond the row limit.
 
-    ``order`` must be unique inside a group. The segments are stored, because a
+    Without a group the rows are always split. ``order`` must be unique inside a group. The segments are stored, because a
     segment number read twice from a shuffle could differ between the reads.
     """
     if not order:
         raise ValueError("an ordered window needs an order")
     spark = df.sparkSession
     limit = group_limit(spark)
-    total, largest = group_sizes(df, part)
-    if largest <= limit:
-        return Ordered(df, tuple(part), tuple(order), split=False)
+    total = 0
+    if part:
+        total, largest = group_sizes(df, part)
+        if largest <= limit:
+            return Ordered(df, tuple(part), tuple(order), split=False)
     segments = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / limit))
     ranged = df.repartitionByRange(segments, *_cols(part), *_cols(order))
     stored = cut_lineage(ranged.withColumn(SEGMENT, F.spark_partition_id()))

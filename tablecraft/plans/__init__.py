@@ -4,6 +4,7 @@ from tablecraft.plans import (  # noqa: F401
     basics,
     catalogs,
     checks,
+    edges,
     history,
     regression,
     scalars,

@@ -734,7 +734,8 @@ def unmapped_columns(spark, d):
 TERMS_SQL = """
   terms AS (
     SELECT 'term_' || replace(p_name, ' ', '_') AS term_id, p_name AS name,
-           'Part of type ' || min(p_type) AS definition, [min(p_type)] AS synonyms,
+           'Part of type ' || min(p_type) AS definition,
+           list_sort(list(DISTINCT p_type)) AS synonyms,
            CASE WHEN min(p_type) = 'ECONOMY' THEN 'business' ELSE 'technical' END AS category
     FROM part GROUP BY p_name),
   targets AS (
@@ -742,21 +743,23 @@ TERMS_SQL = """
            'Stock of ' || p_name AS description FROM part
     UNION ALL SELECT DISTINCT 'tbl:' || p_name, p_name, NULL FROM part
     UNION ALL SELECT DISTINCT 'dim:' || p_name, 'dim ' || p_name, NULL FROM part
-    UNION ALL SELECT 'type:' || p_type, 'type_' || lower(p_type), 'like ' || min(p_name) FROM part
-              GROUP BY p_type
+    UNION ALL SELECT 'type:' || p_type, 'type_' || lower(p_type), 'like ' || array_to_string(
+                list_sort(list(DISTINCT p_name)), ', ') FROM part GROUP BY p_type
     UNION ALL SELECT DISTINCT 'word:' || split_part(p_name, ' ', 2), split_part(p_name, ' ', 2), NULL
               FROM part)"""
 
 
 def terms(spark, d):
-    """One term per part name, with its first type as a synonym."""
+    """One term per part name, with all its types as synonyms."""
     part = read_table(spark, d, "part", ["p_name", "p_type"])
-    first = part.groupBy("p_name").agg(F.min("p_type").alias("t"))
+    first = part.groupBy("p_name").agg(
+        F.min("p_type").alias("t"), F.sort_array(F.collect_set("p_type")).alias("types")
+    )
     return first.select(
         F.concat(F.lit("term_"), F.replace("p_name", F.lit(" "), F.lit("_"))).alias("term_id"),
         F.col("p_name").alias("name"),
         F.concat(F.lit("Part of type "), "t").alias("definition"),
-        F.array("t").alias("synonyms"),
+        F.col("types").alias("synonyms"),
         F.when(F.col("t") == "ECONOMY", "business").otherwise("technical").alias("category"),
     )
 
@@ -781,7 +784,9 @@ def targets(spark, d):
             )
         )
         .unionByName(
-            part.groupBy("p_type").agg(F.min("p_name").alias("n")).select(
+            part.groupBy("p_type")
+            .agg(F.array_join(F.sort_array(F.collect_set("p_name")), ", ").alias("n"))
+            .select(
                 F.concat(F.lit("type:"), "p_type").alias("target_id"),
                 F.concat(F.lit("type_"), F.lower("p_type")).alias("name"),
                 F.concat(F.lit("like "), "n").alias("description"),
@@ -859,7 +864,7 @@ TITLE_SQL = (
     "array_to_string([upper(substring(x, 1, 1)) || lower(substring(x, 2)) "
     "for x in string_split(replace({0}, '_', ' '), ' ')], ' ')"
 )
-DESCRIBED = ["customer", "orders", "events"]
+DESCRIBED = list(GIVEN_COLUMNS)
 
 
 def _attribute_sql(table: str) -> str:

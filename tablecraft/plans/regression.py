@@ -260,8 +260,8 @@ def key_coverage(spark, d):
 
 
 def _days_sql(kind: str) -> str:
-    return f"""SELECT DISTINCT 'day_' || strftime(ts, '%Y-%m-%d') AS stage FROM events
-      WHERE event_type = '{kind}' AND value > 200"""
+    return f"""SELECT DISTINCT 'day_' || strftime(ts, '%Y-%m-%d %H:%M') AS stage FROM events
+      WHERE event_type = '{kind}'"""
 
 
 @query(
@@ -273,12 +273,11 @@ def _days_sql(kind: str) -> str:
        FROM a FULL JOIN b ON a.stage = b.stage""",
 )
 def stage_inventory(spark, d):
-    """Two daily flows with one stage per day on which they have something to do."""
-    events = read_table(spark, d, "events", ["ts", "event_type", "value"])
-    large = events.filter(F.col("value") > 200)
-    stage = F.concat(F.lit("day_"), F.date_format("ts", "yyyy-MM-dd")).alias("stage")
+    """Two daily flows with one stage per minute in which they have something to do."""
+    events = read_table(spark, d, "events", ["ts", "event_type"])
+    stage = F.concat(F.lit("day_"), F.date_format("ts", "yyyy-MM-dd HH:mm")).alias("stage")
     names = [
-        large.filter(F.col("event_type") == kind).select(stage).distinct()
+        events.filter(F.col("event_type") == kind).select(stage).distinct()
         for kind in ("purchase", "error")
     ]
     return cmp.stage_inventory(*names)

@@ -145,16 +145,15 @@ MONEY_COLUMNS = [
 ]
 
 
-@query(
-    "daily_snapshot",
-    """WITH t AS (
+def _snapshot_sql(first: str, last: str) -> str:
+    return f"""WITH t AS (
          SELECT user_id, event_id, ts, CAST(ts AS DATE) AS day,
                 CAST(CASE WHEN event_type IN ('purchase', 'signup') THEN value
                           WHEN event_type = 'error' THEN -value ELSE 0 END AS DECIMAL(18,2)) AS a
          FROM events),
        b AS (SELECT *, sum(a) OVER (PARTITION BY user_id ORDER BY ts, event_id
                ROWS UNBOUNDED PRECEDING) AS bal FROM t),
-       g AS (SELECT user_id, day, arg_max(bal, {'t': ts, 'i': event_id}) AS closing,
+       g AS (SELECT user_id, day, arg_max(bal, {{'t': ts, 'i': event_id}}) AS closing,
                     min(bal) AS low, max(bal) AS high, sum(bal) AS s, count(*) AS n,
                     count(*) FILTER (a > 0) AS nc, count(*) FILTER (a < 0) AS nd,
                     coalesce(sum(a) FILTER (a > 0), 0) AS c,
@@ -163,7 +162,8 @@ MONEY_COLUMNS = [
        days AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM t),
                   (SELECT max(day) FROM t), INTERVAL 1 DAY)) AS DATE) AS day),
        grid AS (SELECT u.user_id, days.day, g.* EXCLUDE (user_id, day)
-                FROM (SELECT DISTINCT user_id FROM t) u CROSS JOIN days
+                FROM (SELECT user_id, min(day) AS since FROM t GROUP BY 1) u
+                JOIN days ON days.day >= u.since
                 LEFT JOIN g ON g.user_id = u.user_id AND g.day = days.day),
        f AS (SELECT *, last_value(closing IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY day
                ROWS UNBOUNDED PRECEDING) AS cc FROM grid),
@@ -182,9 +182,10 @@ MONEY_COLUMNS = [
               CAST(coalesce(d, 0) AS DOUBLE) AS total_debits,
               CAST(coalesce(c, 0) - coalesce(d, 0) AS DOUBLE) AS net_change,
               CAST(greatest(-cl, 0) AS DOUBLE) AS overdraft_used, cl < 0 AS is_overdrawn
-       FROM x""",
-)
-def daily_snapshot(spark, d):
+       FROM x WHERE day BETWEEN {first} AND {last}"""
+
+
+def _snapshot(spark, d, first=None, last=None):
     events = read_table(spark, d, "events", ["user_id", "event_id", "ts", "event_type", "value"])
     kind = F.col("event_type")
     amount = (
@@ -193,15 +194,26 @@ def daily_snapshot(spark, d):
         .otherwise(F.lit(0.0))
     )
     txn = events.select("user_id", "event_id", "ts", money(amount).alias("amount"))
-    first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    begin, end = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
     out = star.daily_snapshot(
-        txn, "user_id", "ts", ["ts", "event_id"], "amount", str(first), str(last)
+        txn, "user_id", "ts", ["ts", "event_id"], "amount", first or str(begin), last or str(end)
     )
     for c in MONEY_COLUMNS:
         out = out.withColumn(c, as_double(F.col(c)))
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+@query("daily_snapshot", _snapshot_sql("(SELECT min(day) FROM t)", "(SELECT max(day) FROM t)"))
+def daily_snapshot(spark, d):
+    return _snapshot(spark, d)
+
+
+@query("daily_snapshot_period", _snapshot_sql("DATE '2024-01-05'", "DATE '2024-01-20'"))
+def daily_snapshot_period(spark, d):
+    """A period within the activity: balances are carried in, later accounts are left out."""
+    return _snapshot(spark, d, "2024-01-05", "2024-01-20")
+
+
 @query(
     "dormant_customers",
     """SELECT c_custkey, last_activity, last_activity IS NULL OR last_activity

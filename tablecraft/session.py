@@ -55,18 +55,32 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The folder of this application within the shared folder."""
+    return f"{shared_dir(spark)}/tablecraft/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/tablecraft/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder of this application."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared folder, so a lost executor costs no recomputation."""
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Store ``df`` in the shared folder, so a lost executor costs no recomputation.
+
+    The copy is Parquet: what reads it reads only its columns, filters reach the
+    files, and the planner knows the written size.
+    """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete what this application stored; frames that read it can not be used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def group_limit(spark: SparkSession) -> int:

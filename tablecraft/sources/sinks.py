@@ -18,19 +18,25 @@ def upsert(
     keys: Sequence[str],
     mode: str = "replace",
     order: Sequence[str | Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows of ``target`` after ``changes`` by key.
 
     ``replace``: a change overwrites the row of its key. ``ignore``: a key that
     exists keeps its row. ``order`` ranks several changes of one key; the first
-    in that order wins.
+    in that order wins. Without it a key may come once only, which is checked unless
+    ``unique`` says so; equal changes count as one.
     """
     if mode not in ("replace", "ignore"):
         raise ValueError(f"unknown mode {mode!r}")
+    keys = list(keys)
     if order:
         changes = dedup_latest(changes, keys, order).drop("rn")
     changes = changes.select(*target.columns)
-    keys = list(keys)
+    if not order and not unique:
+        changes = changes.distinct()
+        if not changes.groupBy(*keys).count().filter("count > 1").isEmpty():
+            raise ValueError("several changes of one key need an order")
     if mode == "replace":
         kept = target.join(changes.select(*keys), keys, "left_anti")
         return kept.select(*target.columns).unionByName(changes)
@@ -49,7 +55,23 @@ def materialise(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_scd2(
+    history: DataFrame, path: str, version: int, partition_by: Sequence[str] = ("is_current",)
+) -> DataFrame:
+    """Incremental layer table: ``history`` as version ``version`` of the table at ``path``.
+
+    A merge reads the version before it, so a version never overwrites what it was
+    made from. Readers take the newest; the one before the last is deleted.
+    """
+    spark = history.sparkSession
+    target = f"{path}/version={version}"
+    history.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={version - 2}")
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(history.schema).parquet(target)
 
 
 def write_fact(df: DataFrame, path: str, date_col: str, order_col: str) -> DataFrame:

@@ -53,7 +53,7 @@ def spark_result(df):
 def duck_result(con, sql: str):
     cur = con.execute(sql)
     cols = [c[0] for c in cur.description]
-    kinds = {c[0]: KINDS.get(str(c[1]), str(c[1])) for c in cur.description}
+    kinds = {c[0]: KINDS.get(str(c[1]), str(c[1]).lower()) for c in cur.description}
     names = sorted(cols)
     at = [cols.index(n) for n in names]
     rows = [tuple(_plain(r[i]) for i in at) for r in cur.fetchall()]
