@@ -33,36 +33,51 @@ def search_terms(
     return terms.filter(hit)
 
 
-def _lengths(df: DataFrame, col: str) -> list[int]:
-    """Distinct text lengths: small integers, however many rows there are."""
-    found = df.select(F.length(col).alias("n")).filter(F.col("n") > 0).distinct().collect()
-    return sorted(r["n"] for r in found)
+GRAM = 3
 
 
-def _substrings(col: Column, lengths: Sequence[int]) -> Column:
-    """All distinct substrings of the given lengths."""
-
-    def of_length(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(col) - n + 1)
-        pieces = F.transform(starts, lambda i: F.substring(col, i, F.lit(n)))
-        return F.when(F.length(col) >= n, pieces).otherwise(F.array().cast("array<string>"))
-
-    return F.array_distinct(F.flatten(F.array(*[of_length(n) for n in lengths])))
+def _grams(col: Column, size: Column) -> Column:
+    """Distinct runs of ``size`` characters, or the whole text where it is shorter."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(col) - size + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(col, i, size)))
 
 
 def contains_pairs(needles: DataFrame, needle: str, hay: DataFrame, text: str) -> DataFrame:
     """Distinct (needle, text) pairs where the needle occurs in the text.
 
-    Texts are cut into their substrings of needle length and joined by equality,
-    so only true pairs meet; no pair is tried and thrown away.
+    A needle is joined by its rarest gram, the run of three characters that the fewest
+    texts have, and the pairs that meet are checked. Grams are counted over the texts
+    before anything meets, and a text gives no more grams than it has characters.
+    Needles of one or two characters are their own gram and meet runs of their length.
     """
     small = needles.select(F.col(needle).alias("_needle")).filter(F.length("_needle") > 0).distinct()
-    lengths = _lengths(small, "_needle")
     big = hay.select(F.col(text).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
-    if not lengths:
-        return small.join(big, F.lit(False)).select("_needle", "_text")
-    cut = big.select("_text", F.explode(_substrings(F.col("_text"), lengths)).alias("_piece"))
-    return small.join(cut, small["_needle"] == cut["_piece"]).select("_needle", "_text")
+    small = small.withColumn("_size", F.least(F.length("_needle"), F.lit(GRAM)))
+    offered = small.select(
+        "_needle", "_size", F.explode(_grams(F.col("_needle"), F.col("_size"))).alias("_gram")
+    )
+    sizes = F.array(*[F.lit(n) for n in range(1, GRAM + 1)])
+    runs = big.select("_text", F.explode(sizes).alias("_size")).filter(F.length("_text") >= F.col("_size"))
+    runs = runs.join(small.select("_size").distinct(), "_size", "left_semi")
+    runs = runs.select("_text", "_size", F.explode(_grams(F.col("_text"), F.col("_size"))).alias("_gram"))
+    frequency = runs.groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts"))
+    # a gram that no text has rules its needle out; else the rarest one is kept
+    rarest = (
+        offered.join(frequency, "_gram", "left")
+        .groupBy("_needle")
+        .agg(
+            F.min_by("_gram", F.struct(F.coalesce("_texts", F.lit(0)), F.col("_gram"))).alias("_gram"),
+            F.min(F.coalesce("_texts", F.lit(0))).alias("_texts"),
+        )
+        .filter(F.col("_texts") > 0)
+    )
+    # stored, so that the partition of a gram that many texts have can be split
+    rarest = cut_lineage(rarest.select("_needle", "_gram"), "needles")
+    return (
+        runs.join(rarest, "_gram")
+        .filter(F.col("_text").contains(F.col("_needle")))
+        .select("_needle", "_text")
+    )
 
 
 def _word_pairs(terms: DataFrame, targets: DataFrame, min_conf: float) -> DataFrame:

@@ -368,11 +368,11 @@ def catalog_vault(spark, d):
                  WHERE construct_type = 'link' AND linked_hubs <> ''),
         sats AS (SELECT table_name, substring(hash_key, 4) AS p FROM constructs
                  WHERE construct_type = 'satellite')
-        SELECT 'issue' AS level, table_name, 'Link ''' || table_name || ''' references Hub ''' || r
-                 || ''' which was not found' AS message FROM refs
+        SELECT 'issue' AS level, table_name, 'link ' || table_name || ' names hub ' || r
+                 || ', which does not exist' AS message FROM refs
         WHERE NOT EXISTS (SELECT 1 FROM hubs WHERE contains(h, r))
         UNION ALL
-        SELECT 'warning', h, 'Hub ''' || h || ''' has no associated Satellites' FROM hubs
+        SELECT 'warning', h, 'hub ' || h || ' is described by no satellite' FROM hubs
         WHERE NOT EXISTS (SELECT 1 FROM sats WHERE contains(h, p))""",
 )
 def catalog_vault_findings(spark, d):
@@ -456,17 +456,17 @@ def catalog_dimensional(spark, d):
         facts AS (SELECT * FROM stars WHERE construct_type = 'fact'),
         k AS (SELECT table_name, unnest(string_split(dimension_keys, ',')) AS key FROM facts
               WHERE dimension_keys <> '')
-        SELECT 'issue' AS level, table_name, 'Fact table has no dimension foreign keys' AS message
+        SELECT 'issue' AS level, table_name, 'fact without keys of dimensions' AS message
         FROM facts WHERE n_fk = 0
-        UNION ALL SELECT 'issue', table_name, 'Fact table has no measures' FROM facts WHERE n_m = 0
+        UNION ALL SELECT 'issue', table_name, 'fact without measures' FROM facts WHERE n_m = 0
         UNION ALL SELECT 'warning', table_name,
-          'Dimension key ''' || key || ''' has no matching dimension' FROM k WHERE NOT EXISTS (
+          'no dimension belongs to key ' || key FROM k WHERE NOT EXISTS (
             SELECT 1 FROM dims WHERE contains(dims.table_name,
               replace(replace(key, '_sk', ''), '_key', '')))
-        UNION ALL SELECT 'warning', table_name, 'Dimension ''' || table_name
-          || ''' missing surrogate key' FROM dims WHERE surrogate_key IS NULL
-        UNION ALL SELECT 'warning', table_name, 'Dimension ''' || table_name
-          || ''' has few attributes - consider enriching' FROM dims WHERE n_a < 2""",
+        UNION ALL SELECT 'warning', table_name, 'dimension ' || table_name
+          || ' without a surrogate key' FROM dims WHERE surrogate_key IS NULL
+        UNION ALL SELECT 'warning', table_name, 'dimension ' || table_name
+          || ' describes little' FROM dims WHERE n_a < 2""",
 )
 def catalog_star_findings(spark, d):
     return rules.validate_star(rules.classify_dimensional(built_catalog(spark, d)))
