@@ -4,6 +4,8 @@ from __future__ import annotations
 
 
 
+from pyspark.sql import functions as F
+
 from tablecraft.operators import scd
 from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
@@ -148,6 +150,26 @@ def scd2_stream_events(spark, d):
     return fx.with_text_stamps(read_history(spark, path, last))
 
 
+@query("scd2_stream_batches", STATE_SQL)
+def scd2_stream_batches(spark, d):
+    """All events in four batches by time, some of them a batch late."""
+    events = read_table(spark, d, "events", ["user_id", "event_type", "ts", "event_id"])
+    number = F.floor((F.dayofmonth("ts") - 1) / 8) + F.when(F.col("event_id") % 17 == 0, 1).otherwise(0)
+    numbered = events.withColumn("batch", F.least(number, F.lit(3)).cast("int"))
+    source = work_path(spark, "scd-source")
+    # file order follows the time of writing, so one write per batch
+    for batch in range(4):
+        part = numbered.filter(F.col("batch") == batch).drop("batch")
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    path = work_path(spark, "scd-batches")
+    last = scd2_stream(
+        stream, path, work_path(spark, "scd-checkpoint"), ["user_id"], ["event_type"], "ts", ["event_id"],
+        buckets=8,
+    )
+    return fx.with_text_stamps(read_history(spark, path, last))
+
+
 @query(
     "scd2_missing_current",
     f"""WITH {fx.HISTORY_SQL}, s3 AS ({fx.snapshot_sql(fx.DAY_3)})

@@ -1,31 +1,44 @@
 """Incremental SCD2 over a stream, one micro-batch at a time.
 
-The target folder holds ``current/batch=N`` (the open version of every key after
-batch N), ``closed/batch=N`` (versions that batch closed) and ``late/batch=N``
-(rows older than the open version of their key, kept for a backfill). A batch
-reads the folder of the batch before it and overwrites only its own folders, so
-a repeated batch gives the same files.
+The state is split into hash buckets of the key. The target folder holds
+``log/batch=N/bucket=B``, the changes of each batch, and ``history/version=N/bucket=B``,
+the whole history of the keys of a bucket after batch N. A batch appends its changes and
+rewrites the buckets it touches, from their log; other buckets keep their version. Since
+the log has every change, rows that come late take their place in the closed history.
+
+A repeated batch writes the same files again. Versions that two newer ones replace are
+deleted, so the version before the last stays readable.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tablecraft.operators.scd import scd2_backfill
 
-OPEN, CLOSED, LATE = "current", "closed", "late"
+LOG, HISTORY = "log", "history"
+BUCKETS = 64
 
 
-def _folder(path: str, kind: str, batch: int) -> str:
-    return f"{path}/{kind}/batch={batch}"
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int").alias("bucket")
 
 
-def _read(spark: SparkSession, path: str, kind: str, batch: int, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(_folder(path, kind, batch))
+def _versions(spark: SparkSession, path: str, last: int) -> dict[int, list[int]]:
+    """Versions up to ``last`` by bucket, the newest first; folder names only, no rows."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{HISTORY}/version=*/bucket=*")
+    found: dict[int, list[int]] = {}
+    statuses = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path)
+    for status in statuses or []:
+        folder = status.getPath()
+        version = int(folder.getParent().getName().partition("=")[2])
+        if version <= last:
+            found.setdefault(int(folder.getName().partition("=")[2]), []).append(version)
+    return {bucket: sorted(versions, reverse=True) for bucket, versions in found.items()}
 
 
 def apply_batch(
@@ -36,45 +49,33 @@ def apply_batch(
     tracked: Sequence[str],
     ts_col: str,
     tie: Sequence[str],
+    buckets: int = BUCKETS,
 ) -> None:
     """Merge one batch of changes into the folder."""
     spark = batch.sparkSession
     keys, tracked, tie = list(keys), list(tracked), list(tie)
-    rows = batch.select(*keys, *tracked, ts_col, *tie)
-    late = None
-    log = rows.withColumn("_seed", F.lit(False))
-    if batch_id > 0:
-        shape = scd2_backfill(rows.limit(0), keys, tracked, ts_col, tie).schema
-        before = _read(spark, path, OPEN, batch_id - 1, shape)
-        since = before.select(*keys, F.col("valid_from").alias("_since"))
-        timed = rows.join(since, keys, "left")
-        stale = F.coalesce(F.col(ts_col) < F.col("_since"), F.lit(False))
-        late = timed.filter(stale).drop("_since")
-        seed = before.select(*keys, *tracked, F.col("valid_from").alias(ts_col))
-        log = timed.filter(~stale).drop("_since").unionByName(seed, allowMissingColumns=True)
-    history = scd2_backfill(log, keys, tracked, ts_col, tie)
-    if late is None:
-        late = rows.limit(0)
-    history.persist()
-    try:
-        for kind, part in (
-            (OPEN, history.filter("is_current")),
-            (CLOSED, history.filter("not is_current")),
-            (LATE, late),
-        ):
-            part.write.mode("overwrite").parquet(_folder(path, kind, batch_id))
-    finally:
-        history.unpersist()
+    rows = batch.select(_bucket(keys, buckets), *keys, *tracked, ts_col, *tie)
+    log_path, history_path = f"{path}/{LOG}", f"{path}/{HISTORY}"
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{log_path}/batch={batch_id}")
+    log = spark.read.schema(StructType([*rows.schema.fields, StructField("batch", IntegerType())])).option("basePath", log_path).parquet(log_path)
+    log = log.filter(F.col("batch") <= batch_id)
+    # bucket numbers, at most as many as there are buckets
+    touched = [
+        r["bucket"] for r in log.filter(F.col("batch") == batch_id).select("bucket").distinct().collect()
+    ]
+    changed = log.filter(F.col("bucket").isin(touched)).drop("batch")
+    history = scd2_backfill(changed, ["bucket", *keys], tracked, ts_col, tie)
+    history.write.mode("overwrite").partitionBy("bucket").parquet(f"{history_path}/version={batch_id}")
+    for bucket, versions in _versions(spark, path, batch_id).items():
+        for version in versions[2:]:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{history_path}/version={version}/bucket={bucket}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def last_batch(spark: SparkSession, path: str) -> int:
     """Number of the newest batch in the folder, -1 if there is none."""
-    try:
-        opened = spark.read.parquet(f"{path}/{OPEN}")
-    except AnalysisException:
-        return -1
-    newest = opened.agg(F.max("batch")).first()[0]
-    return -1 if newest is None else int(newest)
+    versions = _versions(spark, path, 1 << 62)
+    return max((v[0] for v in versions.values()), default=-1)
 
 
 def scd2_stream(
@@ -85,12 +86,13 @@ def scd2_stream(
     tracked: Sequence[str],
     ts_col: str,
     tie: Sequence[str] = (),
+    buckets: int = BUCKETS,
 ) -> int:
     """Run the stream over what is available; returns the newest batch number."""
     merged = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, path, keys, tracked, ts_col, tie)
+        apply_batch(batch, batch_id, path, keys, tracked, ts_col, tie, buckets)
         merged.append(batch_id)
 
     query = (
@@ -103,15 +105,10 @@ def scd2_stream(
     return max(merged) if merged else last_batch(stream.sparkSession, path)
 
 
-def read_history(spark: SparkSession, path: str, last_batch: int) -> DataFrame:
-    """All closed versions up to a batch and the versions open after it."""
-    closed = spark.read.parquet(f"{path}/{CLOSED}").filter(F.col("batch") <= last_batch)
-    opened = spark.read.parquet(_folder(path, OPEN, last_batch))
-    return closed.drop("batch").unionByName(opened)
-
-
-def read_late(spark: SparkSession, path: str) -> DataFrame:
-    """Rows that came after a newer version of their key."""
-    return spark.read.parquet(f"{path}/{LATE}").drop("batch")
-
-
+def read_history(spark: SparkSession, path: str, last: int) -> DataFrame:
+    """All versions of all keys after batch ``last``."""
+    newest = {bucket: versions[0] for bucket, versions in _versions(spark, path, last).items()}
+    if not newest:
+        raise ValueError(f"no history up to batch {last} in {path}")
+    folders = [f"{path}/{HISTORY}/version={v}/bucket={b}" for b, v in sorted(newest.items())]
+    return spark.read.option("basePath", f"{path}/{HISTORY}").parquet(*folders).drop("version", "bucket")

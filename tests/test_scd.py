@@ -154,7 +154,6 @@ def test_stream_over_many_batches(spark, tmp_path):
     last = scd_stream.scd2_stream(stream, path, str(tmp_path / "cp"), KEYS, TRACKED, "at", ["id"])
     assert last == 3
     assert history_bag(scd_stream.read_history(spark, path, last)) == walk(data)
-    assert scd_stream.read_late(spark, path).count() == 0
     args = (path, str(tmp_path / "cp"), KEYS, TRACKED, "at", ["id"])
     assert scd_stream.scd2_stream(stream, *args) == last  # nothing new
     more = [(1, "q", "2024-01-02 00:00:00", 900), (9, "r", "2024-01-02 00:00:01", 901)]
@@ -174,8 +173,22 @@ def test_repeated_batch_and_late_rows(spark, tmp_path):
     for batch, number in ((first, 0), (second, 1), (second, 1)):
         scd_stream.apply_batch(batch, number, path, KEYS, TRACKED, "at", ["id"])
     got = history_bag(scd_stream.read_history(spark, path, 1))
-    assert got == walk([(1, "a", D1, 0), (2, "b", D2, 1), (1, "c", D3, 2)])
-    assert [r.id for r in scd_stream.read_late(spark, path).collect()] == [3]
+    # the late row takes its place before the version that was there
+    assert got == walk([(1, "a", D1, 0), (2, "z", D1, 3), (2, "b", D2, 1), (1, "c", D3, 2)])
+    assert history_bag(scd_stream.read_history(spark, path, 0)) == walk([(1, "a", D1, 0), (2, "b", D2, 1)])
+
+
+def test_only_touched_buckets_are_rewritten_and_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "out")
+    many = [(k, "a", D1, k) for k in range(40)]
+    batches = [many, [(1, "b", D2, 100)], [(1, "c", D3, 101)], [(1, "d", D3, 102)]]
+    for number, data in enumerate(batches):
+        scd_stream.apply_batch(as_log(spark, data), number, path, KEYS, TRACKED, "at", ["id"], buckets=8)
+    found = scd_stream._versions(spark, path, 99)
+    assert sorted(map(tuple, found.values()))[-1] == (3, 2)
+    assert sum(v == [0] for v in found.values()) == len(found) - 1
+    expected = walk(sorted([*many, *[r for b in batches[1:3] for r in b][:1], (1, "d", D3, 102)], key=lambda r: r[2]))
+    assert history_bag(scd_stream.read_history(spark, path, 3)) == expected
 
 
 def test_satellite_ignores_unchanged_rows(dim, second, spark):
