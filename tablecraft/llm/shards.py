@@ -3,16 +3,18 @@
 Documents are linked through hubs (here: equal texts), so a group of any size is as
 many links as it has members, never its pairs. Linked documents start spread evenly.
 Each round, every document takes the votes of its neighbours' shards and asks to move
-to the shard with the most; requests are admitted under quotas. The quotas are a flow between shards
-under which none gains more than its room, its share and a small slack less what it
-holds; so cut edges fall while sizes stay even. Then each shard gives up what it holds
-above its share, and this and the documents without links, which cost no edge, fill
-each shard to its exact size.
+to the shard with the most; requests are admitted under quotas. The quotas are a flow
+between shards under which none gains more than its room, its share and a small slack
+less what it holds; so cut edges fall while sizes stay even. Requests of one kind (from,
+to, gain) are admitted in the proportion their quota allows, by a hash of the document,
+the largest gains first. Then each shard gives up what it holds above its share, and
+this and the documents without links, which cost no edge, fill each shard to its exact
+size.
 
 Ties between shards are broken by hub and shard, so that the members of a group ask for
 the same one. Votes of a hub are one row per hub, joined from a written table, so that a
 hub with a third of all documents is split like any skewed join. What reaches the
-driver are counts per pair of shards and slice: at most shards^2 * SLICES rows.
+driver are counts per pair of shards and class of gain: at most shards^2 * GAINS rows.
 
 Law ``rows``: shards differ by one row at most. Defined cases: null texts have size 8,
 checksum 0 and no links; empty texts are equal to each other; repeated rows are
@@ -21,15 +23,17 @@ documents of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.llm.common import rank_rows, store
 
 SHARDS = 24
-ROUNDS = 12
-SLICES = 16
+ROUNDS = 10
 SLACK = 10  # a shard may exceed its share by a tenth until the last step
+GAINS = 16  # classes of gain, by powers of two
+SETTLED = 500  # fewer admitted moves than one in so many links end the rounds
+WIDTH = 1 << 20
 
 
 def shares(rows: int, shards: int) -> list[int]:
@@ -49,158 +53,151 @@ def quotas(asked: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int
         for s in range(len(room)):
             inflow = [k for k in sorted(out) if k[1] == s]
             coming = sum(out[k] for k in inflow)
-            may = room[s] + sum(n for (a, _), n in out.items() if a == s)
+            may = max(0, room[s] + sum(n for (a, _), n in out.items() if a == s))
             if coming > may:
                 fits = False
-                left = max(0, may)
+                left = may
                 for k in sorted(inflow, key=lambda k: -out[k]):
-                    take = min(left, -(-out[k] * max(0, may) // coming))
+                    take = min(left, -(-out[k] * may // coming))
                     left -= take
                     out[k] = take
         if fits:
             return out
 
 
-def votes_of(links: DataFrame) -> DataFrame:
-    """One row per hub: its members by shard, as (shard, n) pairs."""
-    tally = links.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
-    return tally.groupBy("hub").agg(F.collect_list(F.struct("shard", "n")).alias("votes"))
+def votes_of(links: DataFrame, shards: int) -> DataFrame:
+    """One row per hub: how many of its members each shard has."""
+    members = [F.count(F.when(F.col("shard") == s, 1)).alias(f"s{s}") for s in range(shards)]
+    tally = links.groupBy("hub").agg(*members)
+    return tally.select("hub", F.array(*[f"s{s}" for s in range(shards)]).alias("votes"))
 
 
-def preference(links: DataFrame, votes: DataFrame, allowed: list[int], share: int, seed: int) -> DataFrame:
-    """(uid, shard, best, gain) of the documents that ask to move.
+def requests(
+    links: DataFrame, votes: DataFrame, allowed: list[int], share: int, seed: int, several: bool
+) -> DataFrame:
+    """``links`` with the shard each document asks for (``best``, null to stay) and its gain.
 
     A document asks for the shard with the most votes. Neighbours too many for one share
     gather in as many shards as they need: a document in none of these asks for one of
-    them by its number.
+    them by its number. ``several`` says that documents may have more than one hub; the
+    votes of a document's hubs are added.
     """
     met = links.join(votes, "hub")
-    open_ = F.array(*[F.lit(s) for s in allowed])
-
-    def total(votes: Column, shard: Column) -> Column:
-        return F.aggregate(
-            votes, F.lit(0).cast("long"),
-            lambda sum_, v: sum_ + F.when(v["shard"] == shard, v["n"]).otherwise(F.lit(0).cast("long")),
+    if several:
+        slots = F.size(F.first("votes"))
+        added = F.transform(
+            F.sequence(F.lit(0), slots - 1),
+            lambda i: F.aggregate(F.collect_list("votes"), F.lit(0).cast("long"), lambda t, v: t + F.get(v, i)),
         )
-
-    per_doc = met.groupBy("uid", "shard").agg(
-        F.flatten(F.collect_list("votes")).alias("votes"), F.min("hub").alias("hub")
-    )
-    targets = F.array_distinct(F.transform("votes", lambda v: v["shard"]))
-    targets = F.filter(targets, lambda s: F.array_contains(open_, s) | (s == F.col("shard")))
+        per_doc = met.groupBy("uid").agg(added.alias("votes"), F.min("hub").alias("first"))
+        met = links.join(per_doc, "uid")
+    else:
+        met = met.withColumn("first", F.col("hub"))
+    open_ = F.array(*[F.lit(s) for s in allowed])
     choices = F.transform(
-        targets,
-        lambda s: F.struct(
-            total(F.col("votes"), s).alias("n"), F.xxhash64(F.col("hub"), s).alias("tie"), s.alias("best")
-        ),
+        "votes",
+        lambda n, s: F.struct(n.alias("n"), F.xxhash64(F.col("first"), s).alias("tie"), s.alias("best")),
+    )
+    choices = F.filter(
+        choices,
+        lambda c: (c["n"] > 0) & (F.array_contains(open_, c["best"]) | (c["best"] == F.col("shard"))),
+    )
+    everyone = F.aggregate("votes", F.lit(0).cast("long"), lambda t, n: t + n)
+    wanted = F.slice(
+        F.sort_array(choices, asc=False), 1, F.ceil(everyone / F.lit(max(share, 1))).cast("int")
     )
-    everyone = F.aggregate("votes", F.lit(0).cast("long"), lambda sum_, v: sum_ + v["n"])
+    number = (F.pmod(F.xxhash64("uid", F.lit(seed)), F.size("wanted")) + 1).cast("int")
+    # its own vote does not count for the shard it is in
+    gain = F.col("choice.n") - F.get("votes", F.col("shard")) + 1
+    moves = ~F.exists("wanted", lambda c: c["best"] == F.col("shard")) & (F.col("gain") > 0)
     return (
-        per_doc.withColumn("ranked", F.sort_array(choices, asc=False))
-        .withColumn("ranked", F.slice("ranked", 1, F.ceil(everyone / F.lit(max(share, 1))).cast("int")))
-        .where(~F.exists("ranked", lambda c: c["best"] == F.col("shard")))
-        .withColumn(
-            "choice", F.element_at("ranked", (F.pmod(F.xxhash64("uid", F.lit(seed)), F.size("ranked")) + 1).cast("int"))
-        )
-        .withColumn("best", F.col("choice.best"))
-        # its own vote does not count for the shard it is in
-        .withColumn("gain", F.col("choice.n") - total(F.col("votes"), F.col("shard")) + 1)
-        .where("gain > 0")
-        .select("uid", "shard", "best", "gain")
+        met.withColumn("wanted", wanted)
+        .withColumn("choice", F.element_at("wanted", number))
+        .withColumn("gain", gain)
+        .withColumn("best", F.when(moves, F.col("choice.best")))
+        .withColumn("class", F.when(moves, F.least(F.floor(F.log2("gain")), F.lit(GAINS - 1))).cast("int"))
+        .select(*links.columns, "best", "class")
     )
 
 
-def admitted(moves: DataFrame, room: list[int], seed: int) -> tuple[DataFrame | None, int]:
-    """(uid, best) of the moves within the quotas, the largest gains first in each slice."""
-    moves = moves.withColumn("slice", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(SLICES)).cast("int"))
-    moves = store(moves, "moves")
+def admitted(asked: DataFrame, room: list[int], seed: int) -> tuple[DataFrame, int]:
+    """``asked`` with the new shards, and how many requests the quotas grant."""
     counts = {
-        (r["shard"], r["best"], r["slice"]): r["n"]
-        for r in moves.groupBy("shard", "best", "slice").agg(F.count(F.lit(1)).alias("n")).collect()
+        (r["shard"], r["best"], r["class"]): r["n"]
+        for r in asked.where("best is not null")
+        .groupBy("shard", "best", "class")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()  # shards^2 * GAINS rows
     }
-    asked: dict[tuple[int, int], int] = {}
+    total: dict[tuple[int, int], int] = {}
     for (a, b, _), n in counts.items():
-        asked[a, b] = asked.get((a, b), 0) + n
-    quota = quotas(asked, room)
-    total = sum(quota.values())
-    if not total:
-        return None, 0
-    if total == sum(asked.values()):
-        return moves.select("uid", "best"), total
-    rows = []
-    for a, b, s in sorted(counts):
-        take = min(counts[a, b, s], quota[a, b])
+        total[a, b] = total.get((a, b), 0) + n
+    quota = quotas(total, room)
+    granted = sum(quota.values())
+    limits = []
+    for a, b, c in sorted(counts, key=lambda k: (k[0], k[1], -k[2])):
+        take = min(counts[a, b, c], quota[a, b])
         quota[a, b] -= take
-        rows.append((a, b, s, take))
-    spark = moves.sparkSession
-    limit = spark.createDataFrame(rows, "shard int, best int, slice int, take long")
-    order = Window.partitionBy("shard", "best", "slice").orderBy(F.desc("gain"), "uid")
-    return (
-        moves.join(F.broadcast(limit), ["shard", "best", "slice"])  # shards^2 * SLICES rows
-        .where("take > 0")
-        .withColumn("at", F.row_number().over(order))
-        .where("at <= take")
-        .select("uid", "best"),
-        total,
-    )
+        limits.append((a, b, c, take * WIDTH // counts[a, b, c]))
+    spark = asked.sparkSession
+    limit = spark.createDataFrame(limits, "shard int, best int, class int, below long")
+    out = asked.join(F.broadcast(limit), ["shard", "best", "class"], "left")
+    yes = F.pmod(F.xxhash64("uid", F.lit(-1 - seed)), F.lit(WIDTH)) < F.col("below")
+    moved = out.withColumn("shard", F.when(yes, F.col("best")).otherwise(F.col("shard")))
+    return moved.drop("best", "class", "below"), granted
+
 
+def propagate(links: DataFrame, share: list[int], rounds: int = ROUNDS, several: bool = True) -> DataFrame:
+    """``links`` (uid, hub, shard, more columns) after the rounds.
 
-def propagate(links: DataFrame, share: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """``links`` (uid, hub, shard) after the rounds; no shard exceeds its share by more than the slack."""
+    No shard exceeds its share by more than the slack and the spread of the admission.
+    """
     shards = len(share)
     for number in range(rounds):
+        rows = links.select("uid", "shard").distinct() if several else links
         sizes = [0] * shards
-        for r in links.groupBy("shard").agg(F.count_distinct("uid").alias("n")).collect():
+        for r in rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
             sizes[r["shard"]] = r["n"]
         room = [most + most // SLACK + 1 - n for most, n in zip(share, sizes)]
         allowed = [s for s in range(shards) if room[s] > 0] or list(range(shards))
-        votes = store(votes_of(links), "votes")
-        moves, n = admitted(preference(links, votes, allowed, max(share), number), room, number)
-        if not n:
+        votes = store(votes_of(links, shards), "votes")
+        asked = store(requests(links, votes, allowed, max(share), number, several), "requests")
+        links, n = admitted(asked, room, number)
+        if n * SETTLED <= sum(sizes):
             break
-        links = store(
-            links.join(moves, "uid", "left")
-            .withColumn("shard", F.coalesce("best", "shard"))
-            .drop("best"),
-            "links",
-        )
     return links
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """Every row of ``docs`` with its shard, and its slot there, gapless from 0."""
-    base = docs.select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
-        F.coalesce(F.crc32(F.col("text")), F.lit(0)).cast("long").alias("text_crc32"),
-        F.xxhash64("text", F.length("text")).alias("hub"),
-        F.col("text").isNull().alias("empty"),
-    )
-    rows = rank_rows(base, [F.xxhash64("doc_id", "hub"), F.col("doc_id")], "uid")
-    share = shares(rows.count(), shards)
-    crowds = store(
-        rows.where("not empty").groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub"),
-        "hubs",
+    base = store(
+        docs.select(
+            "doc_id",
+            (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+            F.coalesce(F.crc32(F.col("text")), F.lit(0)).cast("long").alias("text_crc32"),
+            F.when(F.col("text").isNotNull(), F.xxhash64("text", F.length("text"))).alias("hub"),
+        ).withColumn("uid", F.monotonically_increasing_id()),  # fixed by being written
+        "rows",
     )
-    linked = rows.where("not empty").join(crowds, "hub").select("doc_id", "size", "text_crc32", "hub", "uid")
-    linked = rank_rows(linked, [F.col("uid")], "at")
-    links = linked.select("uid", "hub", F.pmod("at", F.lit(shards)).cast("int").alias("shard"))
-    links = propagate(links, share, rounds)
-    kept = linked.join(links.select("uid", "shard"), "uid").drop("at")
+    share = shares(base.count(), shards)
+    crowds = base.where("hub is not null").groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowds = store(crowds.select("hub", F.lit(True).alias("linked")), "hubs")
+    rows = store(base.join(crowds, "hub", "left").withColumn("linked", F.coalesce("linked", F.lit(False))), "flagged")
+    start = F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")
+    links = propagate(rows.where("linked").withColumn("shard", start), share, rounds, several=False)
 
     # linked documents take the first slots of their shard, up to its share; the last of
     # the order, neighbours of each other, and the documents without links fill the rest
-    kept = rank_rows(kept, [F.col("shard"), F.col("hub"), F.col("uid")], "at").drop("hub")
+    kept = rank_rows(links, [F.col("shard"), F.col("hub"), F.col("uid")], "at")
     held = [0] * shards
     for r in kept.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
         held[r["shard"]] = r["n"]
     firsts = [sum(held[:s]) for s in range(shards)]
-    kept = kept.withColumn("slot", F.col("at") - pick(firsts, F.col("shard"))).withColumn("linked", F.lit(True))
+    kept = kept.withColumn("slot", F.col("at") - pick(firsts, F.col("shard")))
     fits = F.col("slot") < pick(share, F.col("shard"))
     sizes = [min(n, most) for n, most in zip(held, share)]
-    free = rows.join(linked.select("uid"), "uid", "left_anti").drop("hub", "empty")
-    spilled = kept.where(~fits).select(*free.columns, "linked")
-    free = rank_rows(free.withColumn("linked", F.lit(False)).unionByName(spilled), [F.desc("linked"), F.col("uid")], "at")
+    free = rows.where("not linked").unionByName(kept.where(~fits).select(*rows.columns))
+    free = rank_rows(free, [F.desc("linked"), F.col("uid")], "at")
     ends, end = [], 0
     for s in range(shards):
         end += share[s] - sizes[s]

@@ -119,12 +119,25 @@ def test_quotas_never_exceed_the_room():
     draw = random.Random(2)
     for _ in range(200):
         asked = {(a, b): draw.randrange(20) for a in range(5) for b in range(5) if a != b}
-        room = [draw.randrange(6) for _ in range(5)]
+        room = [draw.randrange(-3, 6) for _ in range(5)]
         got = shards.quotas(asked, room)
         assert all(0 <= got[k] <= asked[k] for k in asked)
         for s in range(5):
             net = sum(n for (a, b), n in got.items() if b == s) - sum(n for (a, b), n in got.items() if a == s)
-            assert net <= room[s]
+            assert net <= max(0, room[s])
+
+
+def test_documents_with_several_hubs_gather(spark):
+    """Two hubs a document: clusters of twelve with six links each through pairs of hubs."""
+    links = [(i, i // 12 * 100 + k, i * 7 % 11 % 6) for i in range(72) for k in (i % 3, 3 + i % 2)]
+    df = spark.createDataFrame(links, "uid long, hub long, shard int")
+
+    def together(of):
+        return sum(of[i] == of[j] for i in range(72) for j in range(i) if i // 12 == j // 12)
+
+    got = {r["uid"]: r["shard"] for r in shards.propagate(df, [12] * 6, several=True).collect()}
+    assert len(got) == 72 and together(got) > 1.5 * together({i: s for i, _, s in links})
+    assert max(Counter(got.values()).values()) <= 18
 
 
 def test_shards_of_odd_rows(odd, none):
@@ -337,6 +350,13 @@ def test_sums_do_not_depend_on_order_and_come_apart(spark):
     assert tuple(got) == (True, True, True, False, 1.0)
 
 
+def test_rows_and_loops_give_the_same_lanes(documents):
+    rows = documents.select("doc_id", "text")
+    a = multiset.with_fingerprint(rows, "text", "f").collect()
+    b = rows.select("doc_id", multiset.fingerprint(F.col("text")).alias("f")).collect()
+    assert {r["doc_id"]: r["f"] for r in a} == {r["doc_id"]: r["f"] for r in b}
+
+
 def test_multiset_plan_is_native(spark, data):
     df = QUERIES["op9_multiset_hash"](spark, data)
     plan = df._jdf.queryExecution().executedPlan().toString()
