@@ -30,37 +30,77 @@ def paragraphs(text: Column) -> Column:
     return F.filter(lines, lambda p: p.rlike(r"\S"))
 
 
-def fingerprint(text: Column) -> Column:
-    """array<long>: the exact lanes, then the likeness lanes."""
-    found = paragraphs(text)
+def pieces_of(found: Column) -> Column:
+    """The pieces of up to PIECE_WORDS words of paragraphs."""
+    pattern = F.lit(rf"(?:\S+\s*){{1,{PIECE_WORDS}}}")
+    return F.flatten(F.transform(found, lambda p: F.regexp_extract_all(p, pattern, F.lit(0))))
+
+
+def exact_lanes(found: Column) -> Column:
     digests = F.transform(found, lambda p: F.sha2(p, 256))
-    exact = F.transform(
+    return F.transform(
         F.sequence(F.lit(0), F.lit(EXACT - 1)),
-        lambda i: F.aggregate(
-            digests,
-            F.lit(0).cast("long"),
-            lambda total, d: total + F.conv(F.substring(d, i * 8 + 1, F.lit(8)), 16, 10).cast("long"),
+        lambda i: F.pmod(
+            F.aggregate(
+                digests,
+                F.lit(0).cast("long"),
+                lambda total, d: total + F.conv(F.substring(d, i * 8 + 1, F.lit(8)), 16, 10).cast("long"),
+            ),
+            F.lit(MODULUS),
         ),
     )
-    words = F.flatten(
-        F.transform(found, lambda p: F.regexp_extract_all(p, F.lit(rf"(?:\S+\s*){{1,{PIECE_WORDS}}}"), F.lit(0)))
-    )
+
+
+def lane(piece: Column) -> Column:
+    return F.pmod(F.xxhash64(piece), F.lit(LANES)).cast("int")
+
+
+def fingerprint(text: Column) -> Column:
+    """array<long>: the exact lanes, then the likeness lanes; for single paragraphs and short texts."""
+    found = paragraphs(text)
     weighed = F.transform(
-        words,
-        lambda w: F.struct(
-            F.pmod(F.xxhash64(w), F.lit(LANES)).cast("int").alias("lane"),
-            F.length(w).cast("long").alias("size"),
-        ),
+        pieces_of(found), lambda w: F.struct(lane(w).alias("lane"), F.length(w).cast("long").alias("size"))
     )
     likeness = F.transform(
         F.sequence(F.lit(0), F.lit(LANES - 1)),
-        lambda i: F.aggregate(
-            weighed,
-            F.lit(0).cast("long"),
-            lambda total, w: total + F.when(w["lane"] == i, w["size"]).otherwise(F.lit(0).cast("long")),
+        lambda i: F.pmod(
+            F.aggregate(
+                weighed,
+                F.lit(0).cast("long"),
+                lambda total, w: total + F.when(w["lane"] == i, w["size"]).otherwise(F.lit(0).cast("long")),
+            ),
+            F.lit(MODULUS),
         ),
     )
-    return F.transform(F.concat(exact, likeness), lambda x: F.pmod(x, F.lit(MODULUS)))
+    return F.concat(exact_lanes(found), likeness)
+
+
+def with_fingerprint(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """``rows`` with the fingerprint of column ``text`` in place of it.
+
+    Same lanes as ``fingerprint``, but the pieces become rows and the lanes sums, which
+    is generated code and no loop over lanes for every piece. All columns but the text
+    identify a row, so they are the groups; nothing is moved where rows are already
+    dealt out by one of them.
+    """
+    keys = [c for c in rows.columns if c != text]
+    found = rows.select(*keys, paragraphs(F.col(text)).alias("_found")).select(
+        *keys, exact_lanes(F.col("_found")).alias("_exact"), pieces_of(F.col("_found")).alias("_pieces")
+    )
+    exact = [F.get("_exact", F.lit(i)).alias(f"_e{i}") for i in range(EXACT)]
+    each = found.select(*keys, *exact, F.explode_outer("_pieces").alias("_piece")).select(
+        *keys, *[f"_e{i}" for i in range(EXACT)], lane(F.col("_piece")).alias("_lane"),
+        F.length("_piece").cast("long").alias("_size"),
+    )
+    each = each.withColumn("_lane", F.when(F.col("_size").isNotNull(), F.col("_lane")))
+    summed = each.groupBy(*keys, *[f"_e{i}" for i in range(EXACT)]).agg(
+        *[F.sum(F.when(F.col("_lane") == i, F.col("_size"))).alias(f"_s{i}") for i in range(LANES)]
+    )
+    zero = F.lit(0).cast("long")
+    lanes = [F.col(f"_e{i}") for i in range(EXACT)] + [
+        F.pmod(F.coalesce(f"_s{i}", zero), F.lit(MODULUS)) for i in range(LANES)
+    ]
+    return summed.select(*keys, F.array(*lanes).alias(out))
 
 
 def insert(total: Column, other: Column) -> Column:
@@ -90,16 +130,21 @@ def alike(a: Column, b: Column) -> Column:
     )
 
 
-def followers(docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, half): the next id in ascending order, the first after the last.
+def key_of(doc_id: str) -> Column:
+    """The id as text, null as an empty one, so that null ids meet in a plain join."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
+def followers(texts: DataFrame) -> DataFrame:
+    """(key, next_key, half): the next id in ascending order, the first after the last.
 
-    ``half`` is half the longest text of doc_id, rounded down. Null ids come first.
+    ``half`` is half the longest text of an id, rounded down. Null ids come first.
     """
-    sizes = docs.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
+    sizes = texts.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
     ranked = rank_rows(sizes, [F.col("doc_id").asc_nulls_first()], "at")
     total = max(1, ranked.count())
-    after = ranked.select(F.col("doc_id").alias("next_id"), F.pmod(F.col("at") - 1, F.lit(total)).alias("at"))
-    return store(ranked.join(after, "at").select("doc_id", "next_id", "half"), "followers")
+    after = ranked.select(key_of("doc_id").alias("next_key"), F.pmod(F.col("at") - 1, F.lit(total)).alias("at"))
+    return store(ranked.join(after, "at").select(key_of("doc_id").alias("key"), "next_key", "half"), "followers")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -108,39 +153,38 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     A repeated doc_id is followed by the next larger one; to the one before it, it lends
     the first of its texts and the first of its fingerprints.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(
+        key_of("doc_id").alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
     order = followers(texts)
-    # each text is dealt out by doc_id once; only the part that is needed goes on
+    # each text is dealt out by its key once; only the part that is needed goes on
     lent = (
-        texts.join(
-            order.select(F.col("doc_id").alias("for_id"), "next_id", "half"),
-            F.col("doc_id").eqNullSafe(F.col("next_id")),
-        )
-        .select("for_id", "next_id", F.expr("substring(text, 1, cast(half as int))").alias("head"))
-        .groupBy("for_id", "next_id")
+        texts.join(order.select(F.col("key").alias("for_key"), F.col("next_key").alias("key"), "half"), "key")
+        .select("for_key", F.col("key").alias("next_key"), F.expr("substring(text, 1, cast(half as int))").alias("head"))
+        .groupBy("for_key", "next_key")
         .agg(F.min("head").alias("head"))
     )
-    size = F.length("text")
-    half = F.floor(size / 2).cast("int")
-    edited = F.concat(
-        F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"),
-        F.expr("substring(head, 1, cast(floor(length(text) / 2) as int))"),
-    )
-    joined = texts.join(lent, F.col("doc_id").eqNullSafe(F.col("for_id")))
-    prints = store(
-        joined.select(
-            "doc_id", "next_id", size.cast("long").alias("n_chars"), "text",
-            F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"),
-        ).select(
-            "doc_id", "next_id", "n_chars",
-            F.sha2("edited", 256).alias("edited_sha256"),
-            fingerprint(F.col("text")).alias("own"),
-            fingerprint(F.col("edited")).alias("changed"),
-        ),
-        "fingerprints",
+    half = "cast(floor(length(text) / 2) as int)"
+    edited = F.expr(f"concat(substring(text, 1, length(text) - {half}), substring(head, 1, {half}))")
+    joined = texts.join(lent, texts["key"] == lent["for_key"]).select(
+        "key", "next_key", "doc_id", "text", F.length("text").cast("long").alias("n_chars"),
+        F.when(F.length("text") > 1, edited).otherwise(F.col("text")).alias("edited"),
+        F.monotonically_increasing_id().alias("row"),  # tells repeated rows apart within this stage
     )
-    following = prints.groupBy(F.col("doc_id").alias("other_id")).agg(F.min("own").alias("next_own"))
-    return prints.join(following, F.col("next_id").eqNullSafe(F.col("other_id"))).select(
+    both = joined.select(
+        "key", "next_key", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "row",
+        F.explode(
+            F.array(
+                F.struct(F.lit(0).alias("which"), F.col("text").alias("text")),
+                F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")),
+            )
+        ).alias("t"),
+    ).select("key", "next_key", "doc_id", "n_chars", "edited_sha256", "row", "t.which", "t.text")
+    prints = store(with_fingerprint(both, "text", "lanes"), "fingerprints")
+    own = prints.where("which = 0").drop("which", "edited_sha256").withColumnRenamed("lanes", "own")
+    changed = prints.where("which = 1").select("key", "row", "edited_sha256", F.col("lanes").alias("changed"))
+    following = own.groupBy(F.col("key").alias("next_key")).agg(F.min("own").alias("next_own"))
+    return own.join(changed, ["key", "row"]).join(following, "next_key").select(
         "doc_id", "n_chars", "edited_sha256",
         written(F.col("own")).alias("fingerprint"),
         written(F.col("changed")).alias("edited_fingerprint"),
