@@ -76,10 +76,6 @@ def catalog_columns(
     return rows(spark, data, CATALOG_SCHEMA)
 
 
-# Columns profiled per pass: the grouping id has one bit per column.
-COLUMNS_PER_PASS = 32
-
-
 def _value_key(field: T.StructField) -> Column:
     """The value itself where it is short, else a text that is equal where values are.
 
@@ -96,61 +92,106 @@ def _value_key(field: T.StructField) -> Column:
     return F.when(F.length(text) <= 32, text).when(col.isNotNull(), digest)
 
 
-def _profile_pass(name: str, df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
-    """Counts of some columns of one table, each column one grouping set."""
-    keys = [f"c{i}" for i in range(len(fields))]
-    values = df.select(*[_value_key(f).alias(k) for f, k in zip(fields, keys)])
-    groups = values.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("set")
+def _distinct_counts(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """(column_name, distinct_count): each column read, combined and shuffled by itself."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.select(_value_key(f).alias("v"))
+            .filter(F.col("v").isNotNull())
+            .distinct()
+            .agg(F.count(F.lit(1)).alias("distinct_count"))
+            .select(F.lit(f.name).alias("column_name"), "distinct_count")
+            for f in fields
+        ],
     )
-    # in its own set only the grouped column can hold a value
-    given = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
-    column = F.lit(None).cast("string")
-    for i, f in enumerate(fields):
-        bits = (1 << len(fields)) - 1 - (1 << (len(fields) - 1 - i))
-        column = F.when(F.col("set") == bits, f.name).otherwise(column)
-    return (
-        groups.groupBy("set")
-        .agg(
-            F.sum("n").alias("row_count"),
-            F.sum(F.when(given, 0).otherwise(F.col("n"))).alias("null_count"),
-            F.sum(given.cast("long")).alias("distinct_count"),
-        )
-        .select(
-            F.lit(name).alias("table_name"), column.alias("column_name"),
-            "row_count", "null_count", "distinct_count",
-        )
+
+
+def _null_counts(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """(column_name, row_count, null_count) from one plain aggregate."""
+    counted = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)],
     )
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(f.name).alias("column_name"), F.col("rows").alias("row_count"),
+                (F.col("rows") - F.col(f"c{i}")).alias("null_count"),
+            )
+            for i, f in enumerate(fields)
+        ]
+    )
+    return counted.select(F.explode(cells).alias("x")).select("x.*")
 
 
 def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Exact row, null and distinct counts of every column of every table.
 
-    A table is read once per pass. Equal values are combined before the shuffle,
-    so a value held by a third of all rows travels once per task.
+    Rows and NULLs of a table are counted in one pass. The values of a column are
+    counted in a pass that reads this column only; equal values are combined before
+    the shuffle, so a value held by a third of all rows travels once per task.
     """
     parts = []
     for name, df in tables.items():
         fields = df.schema.fields
-        for start in range(0, len(fields), COLUMNS_PER_PASS):
-            parts.append(_profile_pass(name, df, fields[start : start + COLUMNS_PER_PASS]))
+        counts = _null_counts(df, fields).join(_distinct_counts(df, fields), "column_name")
+        parts.append(counts.select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def unique_columns(tables: Mapping[str, DataFrame]) -> dict[str, set[str]]:
+    """Columns without NULL whose values never repeat, by table.
+
+    A column with a NULL, or of whole numbers from a range smaller than the number of
+    rows, is ruled out by one plain aggregate; only the values of the others are counted.
+    One row per table and per such column reaches the driver.
+    """
+    found = {}
+    for name, df in tables.items():
+        fields = df.schema.fields
+        whole = [f for f in fields if isinstance(f.dataType, T.IntegralType)]
+        row = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count(F.col(f"`{f.name}`")).alias(f"n_{i}") for i, f in enumerate(fields)],
+            *[
+                (F.max(f"`{f.name}`").cast("decimal(38,0)") - F.min(f"`{f.name}`")).alias(f"r_{f.name}")
+                for f in whole
+            ],
+        ).first()
+        rows = row["rows"]
+        possible = [
+            f
+            for i, f in enumerate(fields)
+            if rows and row[f"n_{i}"] == rows and (f not in whole or row[f"r_{f.name}"] + 1 >= rows)
+        ]
+        counted = _distinct_counts(df, possible).take(len(possible)) if possible else []
+        found[name] = {r["column_name"] for r in counted if r["distinct_count"] == rows}
+    return found
+
+
 def catalog(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     keys: Mapping[str, Sequence[str]] | None = None,
     measured: bool | Sequence[str] = True,
+    counts: bool = True,
 ) -> DataFrame:
     """Catalog rows, with the measured profile of all or of the named tables.
 
     A measured table without a declared key takes its first unique column as key.
+    Without ``counts`` only these keys are searched, and only tables that need one.
     """
     base = catalog_columns(spark, tables, keys)
     chosen = tables if measured is True else {t: tables[t] for t in measured or ()}
     if not chosen:
         return base
+    if not counts:
+        unique = unique_columns({t: df for t, df in chosen.items() if not (keys or {}).get(t)})
+        first = dict(keys or {})
+        for t, names in unique.items():
+            first[t] = [c for c in tables[t].columns if c in names][:1]
+        return catalog_columns(spark, tables, first)
     joined = base.join(profile(chosen), ["table_name", "column_name"], "left")
     joined = (
         joined.withColumn("row_count", F.coalesce("row_count", F.lit(0)).cast("long"))
