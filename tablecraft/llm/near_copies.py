@@ -116,7 +116,7 @@ def bucket_keys(fingerprints: np.ndarray, blocks: int, equal: int) -> np.ndarray
     return np.stack(out, axis=1)
 
 
-def links(nodes: DataFrame, distance: int, equal: int, blocks: int | None = None, key_bits: int = 64) -> DataFrame:
+def links(nodes: DataFrame, distance: int, equal: int, blocks: int | None = None) -> DataFrame:
     """Edges (a, b) of a spanning forest per bucket, over ``nodes`` (fp, more array<long>).
 
     ``more`` holds further words of wider fingerprints; bits of all words count, keys
@@ -251,16 +251,17 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
 
 
-# 18 of 128 bits: estimated cosine cos(pi * 18 / 128) = 0.904, Jaccard 0.904 / (2 - 0.904) = 0.82.
-WIDE_DISTANCE = 18
+# 19 of 128 bits: estimated cosine cos(pi * 19 / 128) = 0.893, Jaccard 0.893 / (2 - 0.893) = 0.81.
+WIDE_DISTANCE = 19
+WIDE_BLOCKS = 9
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every group of near copies: the one with the smallest doc_id.
 
     Shingles of five words; fingerprints of 128 bits are linked where their distance
-    says a Jaccard similarity of 0.8 or more. Keys are three of eight blocks of the first
-    64 bits, which find every pair with up to five differing bits there and most others.
+    says a Jaccard similarity of 0.8 or more. Keys are three of nine blocks of the first
+    64 bits, which find every pair with up to six differing bits there and most others.
     Of rows with that id, the one whose text hash sorts first stays; of equal rows, one.
     """
     columns = docs.columns
@@ -271,7 +272,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     prints = map_texts(keyed, ["doc_id", "_llm_key"], fingerprint128, "fp long, second long").select(
         "doc_id", "_llm_key", "fp", F.array("second").alias("more")
     )
-    groups = grouped(prints, WIDE_DISTANCE, equal=3, blocks=8)
+    groups = grouped(prints, WIDE_DISTANCE, equal=3, blocks=WIDE_BLOCKS)
     keepers = (
         groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component_id", "fp", "more")
