@@ -93,13 +93,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     A hub gathers no list: minima are combined before the shuffle.
     """
     current = store(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    before = None
     for _ in range(max_rounds):
-        large = star(current, larger=True)
-        small = store(star(large, larger=False), "edges")
-        changed = current.exceptAll(small).limit(1).count() + small.exceptAll(current).limit(1).count()
-        current = small
-        if not changed:
+        now = state(current)
+        if now == before:
             break
+        before = now
+        current = store(star(star(current, larger=True), larger=False), "edges")
     else:
         raise RuntimeError("components did not settle")
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
@@ -107,6 +107,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
 
 
+def state(edges: DataFrame) -> tuple:
+    """The number of distinct edges and a checksum that does not depend on their order."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+
 def star(edges: DataFrame, larger: bool) -> DataFrame:
     """One star step on (a, b): neighbours are tied to the smallest of a node's neighbourhood.
 
