@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablecraft.llm.common import components, map_texts, store
+from tablecraft.llm.common import components, map_texts, pieces, store
 
 SEED = 42
 REFERENCES = 8  # per block
@@ -119,18 +119,22 @@ def bucket_keys(fingerprints: np.ndarray, blocks: int, equal: int) -> np.ndarray
 def links(nodes: DataFrame, distance: int, equal: int, blocks: int | None = None) -> DataFrame:
     """Edges (a, b) of a spanning forest per bucket, over ``nodes`` (fp, more array<long>).
 
-    ``more`` holds further words of wider fingerprints; bits of all words count, keys
-    are taken from the first.
+    ``more`` holds further words of wider fingerprints; bits of all words count, and
+    every word gives keys of its own.
     """
     blocks = blocks or distance + equal
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            keys = bucket_keys(own, blocks, equal)
-            at = pa.array(np.repeat(np.arange(len(own)), keys.shape[1]))
+        for piece in (p for batch in batches for p in pieces(batch)):
+            fp = piece.column("fp").to_numpy(zero_copy_only=False).reshape(-1, 1)
+            more = piece.column("more").flatten().to_numpy(zero_copy_only=False).reshape(len(fp), -1)
+            words = np.hstack([fp, more.astype(np.int64)]).view(np.uint64)
+            keys = np.hstack(
+                [bucket_keys(words[:, w], blocks, equal) + np.uint64(w) for w in range(words.shape[1])]
+            )
+            at = pa.array(np.repeat(np.arange(len(fp)), keys.shape[1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), batch.column("fp").take(at), batch.column("more").take(at)],
+                [pa.array(keys.reshape(-1).view(np.int64)), piece.column("fp").take(at), piece.column("more").take(at)],
                 names=["key", "fp", "more"],
             )
 
@@ -253,15 +257,17 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 # 19 of 128 bits: estimated cosine cos(pi * 19 / 128) = 0.893, Jaccard 0.893 / (2 - 0.893) = 0.81.
 WIDE_DISTANCE = 19
-WIDE_BLOCKS = 9
+WIDE_BLOCKS = 8
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every group of near copies: the one with the smallest doc_id.
 
     Shingles of five words; fingerprints of 128 bits are linked where their distance
-    says a Jaccard similarity of 0.8 or more. Keys are three of nine blocks of the first
-    64 bits, which find every pair with up to six differing bits there and most others.
+    says a Jaccard similarity of 0.8 or more. Keys are three of eight blocks of either
+    64 bits, which find every pair with up to five differing bits in one half and most
+    others. A key has 24 bits: shorter ones would find a few more pairs, and candidates
+    that grow with the square of the documents.
     Of rows with that id, the one whose text hash sorts first stays; of equal rows, one.
     """
     columns = docs.columns
