@@ -180,11 +180,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             )
         ).alias("t"),
     ).select("key", "next_key", "doc_id", "n_chars", "edited_sha256", "row", "t.which", "t.text")
-    prints = store(with_fingerprint(both, "text", "lanes"), "fingerprints")
-    own = prints.where("which = 0").drop("which", "edited_sha256").withColumnRenamed("lanes", "own")
-    changed = prints.where("which = 1").select("key", "row", "edited_sha256", F.col("lanes").alias("changed"))
-    following = own.groupBy(F.col("key").alias("next_key")).agg(F.min("own").alias("next_own"))
-    return own.join(changed, ["key", "row"]).join(following, "next_key").select(
+    # both rows of a document are still in one place: they become one before it is written
+    prints = store(
+        with_fingerprint(both, "text", "lanes")
+        .groupBy("key", "next_key", "doc_id", "n_chars", "edited_sha256", "row")
+        .agg(
+            F.max(F.when(F.col("which") == 0, F.col("lanes"))).alias("own"),
+            F.max(F.when(F.col("which") == 1, F.col("lanes"))).alias("changed"),
+        )
+        .drop("row"),
+        "fingerprints",
+    )
+    following = prints.groupBy(F.col("key").alias("next_key")).agg(F.min("own").alias("next_own"))
+    return prints.drop("key").join(following, "next_key").select(
         "doc_id", "n_chars", "edited_sha256",
         written(F.col("own")).alias("fingerprint"),
         written(F.col("changed")).alias("edited_fingerprint"),
