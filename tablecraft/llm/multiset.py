@@ -131,8 +131,8 @@ def alike(a: Column, b: Column) -> Column:
 
 
 def key_of(doc_id: str) -> Column:
-    """The id as text, null as an empty one, so that null ids meet in a plain join."""
-    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    """The id as text after a mark, null as an empty text, so that null ids meet in a plain join."""
+    return F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("string")), F.lit(""))
 
 
 def followers(texts: DataFrame) -> DataFrame:
@@ -140,7 +140,8 @@ def followers(texts: DataFrame) -> DataFrame:
 
     ``half`` is half the longest text of an id, rounded down. Null ids come first.
     """
-    sizes = texts.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
+    size = F.length(F.coalesce("text", F.lit("")))
+    sizes = texts.groupBy("doc_id").agg(F.max(F.floor(size / 2)).alias("half"))
     ranked = rank_rows(sizes, [F.col("doc_id").asc_nulls_first()], "at")
     total = max(1, ranked.count())
     after = ranked.select(key_of("doc_id").alias("next_key"), F.pmod(F.col("at") - 1, F.lit(total)).alias("at"))
@@ -153,10 +154,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     A repeated doc_id is followed by the next larger one; to the one before it, it lends
     the first of its texts and the first of its fingerprints.
     """
-    texts = docs.select(
-        key_of("doc_id").alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    )
-    order = followers(texts)
+    order = followers(docs)
+    # both joins read these columns and no others, so the texts are moved once for both
+    texts = docs.select(key_of("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema["doc_id"].dataType
+    doc_id = F.when(F.col("key") != "", F.expr("substring(key, 2)").cast(kind)).alias("doc_id")
     # each text is dealt out by its key once; only the part that is needed goes on
     lent = (
         texts.join(order.select(F.col("key").alias("for_key"), F.col("next_key").alias("key"), "half"), "key")
@@ -167,7 +169,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     half = "cast(floor(length(text) / 2) as int)"
     edited = F.expr(f"concat(substring(text, 1, length(text) - {half}), substring(head, 1, {half}))")
     joined = texts.join(lent, texts["key"] == lent["for_key"]).select(
-        "key", "next_key", "doc_id", "text", F.length("text").cast("long").alias("n_chars"),
+        "key", "next_key", doc_id, "text", F.length("text").cast("long").alias("n_chars"),
         F.when(F.length("text") > 1, edited).otherwise(F.col("text")).alias("edited"),
         F.monotonically_increasing_id().alias("row"),  # tells repeated rows apart within this stage
     )
