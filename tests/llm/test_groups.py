@@ -294,6 +294,15 @@ def test_near_copies_in_crowds_against_all_pairs(spark, rows):
     assert got == sorted(set(closure(len(texts), brute_alike(texts) + [(empty[0], i) for i in empty[1:]])))
 
 
+def test_null_and_repeated_ids_join_nothing(spark):
+    texts = [" ".join(f"d{k}w{i}" for i in range(50)) for k in range(12)]
+    rows = [(None if k < 6 else 7, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + rows[:2] + [(None, texts[8]), (3, texts[9])], DOCS)
+    kept = [tuple(r) for r in near_copies.keep_one(docs).collect()]
+    assert sorted(t for _, t in kept) == sorted(texts)
+    assert {t: k for k, t in kept} == {t: 3 if k == 9 else None if k < 6 else 7 for k, t in enumerate(texts)}
+
+
 # --- repeats
 
 
