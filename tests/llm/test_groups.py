@@ -294,6 +294,14 @@ def test_near_copies_in_crowds_against_all_pairs(spark, rows):
     assert got == sorted(set(closure(len(texts), brute_alike(texts) + [(empty[0], i) for i in empty[1:]])))
 
 
+def test_texts_below_0_8_stay(spark):
+    """Many texts made from one template, every two of them at about 0.7."""
+    template = [f"t{i}" for i in range(200)]
+    texts = [" ".join([f"n{k}_{i}" for i in range(36)] + template) for k in range(150)]
+    assert not brute_alike(texts)
+    assert near_copies.keep_one(spark.createDataFrame(list(enumerate(texts)), DOCS)).count() == 150
+
+
 def test_null_and_repeated_ids_join_nothing(spark):
     texts = [" ".join(f"d{k}w{i}" for i in range(50)) for k in range(12)]
     rows = [(None if k < 6 else 7, t) for k, t in enumerate(texts)]
