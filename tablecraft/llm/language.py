@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 
 from tablecraft.llm.common import map_texts, pieces
 
-SAMPLE_DOCS = 24_000
+SAMPLE_DOCS = 6_000  # per language
 GRAMS = 30_000  # kept per language
 SIZE = 1 << 20  # positions of the filter
 HASHES = 3
+WIDTH = 1 << 30  # of the hash that the sample is cut from
 SHARE = 0.002  # of a language's documents that must have the n-gram
 UNKNOWN = "und"
 
@@ -119,13 +120,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Filter:
-    """The filter of a sample of about ``sample`` documents with a language, chosen by hash."""
+    """The filter of a sample of about ``sample`` documents of each language, chosen by hash.
+
+    Of a language with fewer documents, all are taken.
+    """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row per language
-    total = sum(sizes.values())
-    cut = min(1 << 20, -(-sample * (1 << 20) // max(total, 1)))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < cut)
-    chosen = chosen.select("lang", "text")
+    cuts = [(name, min(WIDTH, -(-sample * WIDTH // n))) for name, n in sizes.items()]
+    cut_of = docs.sparkSession.createDataFrame(cuts, "lang string, _llm_cut long")
+    chosen = (
+        rows.join(F.broadcast(cut_of), "lang")  # one row per language
+        .where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(WIDTH)) < F.col("_llm_cut"))
+        .select("lang", "text")
+    )
 
     def count(batches):
         for batch in batches:

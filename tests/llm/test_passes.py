@@ -307,6 +307,16 @@ def test_language_of_odd_rows(spark, odd, none):
     assert kept.where("text is null or doc_id in (4, 5, 7)").count() == 0
 
 
+def test_a_rare_language_is_learned(spark):
+    """20 texts of one language beside 4 000 of another, with a sample of 50 of each."""
+    rows = [(i, f"the house of number {i} stands by the river", "en") for i in range(4000)]
+    rows += [(5000 + i, f"żółta łódka numer {i} płynie przez wąską rzekę", "pl") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs, sample=50)
+    assert model.predict("żółta łódka płynie")[0] == "pl"
+    assert language.keep_known(docs, model).where("lang = 'pl'").count() == 20
+
+
 def test_labels_are_no_input(spark, documents):
     model = language.learn(documents)
     rows = documents.limit(20)
