@@ -30,7 +30,7 @@ from tablecraft.llm.sampling import by_hash, remainder
 
 SAMPLE_DOCS = 12_000
 WORDS = 4_096  # features kept
-MARKERS = 64
+MARKERS = 256  # of the words that differ most
 GRADES = 3
 
 _TABLE = bytes(
@@ -95,8 +95,7 @@ def fit(texts: list[Counter], flags: np.ndarray, steps: int = 300, rate: float =
     if not len(texts) or not flags.any():
         return Severity({}, [])
     ranked = standout(texts, flags)
-    markers = {w for z, w in ranked[: 4 * MARKERS] if z > 6}
-    markers = set(sorted(markers)[:MARKERS]) if len(markers) > MARKERS else markers
+    markers = {w for z, w in ranked[:MARKERS] if z > 6}
     grades = grades_of(texts, flags, markers)
     top = int(grades.max())
     vocabulary = {w: i for i, (z, w) in enumerate(ranked[:WORDS]) if abs(z) > 3}

@@ -105,3 +105,20 @@ def test_words_that_do_not_scale(word):
 def test_nothing_else_imports_this_part():
     outside = [p for p in PACKAGE.parent.rglob("*.py") if PACKAGE not in p.parents]
     assert [p for p in outside if re.search(r"tablecraft\.llm|from \.+llm", p.read_text())] == []
+
+
+def test_severity_does_not_depend_on_the_spelling_of_markers():
+    """70 markers early in the alphabet and 70 late ones, in texts alike otherwise."""
+    texts, flags = [], []
+    for i in range(600):
+        own = [f"{'az'[i % 2]}{chr(97 + w // 26)}{chr(97 + w % 26)}x" for w in range(70)]
+        text = own[: (30, 50, 70)[i // 2 % 3]] * (1 + i // 2 % 3) + ["filler"] * 60
+        texts.append(Counter(toxicity.words_of(" ".join(text))))
+        flags.append(True)
+        texts += [Counter([b"filler"] * 60 + [b"other"]) for _ in range(2)]
+        flags += [False] * 2
+    model = toxicity.fit(texts, np.array(flags))
+    for letter in "az":
+        words = [f"{letter}{chr(97 + w // 26)}{chr(97 + w % 26)}x" for w in range(70)]
+        assert model.predict(" ".join(words * 3 + ["filler"] * 60))[2] == 3
+        assert model.predict(" ".join(words[:30] + ["filler"] * 60))[2] == 1
