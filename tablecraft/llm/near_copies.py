@@ -32,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft.llm.common import components, map_texts, pieces, store
@@ -315,11 +315,11 @@ def prefix(found: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarr
 
 
 def meetings(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Rows (shingle, node, size, at, lead) of prefixes, where a shingle has several nodes.
+    """Rows (shingle, node, size, at; lead, lead_size, lead_at) of prefixes, where a shingle has several nodes.
 
-    ``at`` is the shingle's place in the prefix, ``lead`` the smallest node that has it.
-    Sorted rows stream through, so that a
-    shingle may have any number of nodes.
+    ``at`` is the shingle's place in the prefix, ``lead`` the smallest node that has it,
+    with its own size and place. Sorted rows stream through, so that a shingle may have
+    any number of nodes.
     """
     shared = docs.sparkSession.sparkContext.broadcast(common)  # COMMON values and counts at most
 
@@ -343,7 +343,7 @@ def meetings(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFram
                     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_lead, sent = None, 0, False  # the row before, the lead of its shingle, whether it went out
+        last, last_lead, sent = None, (0, 0, 0), False  # the row before, the lead of its shingle, whether it went out
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -356,24 +356,26 @@ def meetings(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFram
             s, node, size, at, new = (c[distinct] for c in (s, node, size, at, new))
             starts = np.flatnonzero(new)
             lengths = np.diff(np.append(starts, len(s)))
-            lead, out = np.repeat(node[starts], lengths), np.repeat(lengths > 1, lengths)
+            lead = [np.repeat(c[starts], lengths) for c in (node, size, at)]
+            out = np.repeat(lengths > 1, lengths)
             if last is not None:
-                lead[: lengths[0]] = last_lead
+                for c, x in zip(lead, last_lead):
+                    c[: lengths[0]] = x
                 if sent:
                     out[: lengths[0]] = True
             going = bool(out[-1])
             if last is not None and sent:
                 out[0] = False
-            last, last_lead, sent = (s[-1], node[-1], size[-1], at[-1]), lead[-1], going
+            last, last_lead, sent = (s[-1], node[-1], size[-1], at[-1]), [c[-1] for c in lead], going
             if out.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[out]) for c in (s, node, size, at, lead)],
-                    names=["shingle", "node", "size", "at", "lead"],
+                    [pa.array(c[out]) for c in (s, node, size, at, *lead)],
+                    names=["shingle", "node", "size", "at", "lead", "lead_size", "lead_at"],
                 )
 
     dealt = docs.select("text").mapInArrow(deal, "shingle long, node long, size int, at int")
     ordered = dealt.repartition("shingle").sortWithinPartitions("shingle", "node")
-    return store(ordered.mapInArrow(meet, "shingle long, node long, size int, at int, lead long"), "meetings")
+    return store(ordered.mapInArrow(meet, "shingle long, node long, size int, at int, lead long, lead_size int, lead_at int"), "meetings")
 
 
 def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -417,6 +419,18 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
+def early(size: str, at: str, other_size: str, other_at: str) -> Column:
+    """Whether a shingle at these places can be the first that two sets which are alike share.
+
+    They have 4 / 9 of the sum of their sizes in common, all from their first one on.
+    """
+    up, down = ALIKE
+    both = (F.col(size) + F.col(other_size)) * up
+    return ((F.col(size) - F.col(at)) * (up + down) >= both) & (
+        (F.col(other_size) - F.col(other_at)) * (up + down) >= both
+    )
+
+
 def similar(docs: DataFrame) -> DataFrame:
     """(node, component) of the texts that are alike to another one, over all such links.
 
@@ -426,7 +440,7 @@ def similar(docs: DataFrame) -> DataFrame:
     """
     met = meetings(docs, common_shingles(docs))
     sets = sets_of(docs, met.select("node").distinct())
-    stars = store(met.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "stars")
+    stars = store(met.where("node <> lead").where(early("size", "at", "lead_size", "lead_at")).select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "stars")
     links = store(verified(stars, sets), "links")
     found = components(links)
     joined = store(
@@ -437,16 +451,11 @@ def similar(docs: DataFrame) -> DataFrame:
     )
     open_ = joined.groupBy("shingle").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
     rest = store(joined.join(open_.select("shingle"), "shingle", "left_semi"), "rest")
-    up, down = ALIKE
     a, b = rest.alias("a"), rest.alias("b")
-    # of sets that are alike, both have at least this part of the sizes' sum; the first one
-    # that they share has no more before it than a set may have for itself
-    both = (F.col("a.size") + F.col("b.size")) * up
-    early = [(F.col(f"{x}.size") - F.col(f"{x}.at")) * (up + down) >= both for x in "ab"]
     pairs = (
         a.join(b, F.col("a.shingle") == F.col("b.shingle"))
         .where("a.node > b.node and a.component <> b.component")
-        .where(early[0] & early[1])
+        .where(early("a.size", "a.at", "b.size", "b.at"))
         .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
