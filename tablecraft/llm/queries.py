@@ -12,12 +12,15 @@ from tablecraft.llm import (
     language,
     multiset,
     near_copies,
+    personal,
     quality,
     repeats,
     secrets,
     shards,
     tokens,
     toxicity,
+    turns,
+    whitening,
 )
 from tablecraft.llm.common import table
 
@@ -103,3 +106,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset hash of every document and of its edited text."""
     return multiset.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op11_personal_data")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: the base patterns and confirmed further kinds."""
+    return personal.personal_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the damage its ids decide."""
+    return turns.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding, fitted on each distinct vector once."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
