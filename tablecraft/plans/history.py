@@ -156,17 +156,12 @@ def scd2_stream_batches(spark, d):
     events = read_table(spark, d, "events", ["user_id", "event_type", "ts", "event_id"])
     number = F.floor((F.dayofmonth("ts") - 1) / 8) + F.when(F.col("event_id") % 17 == 0, 1).otherwise(0)
     numbered = events.withColumn("batch", F.least(number, F.lit(3)).cast("int"))
-    source = work_path(spark, "scd-source")
-    # file order follows the time of writing, so one write per batch
+    source, path, checkpoint = (work_path(spark, f"scd-{part}") for part in ("source", "batches", "checkpoint"))
     for batch in range(4):
-        part = numbered.filter(F.col("batch") == batch).drop("batch")
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    path = work_path(spark, "scd-batches")
-    last = scd2_stream(
-        stream, path, work_path(spark, "scd-checkpoint"), ["user_id"], ["event_type"], "ts", ["event_id"],
-        buckets=8,
-    )
+        # all files written since the run before are one micro-batch
+        numbered.filter(F.col("batch") == batch).drop("batch").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        last = scd2_stream(stream, path, checkpoint, ["user_id"], ["event_type"], "ts", ["event_id"])
     return fx.with_text_stamps(read_history(spark, path, last))
 
 

@@ -112,19 +112,24 @@ def add_files(
 def create(df: DataFrame, path: str, keys: Sequence[str]) -> int:
     """Version 0: ``df`` ranged over its unique ``keys``."""
     files = add_files(df, path, keys, BASE, 0)
-    head = df.sparkSession.range(1).select(
+    publish(with_schema(files, df.schema), path, 0)
+    return 0
+
+
+def with_schema(files: DataFrame, schema: StructType) -> DataFrame:
+    """Manifest rows and the one that carries the columns, which tables without files need."""
+    head = files.sparkSession.range(1).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in files.schema.fields if f.name != "ddl"],
-        F.lit(df.schema.json()).alias("ddl"),
+        F.lit(schema.json()).alias("ddl"),
     )
-    publish(files.unionByName(head), path, 0)
-    return 0
+    return files.unionByName(head)
 
 
-def _schema(files: DataFrame) -> StructType:
+def schema_of(files: DataFrame) -> StructType:
     return StructType.fromJson(json.loads(files.where("file IS NULL").first()["ddl"]))
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, files: DataFrame, *extra: Column) -> DataFrame:
+def read_files(spark: SparkSession, path: str, schema: StructType, files: DataFrame, *extra: Column) -> DataFrame:
     """Rows of ``files``, with what ``extra`` says about the file of each row."""
     names = [f"{path}/{r['file']}" for r in files.where("file IS NOT NULL").select("file").collect()]
     if not names:
@@ -139,7 +144,7 @@ def _latest_changes(spark: SparkSession, path: str, schema: StructType, files: D
     if not versions:
         return None
     parts = [
-        _read(spark, path, schema, runs.where(F.col("added") == v)).withColumn(ADDED, F.lit(v)) for v in versions
+        read_files(spark, path, schema, runs.where(F.col("added") == v)).withColumn(ADDED, F.lit(v)) for v in versions
     ]
     rows = reduce(DataFrame.unionByName, parts)
     return dedup_latest(rows, list(keys), [F.desc(ADDED)]).select(*schema.names)
@@ -148,8 +153,8 @@ def _latest_changes(spark: SparkSession, path: str, schema: StructType, files: D
 def read(spark: SparkSession, path: str, keys: Sequence[str], version: int | None = None) -> DataFrame:
     """The rows of a version, the newest unless named."""
     files = manifest(spark, path, latest(spark, path) if version is None else version)
-    schema = _schema(files)
-    base = _read(spark, path, schema, files.where(F.col("tier") == BASE))
+    schema = schema_of(files)
+    base = read_files(spark, path, schema, files.where(F.col("tier") == BASE))
     changes = _latest_changes(spark, path, schema, files, keys)
     if changes is None:
         return base
@@ -192,7 +197,7 @@ def _rewritten(
     placed = cut_lineage(file_of_keys(changes.select(*schema.names), base, keys), "placed")
     touched = cut_lineage(placed.select("file").distinct(), "touched")
     held = base.join(touched, "file", "left_semi")
-    old = _read(spark, path, schema, held, _name())
+    old = read_files(spark, path, schema, held, _name())
     if mode == "replace":
         old = old.join(placed.select(*keys), list(keys), "left_anti").select(*placed.columns)
         rows = old.unionByName(placed)
@@ -222,7 +227,7 @@ def merge(
     keys = list(keys)
     at = latest(spark, path) if onto is None else onto
     files = manifest(spark, path, at)
-    schema = _schema(files)
+    schema = schema_of(files)
     if how == "append":
         run = add_files(changes.select(*schema.names), path, keys, 1, at + 1)
         publish(files.unionByName(run), path, at + 1)
@@ -243,7 +248,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int:
     """Fold all runs into the base files they touch; returns the newest version."""
     at = latest(spark, path)
     files = manifest(spark, path, at)
-    schema = _schema(files)
+    schema = schema_of(files)
     runs = _latest_changes(spark, path, schema, files, keys)
     if runs is None:
         return at

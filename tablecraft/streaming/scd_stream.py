@@ -1,44 +1,92 @@
-"""Incremental SCD2 over a stream, one micro-batch at a time.
-
-The state is split into hash buckets of the key. The target folder holds
-``log/batch=N/bucket=B``, the changes of each batch, and ``history/version=N/bucket=B``,
-the whole history of the keys of a bucket after batch N. A batch appends its changes and
-rewrites the buckets it touches, from their log; other buckets keep their version. Since
-the log has every change, rows that come late take their place in the closed history.
-
-A repeated batch writes the same files again. Versions that two newer ones replace are
-deleted, so the version before the last stays readable.
+"""Incremental SCD2 over a stream, one micro-batch at a time, as tiers of sorted runs.
+
+The state is a versioned folder (``sources.versions``) of change points: one row per key and
+time with the state that holds from then on, whether it starts a version of the history
+(it differs from the state before it), and if so until when. Batch N publishes version N:
+one run with the points that are new and the few old ones that they alter, since a late
+row ends the version it falls into and may join the one after it. Only keys of the batch are
+looked up, and of those only the version that holds the batch's first time and what is
+later. A run is in proportion to its batch; when ``fan`` runs of a tier have gathered they
+are merged into one of the next tier, so a point is written once per tier and the
+number of runs grows with the logarithm of the number of batches.
+
+The newest row of a key and time counts. A repeated batch finds its version published and
+changes nothing; a batch that fails before it publishes has written files that nothing
+names. The version before the last stays readable.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
+
+from tablecraft.functions.scalars import sentinel
+from tablecraft.operators.windows import dedup_latest, join_nullsafe, ordered
+from tablecraft.session import cut_lineage
+from tablecraft.sources import versions
+from tablecraft.sources.versions import ADDED
+
+FAN = 4
+STARTS, UNTIL, LOW, OLD = "_starts", "_until", "_low", "_old"
 
-from tablecraft.operators.scd import scd2_backfill
 
-LOG, HISTORY = "log", "history"
-BUCKETS = 64
+def last_batch(spark: SparkSession, path: str) -> int:
+    """Number of the newest batch in the folder, -1 if there is none."""
+    return versions.latest(spark, path)
+
+
+def _columns(schema: StructType, role: str) -> list[str]:
+    return [f.name for f in schema.fields if f.metadata.get("role") == role]
+
+
+def _with_roles(schema: StructType, roles: dict[str, Sequence[str]]) -> StructType:
+    role_of = {c: role for role, columns in roles.items() for c in columns}
+    return StructType([StructField(f.name, f.dataType, True, {"role": role_of.get(f.name, "")}) for f in schema.fields])
+
+
+def _runs(spark: SparkSession, path: str, schema: StructType, files: DataFrame, added: Sequence[int]) -> DataFrame:
+    """The rows of some runs with the batch that wrote them."""
+    parts = [
+        versions.read_files(spark, path, schema, files.where(F.col("added") == n)).withColumn(ADDED, F.lit(n).cast("long"))
+        for n in added
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int").alias("bucket")
+def _run_numbers(files: DataFrame) -> list[tuple[int, int]]:
+    """(tier, added) of the runs; their number grows with the logarithm of the batches."""
+    runs = files.where("file IS NOT NULL").groupBy("tier", "added").agg(F.count(F.lit(1)).alias("n"))
+    return [tuple(r) for r in runs.orderBy("tier", "added").select("tier", "added").toLocalIterator()]
 
 
-def _versions(spark: SparkSession, path: str, last: int) -> dict[int, list[int]]:
-    """Versions up to ``last`` by bucket, the newest first; folder names only, no rows."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{HISTORY}/version=*/bucket=*")
-    found: dict[int, list[int]] = {}
-    statuses = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path)
-    for status in statuses or []:
-        folder = status.getPath()
-        version = int(folder.getParent().getName().partition("=")[2])
-        if version <= last:
-            found.setdefault(int(folder.getName().partition("=")[2]), []).append(version)
-    return {bucket: sorted(versions, reverse=True) for bucket, versions in found.items()}
+def _newest(rows: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
+    return dedup_latest(rows, [*keys, ts_col], [F.desc(ADDED)]).drop("rn")
+
+
+def _collapsed(points: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts_col: str, tie: Sequence[str]) -> DataFrame:
+    """One row per key and time: the last in the order of ``tie``, without it the largest state."""
+    state = F.struct(*[F.col(c).alias(c) for c in [*tracked, *tie]])
+    last = F.max_by(state, F.struct(*[F.col(c) for c in tie])) if tie else F.max(state)
+    old = [F.max(OLD).alias(OLD)] if OLD in points.columns else []
+    return points.groupBy(*keys, ts_col).agg(last.alias("_s"), *old).select(*keys, ts_col, "_s.*", *([OLD] if old else []))
+
+
+def _touched(runs: DataFrame, points: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
+    """Of the keys of ``points`` the rows from the version that holds their first time on."""
+    low = cut_lineage(points.groupBy(*keys).agg(F.min(ts_col).alias(LOW)), "low")
+    near = (F.col(ts_col) >= F.col(LOW)) | (F.col(STARTS) & (F.col(UNTIL) >= F.col(LOW)))
+    # a row may have been replaced by one that is not near, so the newest one of each place is read
+    places = cut_lineage(
+        join_nullsafe(runs.select(*keys, ts_col, STARTS, UNTIL), low, keys, "inner").where(near)
+        .select(*keys, ts_col).distinct(),
+        "places",
+    )
+    found = join_nullsafe(runs, places.withColumn("_hit", F.lit(True)), [*keys, ts_col], "inner").drop("_hit")
+    return join_nullsafe(_newest(found, keys, ts_col), low, keys, "inner").where(near).drop(LOW, ADDED)
 
 
 def apply_batch(
@@ -48,34 +96,63 @@ def apply_batch(
     keys: Sequence[str],
     tracked: Sequence[str],
     ts_col: str,
-    tie: Sequence[str],
-    buckets: int = BUCKETS,
+    tie: Sequence[str] = (),
+    fan: int = FAN,
 ) -> None:
-    """Merge one batch of changes into the folder."""
+    """Merge one batch of changes into the folder; a batch that is in it already changes nothing."""
     spark = batch.sparkSession
-    keys, tracked, tie = list(keys), list(tracked), list(tie)
-    rows = batch.select(_bucket(keys, buckets), *keys, *tracked, ts_col, *tie)
-    log_path, history_path = f"{path}/{LOG}", f"{path}/{HISTORY}"
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{log_path}/batch={batch_id}")
-    log = spark.read.schema(StructType([*rows.schema.fields, StructField("batch", IntegerType())])).option("basePath", log_path).parquet(log_path)
-    log = log.filter(F.col("batch") <= batch_id)
-    # bucket numbers, at most as many as there are buckets
-    touched = [
-        r["bucket"] for r in log.filter(F.col("batch") == batch_id).select("bucket").distinct().collect()
-    ]
-    changed = log.filter(F.col("bucket").isin(touched)).drop("batch")
-    history = scd2_backfill(changed, ["bucket", *keys], tracked, ts_col, tie)
-    history.write.mode("overwrite").partitionBy("bucket").parquet(f"{history_path}/version={batch_id}")
-    for bucket, versions in _versions(spark, path, batch_id).items():
-        for version in versions[2:]:
-            old = spark._jvm.org.apache.hadoop.fs.Path(f"{history_path}/version={version}/bucket={bucket}")
-            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-
-
-def last_batch(spark: SparkSession, path: str) -> int:
-    """Number of the newest batch in the folder, -1 if there is none."""
-    versions = _versions(spark, path, 1 << 62)
-    return max((v[0] for v in versions.values()), default=-1)
+    keys, tracked, tie = list(keys), list(tracked), [t for t in tie if t not in tracked]
+    last = versions.latest(spark, path)
+    if last >= batch_id:
+        return
+    points = cut_lineage(_collapsed(batch.select(*keys, ts_col, *tracked, *tie), keys, tracked, ts_col, tie), "points")
+    values = [*tracked, *tie]
+    if last >= 0:
+        files = versions.manifest(spark, path, last)
+        schema = versions.schema_of(files)
+        runs = _runs(spark, path, schema, files, [added for _, added in _run_numbers(files)] or [0])
+        old = _touched(runs, points, keys, ts_col)
+        known = old.withColumn(OLD, F.struct(*[F.col(c) for c in [*values, STARTS, UNTIL]])).drop(STARTS, UNTIL)
+        points = _collapsed(points.unionByName(known, allowMissingColumns=True), keys, tracked, ts_col, tie)
+    state = F.struct(*[F.col(c) for c in tracked])
+    rows = ordered(points, keys, [ts_col])
+    before = rows.lag(F.struct(state.alias("s")), "_before")
+    marked = before.df.withColumn(STARTS, F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(state)).drop("_before")
+    marked = cut_lineage(marked, "marked") if rows.split is False else marked
+    begun = rows.with_df(marked.where(STARTS)).lead(F.col(ts_col), UNTIL).df.withColumn(UNTIL, F.coalesce(UNTIL, sentinel()))
+    others = marked.where(~F.col(STARTS)).withColumn(UNTIL, F.lit(None).cast(begun.schema[UNTIL].dataType))
+    every = begun.unionByName(others)
+    now = F.struct(*[F.col(c) for c in [*values, STARTS, UNTIL]])
+    stored = [*keys, ts_col, *values, STARTS, UNTIL]
+    if last >= 0:
+        every = every.where(F.col(OLD).isNull() | ~F.col(OLD).eqNullSafe(now))
+    run = versions.add_files(every.select(*stored), path, [*keys, ts_col], 1, batch_id)
+    if last >= 0:
+        files = files.unionByName(run)
+    else:
+        roles = {"key": keys, "tracked": tracked, "at": [ts_col], "tie": tie}
+        schema = _with_roles(every.select(*stored).schema, roles)
+        files = versions.with_schema(run, schema)
+    files = cut_lineage(files, "files")
+    merged = _merged(spark, path, schema, files, fan)
+    versions.publish(merged, path, batch_id)
+    if merged is not files:
+        versions.vacuum(spark, path)
+
+
+def _merged(spark: SparkSession, path: str, schema: StructType, files: DataFrame, fan: int) -> DataFrame:
+    """``files`` after every tier of ``fan`` or more runs became one run of the next tier."""
+    keys, ts_col = _columns(schema, "key"), _columns(schema, "at")[0]
+    tier = 1
+    while any(t >= tier for t, _ in _run_numbers(files)):
+        full = [added for t, added in _run_numbers(files) if t == tier]
+        if len(full) >= fan:
+            rows = _newest(_runs(spark, path, schema, files, full), keys, ts_col).select(*schema.names)
+            one = versions.add_files(rows, path, [*keys, ts_col], tier + 1, max(full))
+            rest = files.where("file IS NULL OR tier <> %d" % tier)
+            files = cut_lineage(rest.unionByName(one), "files")
+        tier += 1
+    return files
 
 
 def scd2_stream(
@@ -86,13 +163,13 @@ def scd2_stream(
     tracked: Sequence[str],
     ts_col: str,
     tie: Sequence[str] = (),
-    buckets: int = BUCKETS,
+    fan: int = FAN,
 ) -> int:
     """Run the stream over what is available; returns the newest batch number."""
     merged = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, path, keys, tracked, ts_col, tie, buckets)
+        apply_batch(batch, batch_id, path, keys, tracked, ts_col, tie, fan)
         merged.append(batch_id)
 
     query = (
@@ -107,8 +184,14 @@ def scd2_stream(
 
 def read_history(spark: SparkSession, path: str, last: int) -> DataFrame:
     """All versions of all keys after batch ``last``."""
-    newest = {bucket: versions[0] for bucket, versions in _versions(spark, path, last).items()}
-    if not newest:
-        raise ValueError(f"no history up to batch {last} in {path}")
-    folders = [f"{path}/{HISTORY}/version={v}/bucket={b}" for b, v in sorted(newest.items())]
-    return spark.read.option("basePath", f"{path}/{HISTORY}").parquet(*folders).drop("version", "bucket")
+    files = versions.manifest(spark, path, last)
+    schema = versions.schema_of(files)
+    keys, tracked, (ts_col,) = (_columns(schema, role) for role in ("key", "tracked", "at"))
+    numbers = [added for _, added in _run_numbers(files)] or [0]
+    rows = _runs(spark, path, schema, files, numbers)
+    if len(numbers) > 1:
+        rows = _newest(rows, keys, ts_col)
+    return rows.where(STARTS).select(
+        *keys, *tracked, F.col(ts_col).alias("valid_from"), F.col(UNTIL).alias("valid_to"),
+        (F.col(UNTIL) == sentinel()).alias("is_current"),
+    )

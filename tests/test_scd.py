@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import ts
 from tablecraft.operators import quality, scd, vault
+from tablecraft.sources import versions
 from tablecraft.streaming import scd_stream
 
 KEYS, TRACKED = ["k"], ["v"]
@@ -178,17 +179,52 @@ def test_repeated_batch_and_late_rows(spark, tmp_path):
     assert history_bag(scd_stream.read_history(spark, path, 0)) == walk([(1, "a", D1, 0), (2, "b", D2, 1)])
 
 
-def test_only_touched_buckets_are_rewritten_and_old_versions_go(spark, tmp_path):
+def test_runs_are_in_proportion_to_their_batches_and_tiers_are_merged(spark, tmp_path):
     path = str(tmp_path / "out")
-    many = [(k, "a", D1, k) for k in range(40)]
-    batches = [many, [(1, "b", D2, 100)], [(1, "c", D3, 101)], [(1, "d", D3, 102)]]
+    many = [(k, "a", D1, k) for k in range(2_000)]
+    batches = [many, *[[(k, f"v{k}", D2, 5_000 + k)] for k in range(7)]]
     for number, data in enumerate(batches):
-        scd_stream.apply_batch(as_log(spark, data), number, path, KEYS, TRACKED, "at", ["id"], buckets=8)
-    found = scd_stream._versions(spark, path, 99)
-    assert sorted(map(tuple, found.values()))[-1] == (3, 2)
-    assert sum(v == [0] for v in found.values()) == len(found) - 1
-    expected = walk(sorted([*many, *[r for b in batches[1:3] for r in b][:1], (1, "d", D3, 102)], key=lambda r: r[2]))
-    assert history_bag(scd_stream.read_history(spark, path, 3)) == expected
+        scd_stream.apply_batch(as_log(spark, data), number, path, KEYS, TRACKED, "at", ["id"])
+        files = versions.manifest(spark, path, number)
+        runs = {(r["tier"], r["added"]): r["n"] for r in files.groupBy("tier", "added").agg(F.sum("rows").alias("n")).collect() if r["n"]}
+        if number in (1, 2, 4, 5):
+            assert runs[1, number] == 2  # the new point, and the one before it with its end
+        assert len(runs) <= 4
+    assert runs == {(2, 3): 2_003, (2, 7): 8}
+    assert history_bag(scd_stream.read_history(spark, path, 7)) == walk([r for b in batches for r in b])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rows_in_any_order_give_the_history_of_their_log(spark, tmp_path, seed):
+    rnd = random.Random(seed)
+    data = [
+        (rnd.choice([None, 1, 1, 1, 2, 3]), rnd.choice(["a", "b", None]), f"2024-01-{rnd.randint(1, 28):02d} 00:00:00", i)
+        for i in range(60)
+    ]
+    late = data[:]
+    rnd.shuffle(late)
+    path = str(tmp_path / "out")
+    for number in range(6):
+        scd_stream.apply_batch(as_log(spark, late[number * 10 : number * 10 + 10]), number, path, KEYS, TRACKED, "at", ["id"], fan=2)
+    whole = scd.scd2_backfill(as_log(spark, data), KEYS, TRACKED, "at", ["id"])
+    assert history_bag(scd_stream.read_history(spark, path, 5)) == history_bag(whole)
+
+
+def test_a_batch_that_fails_before_publishing_is_applied_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    scd_stream.apply_batch(as_log(spark, [(1, "a", D1, 0)]), 0, path, KEYS, TRACKED, "at", ["id"])
+    second = as_log(spark, [(1, "b", D2, 1)])
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "publish", lost)
+        with pytest.raises(OSError):
+            scd_stream.apply_batch(second, 1, path, KEYS, TRACKED, "at", ["id"])
+    assert history_bag(scd_stream.read_history(spark, path, scd_stream.last_batch(spark, path))) == walk([(1, "a", D1, 0)])
+    scd_stream.apply_batch(second, 1, path, KEYS, TRACKED, "at", ["id"])
+    assert history_bag(scd_stream.read_history(spark, path, 1)) == walk([(1, "a", D1, 0), (1, "b", D2, 1)])
 
 
 def test_satellite_ignores_unchanged_rows(dim, second, spark):
