@@ -81,21 +81,24 @@ def _name() -> Column:
     return F.regexp_extract("_metadata.file_path", RELATIVE, 1).alias("file")
 
 
-def add_files(
-    df: DataFrame, path: str, keys: Sequence[str], tier: int, version: int, within: str | None = None
-) -> DataFrame:
-    """Write ``df`` ranged over ``keys`` and return its manifest rows.
+def write_files(df: DataFrame, path: str, keys: Sequence[str], within: str | None = None) -> str:
+    """Write ``df`` ranged over ``keys`` into a new folder, whose name is returned.
 
     ``within`` names a column whose values never share a file; it is not stored.
     """
-    spark = df.sparkSession
-    folder = f"{path}/data/{uuid.uuid4().hex}"
+    folder = f"data/{uuid.uuid4().hex}"
     writer = df.repartitionByRange(*([within] if within else []), *keys).sortWithinPartitions(*keys).write
-    (writer.partitionBy(within) if within else writer).parquet(folder)
-    stored = StructType([f for f in df.schema.fields if f.name != within])
+    (writer.partitionBy(within) if within else writer).parquet(f"{path}/{folder}")
+    return folder
+
+
+def file_rows(
+    spark: SparkSession, path: str, folder: str, schema: StructType, keys: Sequence[str], tier: int, version: int
+) -> DataFrame:
+    """The manifest rows of a folder: ranges of keys, rows and bytes of its files."""
     key = F.struct(*[F.col(k) for k in keys])
     stats = (
-        spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(folder)
+        spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/{folder}")
         .select(_name(), "_metadata.file_size", key.alias("k"))
         .groupBy("file")
         .agg(
@@ -109,6 +112,15 @@ def add_files(
     )
 
 
+def add_files(
+    df: DataFrame, path: str, keys: Sequence[str], tier: int, version: int, within: str | None = None
+) -> DataFrame:
+    """Write ``df`` and return its manifest rows."""
+    folder = write_files(df, path, keys, within)
+    stored = StructType([f for f in df.schema.fields if f.name != within])
+    return file_rows(df.sparkSession, path, folder, stored, keys, tier, version)
+
+
 def create(df: DataFrame, path: str, keys: Sequence[str]) -> int:
     """Version 0: ``df`` ranged over its unique ``keys``."""
     files = add_files(df, path, keys, BASE, 0)

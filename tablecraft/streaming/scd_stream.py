@@ -17,10 +17,11 @@ names. The version before the last stays readable.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -48,21 +49,27 @@ def _with_roles(schema: StructType, roles: dict[str, Sequence[str]]) -> StructTy
     return StructType([StructField(f.name, f.dataType, True, {"role": role_of.get(f.name, "")}) for f in schema.fields])
 
 
-def _runs(spark: SparkSession, path: str, schema: StructType, files: DataFrame, added: Sequence[int]) -> DataFrame:
+Runs = dict[tuple[int, int], str]  # the folder of each run by (tier, batch)
+
+
+def _state(spark: SparkSession, path: str, version: int) -> tuple[Runs, StructType]:
+    """The runs of a version and their columns; one row per file reaches the driver."""
+    rows = versions.manifest(spark, path, version).select("tier", "added", "file", "ddl").collect()
+    runs = {(r["tier"], r["added"]): r["file"].rpartition("/")[0] for r in rows if r["file"]}
+    return runs, StructType.fromJson(json.loads(next(r["ddl"] for r in rows if r["ddl"])))
+
+
+def _read(spark: SparkSession, path: str, schema: StructType, runs: Runs) -> DataFrame:
     """The rows of some runs with the batch that wrote them."""
     parts = [
-        versions.read_files(spark, path, schema, files.where(F.col("added") == n)).withColumn(ADDED, F.lit(n).cast("long"))
-        for n in added
+        spark.read.schema(schema).parquet(f"{path}/{folder}").withColumn(ADDED, F.lit(added).cast("long"))
+        for (_, added), folder in sorted(runs.items())
     ]
+    if not parts:
+        return spark.createDataFrame([], schema).withColumn(ADDED, F.lit(0).cast("long"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _run_numbers(files: DataFrame) -> list[tuple[int, int]]:
-    """(tier, added) of the runs; their number grows with the logarithm of the batches."""
-    runs = files.where("file IS NOT NULL").groupBy("tier", "added").agg(F.count(F.lit(1)).alias("n"))
-    return [tuple(r) for r in runs.orderBy("tier", "added").select("tier", "added").toLocalIterator()]
-
-
 def _newest(rows: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
     return dedup_latest(rows, [*keys, ts_col], [F.desc(ADDED)]).drop("rn")
 
@@ -77,7 +84,7 @@ def _collapsed(points: DataFrame, keys: Sequence[str], tracked: Sequence[str], t
 
 def _touched(runs: DataFrame, points: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
     """Of the keys of ``points`` the rows from the version that holds their first time on."""
-    low = cut_lineage(points.groupBy(*keys).agg(F.min(ts_col).alias(LOW)), "low")
+    low = points.groupBy(*keys).agg(F.min(ts_col).alias(LOW))
     near = (F.col(ts_col) >= F.col(LOW)) | (F.col(STARTS) & (F.col(UNTIL) >= F.col(LOW)))
     # a row may have been replaced by one that is not near, so the newest one of each place is read
     places = cut_lineage(
@@ -107,11 +114,10 @@ def apply_batch(
         return
     points = cut_lineage(_collapsed(batch.select(*keys, ts_col, *tracked, *tie), keys, tracked, ts_col, tie), "points")
     values = [*tracked, *tie]
+    runs: Runs = {}
     if last >= 0:
-        files = versions.manifest(spark, path, last)
-        schema = versions.schema_of(files)
-        runs = _runs(spark, path, schema, files, [added for _, added in _run_numbers(files)] or [0])
-        old = _touched(runs, points, keys, ts_col)
+        runs, schema = _state(spark, path, last)
+        old = _touched(_read(spark, path, schema, runs), points, keys, ts_col)
         known = old.withColumn(OLD, F.struct(*[F.col(c) for c in [*values, STARTS, UNTIL]])).drop(STARTS, UNTIL)
         points = _collapsed(points.unionByName(known, allowMissingColumns=True), keys, tracked, ts_col, tie)
     state = F.struct(*[F.col(c) for c in tracked])
@@ -126,33 +132,44 @@ def apply_batch(
     stored = [*keys, ts_col, *values, STARTS, UNTIL]
     if last >= 0:
         every = every.where(F.col(OLD).isNull() | ~F.col(OLD).eqNullSafe(now))
-    run = versions.add_files(every.select(*stored), path, [*keys, ts_col], 1, batch_id)
-    if last >= 0:
-        files = files.unionByName(run)
+    every = every.select(*stored)
+    if last < 0:
+        schema = _with_roles(every.schema, {"key": keys, "tracked": tracked, "at": [ts_col], "tie": tie})
+    after = _merged(spark, path, schema, runs | {(1, batch_id): versions.write_files(every, path, [*keys, ts_col])}, fan)
+    kept = versions.manifest(spark, path, last) if last >= 0 else None
+    gone = [folder for run, folder in runs.items() if after.get(run) != folder]
+    fresh = [
+        versions.file_rows(spark, path, folder, schema, [*keys, ts_col], tier, added)
+        for (tier, added), folder in after.items()
+        if runs.get((tier, added)) != folder
+    ]
+    if kept is not None:
+        files = reduce(DataFrame.unionByName, fresh, kept.where(_not_in(gone)))
     else:
-        roles = {"key": keys, "tracked": tracked, "at": [ts_col], "tie": tie}
-        schema = _with_roles(every.select(*stored).schema, roles)
-        files = versions.with_schema(run, schema)
-    files = cut_lineage(files, "files")
-    merged = _merged(spark, path, schema, files, fan)
-    versions.publish(merged, path, batch_id)
-    if merged is not files:
+        files = versions.with_schema(reduce(DataFrame.unionByName, fresh), schema)
+    versions.publish(files, path, batch_id)
+    if gone:
         versions.vacuum(spark, path)
 
 
-def _merged(spark: SparkSession, path: str, schema: StructType, files: DataFrame, fan: int) -> DataFrame:
-    """``files`` after every tier of ``fan`` or more runs became one run of the next tier."""
+def _not_in(folders: Sequence[str]) -> Column:
+    """Manifest rows outside ``folders``; the row that carries the columns stays."""
+    return F.coalesce(~F.regexp_extract("file", "^(data/[^/]+)/", 1).isin(*folders), F.lit(True)) if folders else F.lit(True)
+
+
+def _merged(spark: SparkSession, path: str, schema: StructType, runs: Runs, fan: int) -> Runs:
+    """``runs`` after every tier of ``fan`` or more became one run of the next tier."""
     keys, ts_col = _columns(schema, "key"), _columns(schema, "at")[0]
     tier = 1
-    while any(t >= tier for t, _ in _run_numbers(files)):
-        full = [added for t, added in _run_numbers(files) if t == tier]
+    while any(t >= tier for t, _ in runs):
+        full = {run: folder for run, folder in runs.items() if run[0] == tier}
         if len(full) >= fan:
-            rows = _newest(_runs(spark, path, schema, files, full), keys, ts_col).select(*schema.names)
-            one = versions.add_files(rows, path, [*keys, ts_col], tier + 1, max(full))
-            rest = files.where("file IS NULL OR tier <> %d" % tier)
-            files = cut_lineage(rest.unionByName(one), "files")
+            rows = _newest(_read(spark, path, schema, full), keys, ts_col).select(*schema.names)
+            one = versions.write_files(rows, path, [*keys, ts_col])
+            runs = {run: folder for run, folder in runs.items() if run not in full}
+            runs[tier + 1, max(added for _, added in full)] = one
         tier += 1
-    return files
+    return runs
 
 
 def scd2_stream(
@@ -184,12 +201,10 @@ def scd2_stream(
 
 def read_history(spark: SparkSession, path: str, last: int) -> DataFrame:
     """All versions of all keys after batch ``last``."""
-    files = versions.manifest(spark, path, last)
-    schema = versions.schema_of(files)
+    runs, schema = _state(spark, path, last)
     keys, tracked, (ts_col,) = (_columns(schema, role) for role in ("key", "tracked", "at"))
-    numbers = [added for _, added in _run_numbers(files)] or [0]
-    rows = _runs(spark, path, schema, files, numbers)
-    if len(numbers) > 1:
+    rows = _read(spark, path, schema, runs)
+    if len(runs) > 1:
         rows = _newest(rows, keys, ts_col)
     return rows.where(STARTS).select(
         *keys, *tracked, F.col(ts_col).alias("valid_from"), F.col(UNTIL).alias("valid_to"),
