@@ -285,4 +285,6 @@ def mask_personal(docs: DataFrame) -> DataFrame:
                 columns[place] = pa.array([masked(t) for t in piece.column(place).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays(columns, names=piece.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    # numbered names, since a name with a dot is read as a field of a struct
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
