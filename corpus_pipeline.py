@@ -19,12 +19,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies."""
+    """One document of every group of near copies: fingerprints at three bits or fewer."""
     return near_copies.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of benchmark items; a text left without words goes."""
+    """Texts without the passages of benchmark items; a text of spaces or nothing goes."""
     clean = decontamination.remove_passages(docs, table(spark, sf_dir, "benchmark"))
     return clean.where(F.length(F.trim("text")) > 0)
 
@@ -35,11 +35,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and the text that they decode to."""
-    model = queries.model_path()
-    ids = tokens.encode_texts(docs, model, out="token_ids")
-    both = ids.withColumn("_llm_ids", F.col("token_ids"))
-    return tokens.decode_ids(both, model, ids="_llm_ids").withColumn("n_tokens", F.size("token_ids").cast("long"))
+    """Ids of every text in ``token_ids``, their number, and the text that they decode to.
+
+    A null text is an empty one and has the end id only.
+    """
+    return tokens.round_trip(docs, queries.model_path())
 
 
 STAGES = [

@@ -15,7 +15,7 @@ on the bits. A bucket gives the edges of a spanning forest, not its pairs. Bucke
 dealt out in chunks of bounded size, every pair of chunks a task of its own, so none
 grows with the data.
 
-The pipeline's stage (``keep_one``) links by the exact similarity of shingle sets.
+The pipeline's stage (``keep_one``) keeps one row of every group.
 
 Defined cases: a null text is an empty one; texts without words have fingerprint zero
 and link like any other; shorter texts are hashed as one sequence; equal fingerprints
@@ -32,12 +32,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft.llm.common import components, map_texts, pieces, store
-from tablecraft.llm.repeats import rolling, word_hashes
-from tablecraft.llm.sampling import by_hash
 
 SEED = 42
 REFERENCES = 8  # per block
@@ -200,14 +198,12 @@ def forest(left: np.ndarray, right: np.ndarray, distance: int, blocks: int) -> t
             x = parent[x]
         return x
 
-    table = None
+    # distances to whole references, all blocks together
+    table = distances(everyone[:, 0], blocks).sum(axis=1, dtype=np.int16)
     a, b = [], []
     for x in range(sides):
         others = np.arange(sides if len(right) else x + 1, n)
-        if n > 64:
-            if table is None:  # distances to whole references, all blocks together
-                table = distances(everyone[:, 0], blocks).sum(axis=1, dtype=np.int16)
-            others = others[np.abs(table[others] - table[x]).max(axis=1) <= distance]
+        others = others[np.abs(table[others] - table[x]).max(axis=1, initial=0) <= distance]
         differ = np.bitwise_count(everyone[others] ^ everyone[x]).sum(axis=1)
         for y in others[differ <= distance].tolist():
             p, q = root(x), root(y)
@@ -219,7 +215,7 @@ def forest(left: np.ndarray, right: np.ndarray, distance: int, blocks: int) -> t
 
 
 def grouped(prints: DataFrame, distance: int, equal: int, blocks: int | None = None) -> DataFrame:
-    """``prints`` (doc_id, fp, more, ...) stored, with component_id.
+    """``prints`` (doc_id, fp, more, ...) stored, with component (its smallest fingerprint) and component_id.
 
     Copies are collapsed to their fingerprint first; links are sought among distinct
     fingerprints, each named by its smallest doc_id.
@@ -231,10 +227,10 @@ def grouped(prints: DataFrame, distance: int, equal: int, blocks: int | None = N
     named = nodes.withColumn("node", F.concat(F.array("fp"), "more")).join(found, "node")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     linked = store(
-        named.join(least, "component").select("fp", "more", "component_id"), "components"
+        named.join(least, "component").select("fp", "more", "component", "component_id"), "components"
     )
     alone = nodes.join(linked, ["fp", "more"], "left_anti").select(
-        "fp", "more", F.col("first").alias("component_id")
+        "fp", "more", F.concat(F.array("fp"), "more").alias("component"), F.col("first").alias("component_id")
     )
     return prints.join(store(linked.unionByName(alone), "groups"), ["fp", "more"])
 
@@ -249,245 +245,37 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
 
 
-# The pipeline's near copies: sets of five-word shingles, by exact Jaccard similarity.
-WORDS = 5
-ALIKE = (4, 5)  # linked from 4 / 5 on
-SAMPLE_DOCS = 50_000  # texts that say which shingles are common
-COMMON = 500_000  # shingles whose count in the sample is kept
-_FACTOR = 0x9E3779B97F4A7C15
-
-
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles, words as in ``shingles``."""
-    words = word_hashes((text or "").encode().lower().decode())
-    return np.unique(rolling(words, max(1, min(WORDS, len(words))), _FACTOR))
-
-
-def set_name(found: np.ndarray) -> int:
-    """A signed 64-bit name of a set of shingles; the names of millions of sets differ."""
-    digest = xxhash.xxh3_64_intdigest(found.tobytes(), SEED)
-    return digest - (1 << 64) if digest >> 63 else digest
-
-
-def alike(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether the Jaccard similarity of two sets is ALIKE or more, in whole numbers."""
-    up, down = ALIKE
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both * down >= up * (len(a) + len(b) - both)
-
-
-def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles met most in a sample, sorted, and their counts. They decide an order only."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch):
-                found = [shingle_set(t) for t in set(piece.column("text").to_pylist())]
-                values, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"]
-                )
-
-    rows = (
-        by_hash(docs, "_llm_key", SAMPLE_DOCS, "common").select("text").mapInArrow(count, "shingle long, n long")
-        .groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 3")
-        .orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()
-    )
-    values = rows.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(values)
-    return values[order], rows.column("n").to_numpy().astype(np.int64)[order]
-
-
-def prefix(found: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles of a set, rarest first: sets that are alike share one of them.
-
-    Sets that are alike have at least 4 / 5 of the larger one in common, so at most a
-    fifth of either is missing from the other; in any order that is the same for all
-    sets, the first common shingle is within the first fifth and one more of both.
-    """
-    up, down = ALIKE
-    values, counts = common
-    often = np.zeros(len(found), dtype=np.int64)
-    if len(values):
-        at = np.minimum(np.searchsorted(values, found), len(values) - 1)
-        often = np.where(values[at] == found, counts[at], 0)
-    return found[np.lexsort((found, often))][: len(found) * (down - up) // down + 1]
-
-
-def meetings(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Rows (shingle, node, size, at; lead, lead_size, lead_at) of prefixes, where a shingle has several nodes.
-
-    ``at`` is the shingle's place in the prefix, ``lead`` the smallest node that has it,
-    with its own size and place. Sorted rows stream through, so that a shingle may have
-    any number of nodes.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(common)  # COMMON values and counts at most
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # the texts of a task
-        for batch in batches:
-            for piece in pieces(batch):
-                s, node, size, at = [], [], [], []
-                for found in map(shingle_set, piece.column("text").to_pylist()):
-                    name = set_name(found)
-                    if len(found) and name not in seen:
-                        seen.add(name)
-                        s.append(prefix(found, shared.value))
-                        node.append(np.full(len(s[-1]), name, dtype=np.int64))
-                        size.append(np.full(len(s[-1]), len(found), dtype=np.int32))
-                        at.append(np.arange(len(s[-1]), dtype=np.int32))
-                if node:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c)) for c in ([x.view(np.int64) for x in s], node, size, at)],
-                        names=["shingle", "node", "size", "at"],
-                    )
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_lead, sent = None, (0, 0, 0), False  # the row before, the lead of its shingle, whether it went out
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if last is not None:
-                rows = [np.concatenate(([x], c)).astype(c.dtype) for x, c in zip(last, rows)]
-            s, node, size, at = rows
-            new = np.append(True, s[1:] != s[:-1])
-            distinct = new | np.append(True, node[1:] != node[:-1])
-            s, node, size, at, new = (c[distinct] for c in (s, node, size, at, new))
-            starts = np.flatnonzero(new)
-            lengths = np.diff(np.append(starts, len(s)))
-            lead = [np.repeat(c[starts], lengths) for c in (node, size, at)]
-            out = np.repeat(lengths > 1, lengths)
-            if last is not None:
-                for c, x in zip(lead, last_lead):
-                    c[: lengths[0]] = x
-                if sent:
-                    out[: lengths[0]] = True
-            going = bool(out[-1])
-            if last is not None and sent:
-                out[0] = False
-            last, last_lead, sent = (s[-1], node[-1], size[-1], at[-1]), [c[-1] for c in lead], going
-            if out.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[out]) for c in (s, node, size, at, *lead)],
-                    names=["shingle", "node", "size", "at", "lead", "lead_size", "lead_at"],
-                )
-
-    dealt = docs.select("text").mapInArrow(deal, "shingle long, node long, size int, at int")
-    ordered = dealt.repartition("shingle").sortWithinPartitions("shingle", "node")
-    return store(ordered.mapInArrow(meet, "shingle long, node long, size int, at int, lead long, lead_size int, lead_at int"), "meetings")
-
-
-def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """The edges (a, b) whose two sets are alike."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch):
-                left, right = piece.column("left").to_pylist(), piece.column("right").to_pylist()
-                yes = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(left, right)]
-                yield piece.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
-
-    one = sets.select(F.col("node").alias("a"), F.col("found").alias("left"))
-    other = sets.select(F.col("node").alias("b"), F.col("found").alias("right"))
-    both = edges.join(one, "a").join(other, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(check, "a long, b long")
-
-
-def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and the bytes of its sorted hashes, one row each of ``nodes``."""
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[int] = set()
-            for piece in pieces(batch):
-                rows = []
-                for text in piece.column("text").to_pylist():
-                    name = set_name(shingle_set(text))
-                    if name not in seen:
-                        seen.add(name)
-                        rows.append((name, text))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())],
-                    names=["node", "text"],
-                )
-
-    named = docs.select("text").mapInArrow(name, "node long, text string").join(nodes, "node", "left_semi")
-    return store(
-        map_texts(named, ["node"], lambda t: (shingle_set(t).tobytes(),), "found binary").dropDuplicates(["node"]),
-        "sets",
-    )
-
-
-def early(size: str, at: str, other_size: str, other_at: str) -> Column:
-    """Whether a shingle at these places can be the first that two sets which are alike share.
-
-    They have 4 / 9 of the sum of their sizes in common, all from their first one on.
-    """
-    up, down = ALIKE
-    both = (F.col(size) + F.col(other_size)) * up
-    return ((F.col(size) - F.col(at)) * (up + down) >= both) & (
-        (F.col(other_size) - F.col(other_at)) * (up + down) >= both
-    )
-
-
-def similar(docs: DataFrame) -> DataFrame:
-    """(node, component) of the texts that are alike to another one, over all such links.
-
-    First every node is compared with the lead of each shingle it meets others under.
-    What these links have not joined yet is compared pair by pair; the nodes of one
-    component need no more comparing, so a crowd of near copies costs no pairs.
-    """
-    met = meetings(docs, common_shingles(docs))
-    sets = sets_of(docs, met.select("node").distinct())
-    stars = store(met.where("node <> lead").where(early("size", "at", "lead_size", "lead_at")).select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "stars")
-    links = store(verified(stars, sets), "links")
-    found = components(links)
-    joined = store(
-        met.join(found, "node", "left").select(
-            "shingle", "node", "size", "at", F.coalesce("component", "node").alias("component")
-        ),
-        "joined",
-    )
-    open_ = joined.groupBy("shingle").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
-    rest = store(joined.join(open_.select("shingle"), "shingle", "left_semi"), "rest")
-    a, b = rest.alias("a"), rest.alias("b")
-    pairs = (
-        a.join(b, F.col("a.shingle") == F.col("b.shingle"))
-        .where("a.node > b.node and a.component <> b.component")
-        .where(early("a.size", "a.at", "b.size", "b.at"))
-        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    return components(links.unionByName(verified(store(pairs, "pairs"), sets)))
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns c0, c1, ...: names may hold dots or clash with working columns."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every group of near copies: the one with the smallest doc_id.
 
-    Texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are
-    linked, and links' components are the groups. The search is certain: texts that alike
-    share a shingle of their prefixes, and each link is verified on the whole sets. Texts
-    without words are one group. A group is known by its smallest node, so repeated and
-    null ids join nothing. A null doc_id comes after all others; of rows with the same
-    id, the one whose text hash sorts first stays; of equal rows, one.
+    Groups are those of ``near_copies``: components of links between fingerprints of
+    three-word shingles that differ in three bits or fewer; texts without words share
+    the fingerprint zero and so one group. A group is known by its smallest fingerprint,
+    so repeated and null ids join nothing. A null doc_id comes after all others; of rows
+    with the same id, the one whose text hash sorts first stays; of equal rows, one.
+    Other columns stay as they are, whatever their names.
     """
-    columns = docs.columns
-    own = F.concat_ws(
-        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string")
-    )
-    keyed = docs.withColumn("_llm_key", own)
-    named = store(
-        map_texts(keyed, ["doc_id", "_llm_key"], lambda t: (set_name(shingle_set(t)),), "node long"), "named"
-    )
-    group = F.coalesce("component", "node")
+    plain = numbered(docs)
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    key = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.xxhash64(text).cast("string"))
+    keyed = plain.withColumn("key", key)
+    prints = map_texts(
+        keyed.select(doc_id.alias("doc_id"), "key", text.alias("text")), ["doc_id", "key"],
+        lambda t: (fingerprint64(t),), "fp long",
+    ).withColumn("more", F.array().cast("array<long>"))
     keepers = (
-        named.join(similar(keyed), "node", "left")
-        .groupBy(group.alias("group"))
-        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_llm_key")).alias("first"))
-        .select("first._llm_key")
+        grouped(prints, distance=3, equal=3)
+        .groupBy("component")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
+        .select("first.key")
+    )
+    kept = keyed.join(store(keepers, "keepers"), "key", "left_semi")
+    first = Window.partitionBy("key").orderBy(F.xxhash64(*plain.columns))
+    return (
+        kept.withColumn("at", F.row_number().over(first)).where("at = 1").select(*plain.columns).toDF(*docs.columns)
     )
-    kept = keyed.join(store(keepers, "keepers"), "_llm_key", "left_semi")
-    first = Window.partitionBy("_llm_key").orderBy(F.xxhash64(*columns))
-    return kept.withColumn("_llm_at", F.row_number().over(first)).where("_llm_at = 1").select(*columns)

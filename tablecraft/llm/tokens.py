@@ -13,7 +13,8 @@ A text is encoded in units, cut where no piece can reach across: before a mark t
 follows something else, after a letter before anything else (where the vocabulary has
 no piece that goes on there), and around characters without a piece. Units met again are
 looked up, in a table of bounded size. Units with two marks in a row may meet pieces of
-equal score, whose order depends on the place; they are short and merged directly.
+equal score, whose order depends on the place; they are merged directly, over a heap where
+they are long.
 
 Defined cases: a null text is encoded as an empty one; an empty text has the end id
 only; every row is encoded for itself, so repeated rows give repeated results.
@@ -22,10 +23,12 @@ only; every row is encoded for itself, so repeated rows give repeated results.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -73,6 +76,7 @@ class Encoder:
             for p, (_, i) in made.items()
         }
         self.units = self.unit_pattern()
+        self.plain = {i: p.replace(MARK, " ") for i, p in self.text.items()} | {self.end: ""}
         self.cache: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}  # units that do not decode to themselves
         self.pairs: dict[int, bool] = {}
@@ -102,6 +106,36 @@ class Encoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def merge_long(self, text: str) -> list[str]:
+        """The same merges over a heap of pairs, for texts of any length."""
+        parts: list = list(text)
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        score, heap = self.score, []
+
+        def offer(at: int) -> None:
+            if at >= 0 and after[at] < len(parts):
+                pair = parts[at] + parts[after[at]]
+                if pair in score:
+                    heap.append((-score[pair], at, pair)) if not ready else heapq.heappush(heap, (-score[pair], at, pair))
+
+        ready = False
+        for at in range(len(parts)):
+            offer(at)
+        heapq.heapify(heap)
+        ready = True
+        while heap:
+            _, at, pair = heapq.heappop(heap)
+            other = after[at] if parts[at] is not None else len(parts)
+            if other >= len(parts) or parts[at] + parts[other] != pair:
+                continue  # one of the two has been merged since
+            parts[at], parts[other] = pair, None
+            after[at] = after[other]
+            if after[at] < len(parts):
+                before[after[at]] = at
+            offer(before[at])
+            offer(at)
+        return [p for p in parts if p is not None]
+
     def follows(self, left: int, right: int) -> bool:
         """Whether merging the text of both pieces gives just these two."""
         if len(self.pairs) >= PAIRS:
@@ -112,7 +146,7 @@ class Encoder:
 
     def encode_unit(self, unit: str) -> list[int]:
         if unit.startswith(MARK * 2):
-            return [self.number[p] for p in self.merge(unit)]
+            return [self.number[p] for p in (self.merge if len(unit) < 32 else self.merge_long)(unit)]
         if len(unit) == 1 and unit not in self.number:
             return [self.byte[b] for b in unit.encode()]
         n = len(unit)
@@ -166,12 +200,22 @@ class Encoder:
     def cut(self, text: str) -> list[str]:
         return self.units.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def encode(self, text: str | None) -> list[int]:
-        """All ids, the end id last."""
-        return [i for u in self.cut(text or "") for i in self.encode_unit(u)] + [self.end]
+    def encode(self, text: str | None) -> np.ndarray:
+        """All ids, the end id last; units met before are looked up."""
+        known = self.cache.get
+        found = [known(u) or self.unit(u) for u in self.cut(text or "")]
+        found.append(str(self.end).encode())
+        return np.array(b" ".join(found).split(), dtype=np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: one leading space is dropped, broken bytes become U+FFFD each."""
+        try:
+            text = "".join([self.plain[i] for i in ids])
+        except KeyError:  # bytes, unknown or control ids
+            return self.decode_any(ids)
+        return text[1:] if text.startswith(" ") else text
+
+    def decode_any(self, ids: list[int]) -> str:
         out, bytes_ = [], bytearray()
         first = True
         for i in [*ids, self.end]:
@@ -277,3 +321,29 @@ def decode_ids(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     )
     out = encoded.mapInArrow(run, ", ".join(x for x in (fields, "text string") if x))
     return out.select(*[F.col(c) for c in encoded.columns if c != ids and c != "text"], "text")
+
+
+def round_trip(docs: DataFrame, model: str, ids: str = "token_ids", count: str = "n_tokens") -> DataFrame:
+    """``docs`` with ``ids`` and ``count`` of each text, and as text what these ids decode to.
+
+    One pass, so that a task holds the tables of one encoder. Columns named like ``ids`` or
+    ``count`` are replaced; the others stay as they are, whatever their names.
+    """
+    names = [c for c in docs.columns if c not in (ids, count)]
+    kept = docs.select(*[F.col(f"`{c}`") for c in names]).toDF(*[f"c{i}" for i in range(len(names))])
+    place = names.index("text")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields)
+
+    def run(batches):
+        own = encoder(model)
+        for batch in batches:
+            for piece in pieces(batch, 64):
+                found = [own.encode(t) for t in piece.column(place).to_pylist()]
+                columns = list(piece.columns)
+                columns[place] = pa.array([own.decode(f.tolist()) for f in found], pa.string())
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                sizes = pa.array(np.diff(ends).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*columns, lists, sizes], names=[*piece.schema.names, "ids", "count"])
+
+    return kept.mapInArrow(run, f"{fields}, ids array<int>, count long").toDF(*names, ids, count)

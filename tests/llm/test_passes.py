@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -328,3 +329,14 @@ def test_labels_are_no_input(spark, documents):
 
 def test_schema_of_documents(odd):
     assert ", ".join(f"{n} {t.replace('bigint', 'long')}" for n, t in odd.dtypes) == DOCUMENTS
+
+
+@pytest.mark.parametrize("text", [" " * 100_000 + "x", "a" + " " * 4_001 + "b  c   d", "x" * 50_000, " \n" * 3_000, "  word" * 500])
+def test_long_runs_are_encoded_as_the_library_does(text):
+    library = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    own = tokens.encoder(model_path())
+    start = time.time()
+    ids = own.encode(text).tolist()
+    assert time.time() - start < 5
+    assert ids == library.encode(text, add_eos=True)
+    assert own.decode(ids) == library.decode(ids)
