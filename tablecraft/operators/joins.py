@@ -6,10 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablecraft.functions.scalars import open_end
 from tablecraft.operators.windows import ordered
 
+LAST_TICK = 1 << 61  # an open end
+
 
 def missing(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key has no match (NOT EXISTS)."""
@@ -89,6 +92,122 @@ def as_of_join(
     )
 
 
+def _tick(df: DataFrame, column: str) -> Column:
+    """Times, dates and whole numbers as whole numbers on a line."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return F.col(column).cast("long")
+    raise ValueError(f"{column}: intervals are over times, dates or whole numbers, not {kind.simpleString()}")
+
+
+def _leveled(intervals: DataFrame, keys: Sequence[str], lo: str, hi: str) -> DataFrame:
+    """``_lo``, ``_hi`` and the ``_level`` of each interval: the smallest with length <= 2^level.
+
+    An open end is the last moment; intervals without a length or with a NULL key are left out.
+    """
+    end = F.coalesce(_tick(intervals, hi), F.lit(LAST_TICK))
+    length = F.col("_hi") - F.col("_lo")
+    return (
+        intervals.dropna(subset=list(keys))
+        .withColumns({"_lo": _tick(intervals, lo), "_hi": end})
+        .where("_lo < _hi")
+        .withColumn("_level", F.when(length == 1, 0).otherwise(F.length(F.bin(length - 1))).cast("int"))
+    )
+
+
+def _levels(leveled: DataFrame) -> list[int]:
+    """The levels in use, 63 at most."""
+    return sorted(r["_level"] for r in leveled.select("_level").distinct().collect())
+
+
+def _at_blocks(leveled: DataFrame, level: Column | str) -> DataFrame:
+    """One row per block that an interval touches at a level no smaller than its own: two at most."""
+    blocks = F.sequence(F.expr(f"shiftright(_lo, {level})"), F.expr(f"shiftright(_hi - 1, {level})"))
+    return leveled.withColumn("_block", F.explode(blocks))
+
+
+def interval_join(
+    points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, lo: str = "valid_from", hi: str = "valid_to"
+) -> DataFrame:
+    """Each point with every interval of its key that holds it, ``lo <= at < hi``; they may overlap.
+
+    Time is cut into blocks of 2^level. An interval belongs to the level just above its
+    length, where it touches two blocks at most, and fills more than a quarter of what it
+    touches; a point lies in one block of each level in use. So the join is one of equal
+    keys, levels and blocks, which also spreads a key that owns most rows, and what it finds
+    beside the hits is in proportion to them. Columns of the intervals that the points have
+    too keep the values of the points.
+    """
+    keys = list(keys)
+    leveled = _leveled(intervals, keys, lo, hi)
+    levels = _levels(leveled)
+    extra = [c for c in intervals.columns if c not in points.columns]
+    side = _at_blocks(leveled, "_level").select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_level", "_block", "_lo", "_hi",
+        *[F.col(c).alias(f"_i_{c}") for c in extra],
+    )
+    each = F.array(*[F.lit(v) for v in levels]).cast("array<int>")
+    placed = (
+        points.withColumn("_at", _tick(points, at))
+        .withColumn("_plevel", F.explode(each))
+        .withColumn("_pblock", F.expr("shiftright(_at, _plevel)"))
+    )
+    same = (F.col("_plevel") == F.col("_level")) & (F.col("_pblock") == F.col("_block"))
+    for i, k in enumerate(keys):
+        same = same & (placed[k] == side[f"_k{i}"])
+    return (
+        placed.join(side, same)
+        .where("_lo <= _at AND _at < _hi")
+        .select(*points.columns, *[F.col(f"_i_{c}").alias(c) for c in extra])
+    )
+
+
+def overlap_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], lo: str = "valid_from", hi: str = "valid_to"
+) -> DataFrame:
+    """Pairs of intervals of one key that share a moment: columns of ``right`` begin with ``other_``.
+
+    Of a pair the shorter level is looked up at the longer one, where both touch two
+    blocks at most; a pair is taken in the block where the later of the two begins, so once.
+    """
+    keys = list(keys)
+    a, b = _leveled(left, keys, lo, hi), _leveled(right, keys, lo, hi)
+    levels = sorted(set(_levels(a)) | set(_levels(b)))
+    each = F.array(*[F.lit(v) for v in levels]).cast("array<int>")
+
+    def renamed(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
+
+    def climbing(df: DataFrame, own: bool) -> DataFrame:
+        """At every level in use from its own on, or from the next one on."""
+        up = F.filter(each, lambda v: v >= F.col("_level") if own else v > F.col("_level"))
+        return _at_blocks(df.withColumn("_on", F.explode(up)), "_on")
+
+    def resting(df: DataFrame) -> DataFrame:
+        return _at_blocks(df.withColumn("_on", F.col("_level")), "_on")
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        x, y = renamed(x, "a_"), renamed(y, "b_")
+        same = (x["a__on"] == y["b__on"]) & (x["a__block"] == y["b__block"])
+        for k in keys:
+            same = same & (x[f"a_{k}"] == y[f"b_{k}"])
+        later = F.greatest("a__lo", "b__lo")
+        return (
+            x.join(y, same)
+            .where((later < F.least("a__hi", "b__hi")) & (F.expr("shiftright(greatest(a__lo, b__lo), a__on)") == F.col("a__block")))
+            .select(
+                *[F.col(f"a_{c}").alias(c) for c in left.columns],
+                *[F.col(f"b_{c}").alias(f"other_{c}") for c in right.columns if c not in keys],
+            )
+        )
+
+    return met(climbing(a, own=True), resting(b)).unionByName(met(resting(a), climbing(b, own=False)))
+
+
 def resolve_edges(
     edges: DataFrame,
     nodes: DataFrame,

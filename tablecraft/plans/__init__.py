@@ -6,6 +6,7 @@ from tablecraft.plans import (  # noqa: F401
     checks,
     edges,
     history,
+    intervals,
     merges,
     regression,
     scalars,

@@ -19,7 +19,8 @@ from tablecraft.plans.history import customer_history
 from tablecraft.plans.registry import query
 from tablecraft.plans.stars import FACT_SQL, fact_sales
 from tablecraft.plans.vaults import hub_customer, link_rows, sat_customer
-from tablecraft.session import cut_lineage
+from tablecraft.session import cut_lineage, work_path
+from tablecraft.sources import profiles
 from tablecraft.sources.tables import catalog, read_table, rows
 
 TABLES = [
@@ -82,6 +83,28 @@ def catalog_columns(spark, d):
     return catalog(spark, tables).drop("is_primary_key", "nullable")
 
 
+SKETCHED_SQL = " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS data_type,
+        CAST({i} AS INTEGER) AS ordinal, count(*) AS row_count, count(*) - count({c}) AS null_count,
+        count({c}) = count(*) AND count(DISTINCT {c}) = count(*) AND count(*) > 0 AS is_unique
+        FROM {t}"""
+    for t in TABLES
+    for i, (c, kind) in enumerate(_columns(GIVEN_COLUMNS[t]), start=1)
+)
+
+
+@query("catalog_sketched", SKETCHED_SQL)
+def catalog_sketched(spark, d):
+    """The same catalog from stored sketches: one pass per file, exact counts for possible keys."""
+    paths = {t: f"{d}/{t}.parquet" for t in TABLES}
+    store = work_path(spark, "profiles")
+    profiles.update(spark, paths, store)
+    found = profiles.with_keys(spark, paths, profiles.summary(spark, paths, store))
+    return found.select(
+        "table_name", "column_name", "data_type", "ordinal", "row_count", "null_count", "is_unique"
+    )
+
+
 # ---------------------------------------------------- catalog of built tables
 
 

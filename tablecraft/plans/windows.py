@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import units
@@ -10,7 +12,7 @@ from tablecraft.operators import windows as w
 from tablecraft.operators.star import opening_closing
 from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
-from tablecraft.sources.tables import read_table
+from tablecraft.sources.tables import read_table, rows
 
 LATEST_SQL = """SELECT *, row_number() OVER (PARTITION BY o_custkey
   ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders"""
@@ -169,6 +171,41 @@ def rank_tie_breakers(spark, d):
     return det.rank_tie_breakers(orders, ["o_custkey"], ["o_orderdate"], CANDIDATES)
 
 
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+ORDER_REST = ["o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderkey"]
+
+
+def _sets_sql(table: str, columns: list[str], fixed: list[str], out: str) -> str:
+    """Minimal unique sets by counting every subset."""
+    parts = []
+    for size in range(1, len(columns) + 1):
+        for s in combinations(columns, size):
+            names = "[" + ", ".join(f"'{c}'" for c in s) + "]"
+            parts.append(
+                f"SELECT {names} AS s, {size} AS n, (SELECT count(*) FROM (SELECT DISTINCT "
+                f"{', '.join([*fixed, *s])} FROM {table})) = (SELECT count(*) FROM {table}) AS u"
+            )
+    return f"""WITH sets AS ({' UNION ALL '.join(parts)})
+        SELECT list_aggregate(s, 'string_agg', ',') AS {out}, CAST(n AS INTEGER) AS size FROM sets a
+        WHERE u AND NOT EXISTS (SELECT 1 FROM sets b WHERE b.u AND b.n < a.n AND list_has_all(a.s, b.s))"""
+
+
+@query("composite_keys", _sets_sql("lineitem", LINE_COLUMNS, [], "key_columns"))
+def composite_keys(spark, d):
+    """Every minimal set of columns that identifies a line item."""
+    lines = read_table(spark, d, "lineitem", LINE_COLUMNS)
+    found = det.unique_sets(lines, LINE_COLUMNS)
+    return rows(spark, [(",".join(s), len(s)) for s in found], "key_columns string, size int")
+
+
+@query("composite_tie_breakers", _sets_sql("orders", ORDER_REST, ["o_custkey", "o_orderdate"], "columns"))
+def composite_tie_breakers(spark, d):
+    """Columns that make the orders of a customer and day distinct, alone or together."""
+    orders = read_table(spark, d, "orders", ["o_custkey", "o_orderdate", *ORDER_REST])
+    found = det.composite_tie_breakers(orders, ["o_custkey"], ["o_orderdate"], ORDER_REST)
+    return found.select(F.array_join("columns", ",").alias("columns"), "size")
+
+
 @query(
     "seeded_sample",
     """SELECT c_custkey, CAST(('0x' || substring(md5(CAST(c_custkey AS VARCHAR)), 1, 8))::BIGINT

@@ -55,6 +55,9 @@ def run_stages(
     return built
 
 
+SKETCH_LOG = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LOG / 2)  # standard error of sketched distinct counts
+
 CATALOG_SCHEMA = (
     "table_name string, column_name string, data_type string, ordinal int, "
     "nullable boolean, is_primary_key boolean"
@@ -76,7 +79,7 @@ def catalog_columns(
     return rows(spark, data, CATALOG_SCHEMA)
 
 
-def _value_key(field: T.StructField) -> Column:
+def value_key(field: T.StructField) -> Column:
     """The value itself where it is short, else a text that is equal where values are.
 
     Long texts are replaced by a marked digest, which no short text can equal.
@@ -92,12 +95,12 @@ def _value_key(field: T.StructField) -> Column:
     return F.when(F.length(text) <= 32, text).when(col.isNotNull(), digest)
 
 
-def _distinct_counts(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+def distinct_counts(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     """(column_name, distinct_count): each column read, combined and shuffled by itself."""
     return reduce(
         DataFrame.unionByName,
         [
-            df.select(_value_key(f).alias("v"))
+            df.select(value_key(f).alias("v"))
             .filter(F.col("v").isNotNull())
             .distinct()
             .agg(F.count(F.lit(1)).alias("distinct_count"))
@@ -135,7 +138,7 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for name, df in tables.items():
         fields = df.schema.fields
-        counts = _null_counts(df, fields).join(_distinct_counts(df, fields), "column_name")
+        counts = _null_counts(df, fields).join(distinct_counts(df, fields), "column_name")
         parts.append(counts.select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -143,30 +146,42 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 def unique_columns(tables: Mapping[str, DataFrame]) -> dict[str, set[str]]:
     """Columns without NULL whose values never repeat, by table.
 
-    A column with a NULL, or of whole numbers from a range smaller than the number of
-    rows, is ruled out by one plain aggregate; only the values of the others are counted.
-    One row per table and per such column reaches the driver.
+    One plain aggregate over a table rules out columns with a NULL, of whole numbers from a
+    range smaller than the number of rows, or with far fewer values than rows by a sketch;
+    only the values of the others are counted. The aggregates of all tables run as one
+    job, and so do the counts. One row per table and per such column reaches the driver.
     """
-    found = {}
+    summaries = []
     for name, df in tables.items():
-        fields = df.schema.fields
-        whole = [f for f in fields if isinstance(f.dataType, T.IntegralType)]
-        row = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count(F.col(f"`{f.name}`")).alias(f"n_{i}") for i, f in enumerate(fields)],
-            *[
-                (F.max(f"`{f.name}`").cast("decimal(38,0)") - F.min(f"`{f.name}`")).alias(f"r_{f.name}")
-                for f in whole
-            ],
-        ).first()
-        rows = row["rows"]
-        possible = [
-            f
-            for i, f in enumerate(fields)
-            if rows and row[f"n_{i}"] == rows and (f not in whole or row[f"r_{f.name}"] + 1 >= rows)
-        ]
-        counted = _distinct_counts(df, possible).take(len(possible)) if possible else []
-        found[name] = {r["column_name"] for r in counted if r["distinct_count"] == rows}
+        cells = []
+        for f in df.schema.fields:
+            whole = isinstance(f.dataType, T.IntegralType)
+            spread = F.max(f"`{f.name}`").cast("decimal(38,0)") - F.min(f"`{f.name}`") + 1
+            cells.append(
+                F.struct(
+                    F.lit(f.name).alias("name"), F.count(F.col(f"`{f.name}`")).alias("filled"),
+                    (spread.cast("double") if whole else F.lit(None).cast("double")).alias("spread"),
+                    F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(value_key(f)), SKETCH_LOG)).alias("about"),
+                )
+            )
+        summaries.append(df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.array(*cells).alias("cells")))
+    summed = reduce(DataFrame.unionByName, summaries).select("table_name", "rows", F.explode("cells").alias("c"))
+    possible = summed.where(
+        (F.col("rows") > 0) & (F.col("c.filled") == F.col("rows"))
+        & (F.col("c.spread").isNull() | (F.col("c.spread") >= F.col("rows")))
+        # four standard errors below the number of rows
+        & (F.col("c.about") * (1 + 4 * SKETCH_ERROR) >= F.col("rows"))
+    )
+    sizes, parts = {}, []
+    for row in possible.select("table_name", "rows", "c.name").collect():
+        sizes[row["table_name"]] = row["rows"]
+        df = tables[row["table_name"]]
+        counted = distinct_counts(df, [f for f in df.schema.fields if f.name == row["name"]])
+        parts.append(counted.select(F.lit(row["table_name"]).alias("table_name"), "*"))
+    found: dict[str, set[str]] = {name: set() for name in tables}
+    for r in reduce(DataFrame.unionByName, parts).take(len(parts)) if parts else []:
+        if r["distinct_count"] == sizes[r["table_name"]]:
+            found[r["table_name"]].add(r["column_name"])
     return found
 
 
