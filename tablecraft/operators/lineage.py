@@ -84,6 +84,77 @@ def hop_edges(
     )
 
 
+def reach(edges: DataFrame, roots: DataFrame, up: bool = True, most: int | None = None) -> DataFrame:
+    """Every node that a root reaches, at any depth, with one shortest path.
+
+    (root, node, depth, path): the path begins with the root and ends with the node; of
+    equally short ones it is the least. The walk takes a hop a round and goes on only from
+    pairs not met before, so cycles end it; ``most`` bounds the hops. Roots do not reach
+    themselves. A NULL end leads nowhere.
+    """
+    near, far = ("target", "source") if up else ("source", "target")
+    links = cut_lineage(
+        edges.select(F.col(near).alias("_near"), F.col(far).alias("_far")).dropna().distinct(), "links"
+    )
+    frontier = cut_lineage(
+        roots.select("root").dropna().distinct().select(
+            "root", F.col("root").alias("node"), F.lit(0).cast("long").alias("depth"), F.array("root").alias("path")
+        ),
+        "reach",
+    )
+    levels = [frontier]
+    while most is None or len(levels) <= most:
+        steps = (
+            frontier.join(links, frontier["node"] == links["_near"])
+            .groupBy("root", F.col("_far").alias("node"))
+            .agg((F.min("depth") + 1).alias("depth"), F.min(F.concat("path", F.array("_far"))).alias("path"))
+        )
+        met = reduce(DataFrame.unionByName, levels).select("root", "node")
+        frontier = cut_lineage(steps.join(met, ["root", "node"], "left_anti"), "reach")
+        if frontier.isEmpty():
+            break
+        levels.append(frontier)
+    return reduce(DataFrame.unionByName, levels).where("depth > 0")
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """All pairs (source, target) with a path between them, its length and one shortest path.
+
+    A round joins the paths found with themselves, which doubles the lengths covered, so
+    the number of rounds grows with the logarithm of the longest shortest path. For few
+    roots ``reach`` does less. A node is not paired with itself.
+    """
+    paths = edges.select("source", "target").dropna().where("source <> target").distinct().select(
+        "source", "target", F.lit(1).cast("long").alias("length"), F.array("source", "target").alias("path")
+    )
+    paths = cut_lineage(paths, "paths")
+    known = None
+    while (size := paths.agg(F.count(F.lit(1)), F.sum("length")).first()) != known:
+        known = size
+        left = paths.select("source", F.col("target").alias("_mid"), F.col("length").alias("_l"), F.col("path").alias("_p"))
+        right = paths.select(F.col("source").alias("_mid"), "target", "length", "path")
+        longer = left.join(right, "_mid").where("source <> target").select(
+            "source", "target", (F.col("_l") + F.col("length")).alias("length"),
+            F.concat("_p", F.slice("path", 2, F.size("path"))).alias("path"),
+        )
+        best = F.min(F.struct("length", "path")).alias("b")
+        paths = cut_lineage(
+            paths.unionByName(longer).groupBy("source", "target").agg(best).select("source", "target", "b.length", "b.path"),
+            "paths",
+        )
+    return paths
+
+
+def cycles(pairs: DataFrame) -> DataFrame:
+    """(node, component): nodes of a closure that reach each other, under the least of them."""
+    back = pairs.select(F.col("target").alias("source"), F.col("source").alias("target"))
+    return (
+        pairs.join(back, ["source", "target"])
+        .groupBy(F.col("source").alias("node"))
+        .agg(F.least(F.col("node"), F.min("target")).alias("component"))
+    )
+
+
 def nearest(walk: DataFrame) -> DataFrame:
     """(root, node) with the smallest depth."""
     return walk.groupBy("root", "node").agg(F.min("depth").alias("depth"))

@@ -631,6 +631,93 @@ def lineage_nearest(spark, d):
     return ln.nearest(ln.upstream(feeds(spark, d), roots, 2))
 
 
+@query(
+    "lineage_paths",
+    f"""WITH RECURSIVE {FEEDS_SQL}, walk AS (
+          SELECT 'p' || p_partkey AS root, 'p' || p_partkey AS node, ['p' || p_partkey] AS path FROM part
+          UNION ALL
+          SELECT root, feeds.source, list_append(path, feeds.source) FROM walk
+          JOIN feeds ON feeds.target = walk.node)
+        SELECT root, node, CAST(min(len(path)) - 1 AS BIGINT) AS depth,
+               array_to_string(arg_min(path, {{'n': len(path), 'p': path}}), '>') AS path
+        FROM walk WHERE len(path) > 1 GROUP BY 1, 2""",
+)
+def lineage_paths(spark, d):
+    """All sources of every part with a shortest path, at any depth."""
+    found = ln.reach(feeds(spark, d), _roots(spark, d, "part", "p_partkey", "p"))
+    return found.withColumn("path", F.array_join("path", ">"))
+
+
+@query(
+    "lineage_closure",
+    f"""WITH RECURSIVE {FEEDS_SQL}, walk AS (
+          SELECT DISTINCT source, target, [source, target] AS path FROM feeds
+          UNION ALL
+          SELECT walk.source, feeds.target, list_append(path, feeds.target) FROM walk
+          JOIN (SELECT DISTINCT source, target FROM feeds) feeds ON feeds.source = walk.target)
+        SELECT source, target, CAST(min(len(path)) - 1 AS BIGINT) AS length,
+               array_to_string(arg_min(path, {{'n': len(path), 'p': path}}), '>') AS path
+        FROM walk GROUP BY 1, 2""",
+)
+def lineage_closure(spark, d):
+    """All pairs of nodes with a path, by doubling."""
+    return ln.closure(feeds(spark, d)).withColumn("path", F.array_join("path", ">"))
+
+
+# From a customer's nation to the nations of most of its suppliers: a graph with cycles.
+TRADE_SQL = """counted AS (
+    SELECT c_nationkey AS a, s_nationkey AS b, count(*) AS n FROM lineitem
+    JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+    JOIN supplier ON s_suppkey = l_suppkey WHERE c_nationkey <> s_nationkey GROUP BY 1, 2),
+  trade AS (SELECT a, b FROM counted x WHERE n = (SELECT max(n) FROM counted y WHERE y.a = x.a))"""
+
+
+def trade(spark, d):
+    lines = read_table(spark, d, "lineitem", ["l_orderkey", "l_suppkey"])
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    customers = read_table(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    suppliers = read_table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
+    counted = (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .where("c_nationkey <> s_nationkey")
+        .groupBy(F.col("c_nationkey").alias("source"), F.col("s_nationkey").alias("target"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    most = counted.groupBy("source").agg(F.max("n").alias("n"))
+    return counted.join(most, ["source", "n"]).select("source", "target")
+
+
+@query(
+    "lineage_cyclic",
+    f"""WITH RECURSIVE {TRADE_SQL}, walk AS (
+          SELECT DISTINCT a AS root, a AS node, 0 AS depth FROM trade
+          UNION
+          SELECT root, b, depth + 1 FROM walk JOIN trade ON a = node WHERE depth < 25)
+        SELECT root, node, CAST(min(depth) AS BIGINT) AS depth FROM walk
+        WHERE root <> node GROUP BY 1, 2""",
+)
+def lineage_cyclic(spark, d):
+    """What every nation reaches in a graph that has cycles."""
+    edges = trade(spark, d)
+    roots = edges.select(F.col("source").alias("root"))
+    return ln.reach(edges, roots, up=False).select("root", "node", "depth")
+
+
+@query(
+    "lineage_cycles",
+    f"""WITH RECURSIVE {TRADE_SQL}, walk AS (
+          SELECT DISTINCT a, b, 1 AS depth FROM trade
+          UNION SELECT walk.a, trade.b, depth + 1 FROM walk JOIN trade ON trade.a = walk.b WHERE depth < 25),
+        pairs AS (SELECT DISTINCT a, b FROM walk WHERE a <> b)
+        SELECT x.a AS node, least(x.a, min(x.b)) AS component FROM pairs x
+        JOIN pairs y ON x.a = y.b AND x.b = y.a GROUP BY x.a""",
+)
+def lineage_cycles(spark, d):
+    return ln.cycles(ln.closure(trade(spark, d)))
+
+
 @query(
     "lineage_neighbours",
     f"""WITH {FEEDS_SQL}
