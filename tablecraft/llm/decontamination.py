@@ -31,7 +31,7 @@ from tablecraft.llm.common import pieces
 
 WINDOW = 10
 # Words of one shard, and characters of benchmark text searched in one pass.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 300_000
 PASS_CHARS = 16_000_000
 SAMPLE = 8
 
@@ -263,40 +263,69 @@ def benchmark_chunks(benchmark: DataFrame, width: int = WINDOW) -> list[DataFram
     return [items.where(key == p) for p in range(parts)]
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Every row of ``docs`` with n_words, spans (array of [start, end) words) and items."""
+FOUND = {"n": "long", "spans": "array<struct<start:int,end:int>>", "items": "array<string>"}
+
+
+def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cut: bool = False) -> DataFrame:
+    """Every row of ``docs`` with n_words, spans (array of [start, end) words) and items.
+
+    With ``cut`` the rows of ``docs`` come back without the spans in their text. A part
+    of the benchmark is one pass in one Python process; columns may have any names.
+    """
     spark = docs.sparkSession
-    out = docs
-    schema = "_llm_n long, _llm_spans array<struct<start:int,end:int>>, _llm_items array<string>"
-    for number, part in enumerate(benchmark_chunks(benchmark, width)):
+    names = docs.columns
+    text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    out = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields)
+    found = ", ".join(f"_llm_{name} {kind}" for name, kind in FOUND.items())
+    parts = benchmark_chunks(benchmark, width)
+    for number, part in enumerate(parts):
         shared = spark.sparkContext.broadcast(
             windows_of([tuple(r) for r in part.sort("item_id").toLocalIterator()], width)
         )
-        columns = out.columns
+        cutting = cut and number == len(parts) - 1
 
-        def run(batches, shared=shared, columns=columns, first=number == 0):
+        def run(batches, shared=shared, first=number == 0, cutting=cutting):
             for batch in batches:
-                for piece in pieces(batch, 4096):
-                    rows = list(scan(piece.column("text").to_pylist(), [shared.value]))
+                for piece in pieces(batch, 1024):
+                    texts = piece.column(text).to_pylist()
+                    rows = list(scan(texts, [shared.value]))
                     spans = [[{"start": a, "end": b} for a, b in r[1]] for r in rows]
                     items = [sorted(r[2]) for r in rows]
                     if not first:
                         spans = [a + b for a, b in zip(piece.column("_llm_spans").to_pylist(), spans)]
                         items = [sorted({*a, *b}) for a, b in zip(piece.column("_llm_items").to_pylist(), items)]
-                    kept = [c for c in columns if c not in ("_llm_n", "_llm_spans", "_llm_items")]
-                    yield pa.RecordBatch.from_arrays(
-                        [piece.column(c) for c in kept]
-                        + [
+                    kept = list(piece.columns[: len(names)])
+                    if cutting:
+                        yield pa.RecordBatch.from_arrays(
+                            without(kept, texts, spans, text, chars), names=piece.schema.names[: len(names)]
+                        )
+                    else:
+                        found = [
                             pa.array([r[0] for r in rows], pa.int64()),
                             pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                             pa.array(items, pa.list_(pa.string())),
-                        ],
-                        names=[*kept, "_llm_n", "_llm_spans", "_llm_items"],
-                    )
-
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        out = out.mapInArrow(run, f"{fields}, {schema}")
-    return out
+                        ]
+                        yield pa.RecordBatch.from_arrays(
+                            [*kept, *found], names=[*piece.schema.names[: len(names)], *(f"_llm_{n}" for n in FOUND)]
+                        )
+
+        out = out.mapInArrow(run, fields if cutting else f"{fields}, {found}")
+    return out.toDF(*names, *([] if cut else [f"_llm_{n}" for n in FOUND]))
+
+
+def without(
+    columns: list[pa.Array], texts: list[str | None], spans: list[list[dict]], text: int, chars: int | None
+) -> list[pa.Array]:
+    """``columns`` with the spans cut out of the text; n_chars follows where there are any."""
+    new = [cut_words(t, [(s["start"], s["end"]) for s in sp]) if sp else t for t, sp in zip(texts, spans)]
+    columns[text] = pa.array(new, pa.string())
+    if chars is not None:
+        sizes = columns[chars].to_pylist()
+        columns[chars] = pa.array(
+            [len(t) if sp else n for t, sp, n in zip(new, spans, sizes)], columns[chars].type
+        )
+    return columns
 
 
 def digest(items: list[str]) -> str:
@@ -333,30 +362,7 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     The cut reaches from the first character of a hit run to its last. Documents
     without a hit keep their text as it is, empty and null texts too.
     """
-    found = find_passages(docs, benchmark)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    columns = docs.columns
-
-    def run(batches):
-        for batch in batches:
-            for piece in pieces(batch):
-                texts = piece.column("text").to_pylist()
-                spans = piece.column("_llm_spans").to_pylist()
-                cut = [
-                    cut_words(t, [(s["start"], s["end"]) for s in sp]) if sp else t
-                    for t, sp in zip(texts, spans)
-                ]
-                arrays = dict(zip(columns, (piece.column(c) for c in columns)))
-                arrays["text"] = pa.array(cut, pa.string())
-                if "n_chars" in arrays:
-                    kept = arrays["n_chars"].to_pylist()
-                    arrays["n_chars"] = pa.array(
-                        [len(c) if sp else k for c, sp, k in zip(cut, spans, kept)],
-                        arrays["n_chars"].type,
-                    )
-                yield pa.RecordBatch.from_arrays(list(arrays.values()), names=columns)
-
-    return found.mapInArrow(run, fields)
+    return find_passages(docs, benchmark, cut=True)
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:

@@ -38,8 +38,8 @@ from tablecraft.llm.common import map_texts, pieces
 
 MARK = "\u2581"
 # Entries of the per-task tables; a full one is emptied, which changes no result.
-UNITS = 250_000
-PAIRS = 250_000
+UNITS = 150_000
+PAIRS = 150_000
 
 
 class Encoder:
