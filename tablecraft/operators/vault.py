@@ -85,9 +85,14 @@ def load_satellite(
     if order:
         hashed = dedup_latest(hashed, ["_hk"], list(order), ["_diff"]).drop("rn")
     else:
-        hashed = hashed.dropDuplicates(["_hk", "_diff"])
-        if not hashed.groupBy("_hk").count().filter("count > 1").isEmpty():
-            raise ValueError("several states of one key need an order")
+        # checked where the rows are read, so the source is not run a second time for it
+        whole = F.struct(F.col("_diff"), *[F.col(a).alias(f"a{i}") for i, a in enumerate(attrs)])
+        hashed = hashed.groupBy("_hk").agg(F.min(whole).alias("_s"), F.max("_diff").alias("_other"))
+        several = F.raise_error(F.lit("several states of one key need an order")).cast("string")
+        hashed = hashed.select(
+            "_hk", F.when(F.col("_s._diff") == F.col("_other"), F.col("_s._diff")).otherwise(several).alias("_diff"),
+            *[F.col(f"_s.a{i}").alias(a) for i, a in enumerate(attrs)],
+        )
     rows = hashed.select(
         F.col("_hk").alias(hash_key),
         ts(as_of).alias("load_date"),

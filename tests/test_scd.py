@@ -236,6 +236,14 @@ def test_satellite_ignores_unchanged_rows(dim, second, spark):
     assert changed.count() == 4
 
 
+def test_satellite_of_several_states_without_an_order_fails_when_it_is_read(spark):
+    src = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (2, None)], "k int, v string")
+    sat = vault.load_satellite(src, ["k"], ["v"], "hk", D1, "x")
+    with pytest.raises(Exception, match="several states"):
+        sat.collect()
+    assert vault.load_satellite(src.where("k = 2"), ["k"], ["v"], "hk", D1, "x").count() == 1
+
+
 def test_link_needs_two_hubs_and_hub_inserts_new_keys_only(spark):
     src = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b")], "k int, v string")
     hub = vault.load_hub(src, ["k"], "hk", D1, "x")
