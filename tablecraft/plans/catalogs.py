@@ -310,10 +310,40 @@ def catalog_temporal(spark, d):
         FROM t JOIN r ON t.table_name = r.table_name GROUP BY ALL""",
 )
 def catalog_scd_type(spark, d):
-    found = rules.classify_scd(built_catalog(spark, d)).drop("recommendations")
+    found = rules.classify_scd(built_catalog(spark, d)).drop("findings")
     return _joined(found, "natural_keys", "tracking_columns")
 
 
+def missing_sql(kind: str, source: str, has: dict[str, str]) -> str:
+    """What the constructs of ``source`` need by the rule table and lack."""
+    return " UNION ALL ".join(
+        f"SELECT table_name, '{level}' AS level, 'missing' AS code, '{part}' AS subject FROM {source} "
+        f"WHERE {kind} = '{construct}' AND NOT ({has[part]})"
+        for construct, parts in rules.NEEDS.items()
+        for part, level in parts.items()
+        if part in has
+    )
+
+
+@query(
+    "catalog_scd_findings",
+    f"""WITH {CATALOG_SQL}, r AS (SELECT *, {ROLE_SQL} AS role FROM cat),
+        t AS (
+          SELECT table_name, count(*) FILTER (role = 'valid_from') AS f,
+                 count(*) FILTER (role = 'valid_to') AS t, count(*) FILTER (role = 'is_current') AS c,
+                 count(*) FILTER (role = 'system_date') AS s,
+                 count(*) FILTER (is_primary_key OR role = 'surrogate_key'
+                   OR regexp_matches(lower(column_name), '(_sk|^sk)$')) AS k
+          FROM r GROUP BY 1),
+        kinds AS (SELECT *, CASE WHEN f + c > 0 THEN 'TYPE_2' ELSE 'TYPE_1' END AS kind FROM t)
+        {missing_sql('kind', 'kinds', {'row_key': 'k > 0', 'valid_from': 'f > 0', 'valid_to': 't > 0',
+                                       'is_current': 'c > 0', 'system_date': 's > 0'})}""",
+)
+def catalog_scd_findings(spark, d):
+    """What the tables lack to keep a history."""
+    return rules.findings(rules.classify_scd(built_catalog(spark, d)))
+
+
 @query(
     "catalog_scd_columns",
     f"""WITH {CATALOG_SQL}
@@ -383,10 +413,17 @@ VAULT_SQL = f"""
         FROM constructs""",
 )
 def catalog_vault(spark, d):
-    found = rules.classify_vault(built_catalog(spark, d)).drop("issues", "recommendations")
+    found = rules.classify_vault(built_catalog(spark, d)).drop("findings", "suggested_name")
     return _joined(found, "business_keys", "linked_hubs")
 
 
+VAULT_HAS = {
+    "hash_key": "hash_key IS NOT NULL", "business_key": "business_keys <> ''", "load_date": "ld IS NOT NULL",
+    "record_source": "rs IS NOT NULL", "hash_diff": "hd IS NOT NULL", "second_hub": "nh >= 2",
+    "attribute": "EXISTS (SELECT 1 FROM vr WHERE vr.table_name = constructs.table_name AND role = 'attribute')",
+}
+
+
 @query(
     "catalog_vault_findings",
     f"""WITH {VAULT_SQL}, hubs AS (SELECT lower(table_name) AS h FROM constructs
@@ -395,12 +432,12 @@ def catalog_vault(spark, d):
                  WHERE construct_type = 'link' AND linked_hubs <> ''),
         sats AS (SELECT table_name, substring(hash_key, 4) AS p FROM constructs
                  WHERE construct_type = 'satellite')
-        SELECT 'issue' AS level, table_name, 'link ' || table_name || ' names hub ' || r
-                 || ', which does not exist' AS message FROM refs
+        SELECT table_name, 'issue' AS level, 'unknown' AS code, r AS subject FROM refs
         WHERE NOT EXISTS (SELECT 1 FROM hubs WHERE contains(h, r))
         UNION ALL
-        SELECT 'warning', h, 'hub ' || h || ' is described by no satellite' FROM hubs
-        WHERE NOT EXISTS (SELECT 1 FROM sats WHERE contains(h, p))""",
+        SELECT h, 'warning', 'missing', 'satellite' FROM hubs
+        WHERE NOT EXISTS (SELECT 1 FROM sats WHERE contains(h, p))
+        UNION ALL {missing_sql('construct_type', 'constructs', VAULT_HAS)}""",
 )
 def catalog_vault_findings(spark, d):
     return rules.validate_vault(rules.classify_vault(built_catalog(spark, d)))
@@ -473,7 +510,7 @@ STAR_SQL = f"""
         FROM stars""",
 )
 def catalog_dimensional(spark, d):
-    found = rules.classify_dimensional(built_catalog(spark, d)).drop("issues", "recommendations")
+    found = rules.classify_dimensional(built_catalog(spark, d)).drop("findings")
     return _joined(found, "dimension_keys", "measures", "attributes")
 
 
@@ -483,17 +520,12 @@ def catalog_dimensional(spark, d):
         facts AS (SELECT * FROM stars WHERE construct_type = 'fact'),
         k AS (SELECT table_name, unnest(string_split(dimension_keys, ',')) AS key FROM facts
               WHERE dimension_keys <> '')
-        SELECT 'issue' AS level, table_name, 'fact without keys of dimensions' AS message
-        FROM facts WHERE n_fk = 0
-        UNION ALL SELECT 'issue', table_name, 'fact without measures' FROM facts WHERE n_m = 0
-        UNION ALL SELECT 'warning', table_name,
-          'no dimension belongs to key ' || key FROM k WHERE NOT EXISTS (
-            SELECT 1 FROM dims WHERE contains(dims.table_name,
+        SELECT table_name, 'warning' AS level, 'unknown' AS code, key AS subject FROM k
+        WHERE NOT EXISTS (SELECT 1 FROM dims WHERE contains(dims.table_name,
               replace(replace(key, '_sk', ''), '_key', '')))
-        UNION ALL SELECT 'warning', table_name, 'dimension ' || table_name
-          || ' without a surrogate key' FROM dims WHERE surrogate_key IS NULL
-        UNION ALL SELECT 'warning', table_name, 'dimension ' || table_name
-          || ' describes little' FROM dims WHERE n_a < 2""",
+        UNION ALL {missing_sql('construct_type', 'stars', {
+            'dimension_key': 'n_fk > 0', 'measure': 'n_m > 0', 'surrogate_key': 'surrogate_key IS NOT NULL',
+            'second_attribute': 'n_a > 1'})}""",
 )
 def catalog_star_findings(spark, d):
     return rules.validate_star(rules.classify_dimensional(built_catalog(spark, d)))

@@ -46,7 +46,7 @@ def test_scd_types(spark):
     assert one.tracking_columns == ["customer_id", "customer_name", "email", "region"]
     assert (two.scd_type, two.confidence, two.is_bi_temporal) == ("TYPE_2", 0.95, True)
     assert (three.scd_type, three.confidence) == ("TYPE_1", 0.8)
-    assert three.natural_keys == ["product_id"] and len(three.recommendations) == 2
+    assert three.natural_keys == ["product_id"] and {f.subject for f in three.findings} == {"valid_from", "is_current"}
     assert parity["dim_account"].scd_type == "TYPE_1"
     assert fixed["dim_account"].scd_type == "TYPE_2"
     tags = {r.column_name: (r.role, r.confidence) for r in rules.tag_temporal(cat).collect()
@@ -96,14 +96,14 @@ def test_vault_constructs(vault):
 
 
 def test_vault_findings(vault):
-    fixed = {(r.level, r.message)
+    fixed = {(r.level, r.table_name, r.code, r.subject)
              for r in rules.validate_vault(rules.classify_vault(vault)).collect()}
     assert fixed == {
-        ("issue", "link link_customer_order names hub order, which does not exist")
+        ("issue", "link_customer_order", "unknown", "order")
     }
-    parity = {r.message for r in
+    parity = {(r.table_name, r.subject) for r in
               rules.validate_vault(rules.classify_vault(vault, True), parity=True).collect()}
-    assert "hub hub_customer is described by no satellite" in parity
+    assert ("hub_customer", "satellite") in parity
 
 
 def test_vault_by_columns(spark):
@@ -111,12 +111,12 @@ def test_vault_by_columns(spark):
         spark, customer=cols(["customer_hk", "customer_code"]), pairs=cols(["hk_a", "hk_b", "hk_c"]),
         detail=cols(["hdiff", "ldts", "x"]), other=cols(["x", "y"]),
     )
-    got = {r.table_name: (r.construct_type, r.confidence, r.recommendations)
+    got = {r.table_name: (r.construct_type, r.confidence, r.suggested_name)
            for r in rules.classify_vault(cat).collect()}
-    assert got["customer"] == ("hub", 0.5, ["a clearer name is hub_customer"])
+    assert got["customer"] == ("hub", 0.5, "hub_customer")
     assert got["pairs"][:2] == ("link", 0.5)
-    assert got["detail"] == ("satellite", 0.5, ["a clearer name is sat_detail"])
-    assert got["other"] == ("unknown", 0.0, [])
+    assert got["detail"] == ("satellite", 0.5, "sat_detail")
+    assert got["other"] == ("unknown", 0.0, None)
 
 
 def test_vault_proposal(spark, vault):
@@ -154,11 +154,11 @@ def test_star_constructs(star):
     assert (fact.grain, fact.confidence) == ("customer x product x date", 1.0)
     assert (dim.construct_type, dim.surrogate_key, dim.confidence) == ("dimension", "customer_sk", 1.0)
     assert len(dim.attributes) == 6
-    findings = {r.message for r in
+    findings = {(r.code, r.subject) for r in
                 rules.validate_star(rules.classify_dimensional(star)).collect()}
     assert findings == {
-        "no dimension belongs to key product_sk",
-        "no dimension belongs to key date_sk",
+        ("unknown", "product_sk"),
+        ("unknown", "date_sk"),
     }
 
 
