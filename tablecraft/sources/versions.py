@@ -12,7 +12,8 @@ fails if the version exists, so of two writers one gets ``VersionConflict``; a w
 is lost before it leaves files that no manifest names, which ``vacuum`` deletes. The file
 system must rename folders atomically, as HDFS and shared POSIX folders do.
 
-Only file names reach the driver, as they do for any table that Spark reads.
+Keys are unique and never NULL. Only file names reach the driver, as they do for any table
+that Spark reads.
 """
 
 from __future__ import annotations
