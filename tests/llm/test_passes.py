@@ -247,12 +247,40 @@ def named(text):
         ('title = "q8ZtR4mN0pLx"', []),
         ("passphrase = ", []),
         ('bearer = "not closed', []),
+        ('private_key = """\nMIIEpA9x+\nQkB7=\n"""\nx = 1', ["\nMIIEpA9x+\nQkB7=\n"]),
+        ("credentials: |\n  user9 Xx81!kk\n\n  more\nother: 1", ["user9 Xx81!kk\n\n  more"]),
+        ('x = 1\nclient_credential = f"{x}Zk81-92jdQ"', ["{x}Zk81-92jdQ"]),
+        ('k = "Zk81-92jdQ"\nclient_credential = f"{k}"', ["Zk81-92jdQ"]),
+        ("define('DB_PWD','Zk81-92jdQ')", ["Zk81-92jdQ"]),
+        ("<pwd>Zk81-92jdQ</pwd>", ["Zk81-92jdQ"]),
+        ('k = "Zk81-92jdQ"\nauth_token(k)', ["Zk81-92jdQ"]),
+        ('a = "Zk81-92jdQ"\nb = "Pp81-92jdQ"\nbearer = a + b', ["Zk81-92jdQ", "Pp81-92jdQ"]),
+        ('client_credential = os.getenv("FOO_BAR1")', []),
+        ('get_auth("Zk81-92jdQ")', []),
+        ('db_pwd: str = "Zk81-92jdQ"', ["Zk81-92jdQ"]),
+        ("pwd" + " " * 500 + '= "Zk81-92jdQ"', ["Zk81-92jdQ"]),
+        ("x" * 500 + '_pwd = "Zk81-92jdQ"', ["Zk81-92jdQ"]),
+        ("url=x?pwd=Zk81-92jdQ", ["Zk81-92jdQ"]),
     ],
 )
 def test_named_literals(text, found):
     assert named(text) == found
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "".join(f'pwd{i} = "Zk81-92jdQ{i}"\n' for i in range(20_000)), "pwd=" + "pwd:" * 50_000,
+        "pwd " + "a" * 200_000, "pwd=" + "(" * 200_000, "pwd" + " " * 200_000 + "= 1", 'pwd="""' * 20_000,
+        "pwd <" + "<a>" * 60_000, 'pwd="' + '\\"' * 100_000, "pwd = k" + " + k" * 50_000,
+    ],
+)
+def test_secrets_of_long_texts_take_time_in_proportion(text):
+    begun = time.process_time()
+    secrets.spans_of(text)
+    assert time.process_time() - begun < 5
+
+
 def test_redaction_keeps_the_rest():
     assert secrets.redacted("a token=\"7602ad27cf5550de1c7602ad\" b") == 'a token="[secret]" b'
     assert secrets.redacted(None) is None and secrets.redacted("plain: text") == "plain: text"
