@@ -9,6 +9,8 @@ from tablecraft.operators import compare as cmp
 from tablecraft.operators.projections import exclude_values
 from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
+from tablecraft.session import work_path
+from tablecraft.sources import digests
 from tablecraft.sources.tables import read_table, run_stages
 
 THRESHOLDS_A = [(1_750_000, "Premium"), (1_300_000, "High Value"), (600_000, "Standard")]
@@ -281,3 +283,19 @@ def stage_inventory(spark, d):
         for kind in ("purchase", "error")
     ]
     return cmp.stage_inventory(*names)
+
+
+@query(
+    "compare_stored",
+    f"WITH {FLOW_SQL} SELECT * EXCLUDE (cte_name) FROM "
+    f"({_verdict_sql(_compare_sql('final', 'final_a', 'final_b'))})",
+)
+def compare_stored(spark, d):
+    """Both ends of the flow stored with checksum trees; only differing ranges are read."""
+    a, b = _finals(spark, d)
+    ddl = ", ".join(f"`{c}` {kind}" for c, kind in a.dtypes)
+    folders = []
+    for df in (a, b):
+        folders.append(work_path(spark, "digested"))
+        digests.store_digested(df, folders[-1], [a.columns[0]])
+    return digests.compare_stored(spark, *folders, ddl)
