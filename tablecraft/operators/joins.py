@@ -140,7 +140,8 @@ def interval_join(
     touches; a point lies in one block of each level in use. So the join is one of equal
     keys, levels and blocks, which also spreads a key that owns most rows, and what it finds
     beside the hits is in proportion to them. Columns of the intervals that the points have
-    too keep the values of the points.
+    too keep the values of the points. Neither side is broadcast: the planner sees the size
+    before the rows are multiplied by levels and blocks.
     """
     keys = list(keys)
     leveled = _leveled(intervals, keys, lo, hi)
@@ -160,7 +161,7 @@ def interval_join(
     for i, k in enumerate(keys):
         same = same & (placed[k] == side[f"_k{i}"])
     return (
-        placed.join(side, same)
+        placed.hint("merge").join(side, same)
         .where("_lo <= _at AND _at < _hi")
         .select(*points.columns, *[F.col(f"_i_{c}").alias(c) for c in extra])
     )
@@ -173,6 +174,7 @@ def overlap_join(
 
     Of a pair the shorter level is looked up at the longer one, where both touch two
     blocks at most; a pair is taken in the block where the later of the two begins, so once.
+    Neither side is broadcast, as in ``interval_join``.
     """
     keys = list(keys)
     a, b = _leveled(left, keys, lo, hi), _leveled(right, keys, lo, hi)
@@ -197,7 +199,7 @@ def overlap_join(
             same = same & (x[f"a_{k}"] == y[f"b_{k}"])
         later = F.greatest("a__lo", "b__lo")
         return (
-            x.join(y, same)
+            x.hint("merge").join(y, same)
             .where((later < F.least("a__hi", "b__hi")) & (F.expr("shiftright(greatest(a__lo, b__lo), a__on)") == F.col("a__block")))
             .select(
                 *[F.col(f"a_{c}").alias(c) for c in left.columns],

@@ -66,3 +66,12 @@ def test_columns_of_the_points_win(spark):
     assert [r.asDict() for r in rows] == [{"k": 1, "t": 5, "name": "p", "lo": 0, "hi": 9, "extra": 4}]
     with pytest.raises(ValueError):
         interval_join(points.selectExpr("k", "name AS t"), spans, ["k"], "t", "lo", "hi")
+
+
+def test_rows_at_all_levels_are_not_broadcast(spark):
+    points = spark.range(3).selectExpr("1 AS k", "id AS t")
+    spans = spark.range(3).selectExpr("1 AS k", "id AS lo", "id + id * id + 1 AS hi")
+    joined = [interval_join(points, spans, ["k"], "t", "lo", "hi"), overlap_join(spans, spans, ["k"], "lo", "hi")]
+    assert [df.count() for df in joined] == [4, 5]
+    for df in joined:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
