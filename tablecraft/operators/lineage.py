@@ -84,6 +84,10 @@ def hop_edges(
     )
 
 
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def reach(edges: DataFrame, roots: DataFrame, up: bool = True, most: int | None = None) -> DataFrame:
     """Every node that a root reaches, at any depth, with one shortest path.
 
@@ -120,29 +124,34 @@ def reach(edges: DataFrame, roots: DataFrame, up: bool = True, most: int | None
 def closure(edges: DataFrame) -> DataFrame:
     """All pairs (source, target) with a path between them, its length and one shortest path.
 
-    A round joins the paths found with themselves, which doubles the lengths covered, so
-    the number of rounds grows with the logarithm of the longest shortest path. For few
-    roots ``reach`` does less. A node is not paired with itself.
+    A round doubles the lengths covered, so the number of rounds grows with the logarithm
+    of the longest shortest path. It appends to the paths found (heads) those of exactly
+    the length covered so far (tails), since every longer shortest path ends with one; only
+    heads that end where a tail begins are joined, and only pairs from the sources of such
+    heads can have been met before. For few roots ``reach`` does less. A node is not paired
+    with itself.
     """
-    paths = edges.select("source", "target").dropna().where("source <> target").distinct().select(
-        "source", "target", F.lit(1).cast("long").alias("length"), F.array("source", "target").alias("path")
-    )
-    paths = cut_lineage(paths, "paths")
-    known = None
-    while (size := paths.agg(F.count(F.lit(1)), F.sum("length")).first()) != known:
-        known = size
-        left = paths.select("source", F.col("target").alias("_mid"), F.col("length").alias("_l"), F.col("path").alias("_p"))
-        right = paths.select(F.col("source").alias("_mid"), "target", "length", "path")
-        longer = left.join(right, "_mid").where("source <> target").select(
-            "source", "target", (F.col("_l") + F.col("length")).alias("length"),
-            F.concat("_p", F.slice("path", 2, F.size("path"))).alias("path"),
-        )
-        best = F.min(F.struct("length", "path")).alias("b")
-        paths = cut_lineage(
-            paths.unionByName(longer).groupBy("source", "target").agg(best).select("source", "target", "b.length", "b.path"),
-            "paths",
+    links = edges.select("source", "target").dropna().where("source <> target").distinct()
+    found, half = [
+        cut_lineage(links, "paths").withColumns({"length": F.lit(1).cast("long"), "path": F.array("source", "target")})
+    ], 1
+    while True:
+        tails = found[-1].where(F.col("length") == half)
+        begin = cut_lineage(tails.select(F.col("source").alias("target")).distinct(), "begin")
+        heads = cut_lineage(_union(found).join(begin, "target", "left_semi"), "heads")
+        if heads.isEmpty():
+            return _union(found)
+        left = heads.select("source", F.col("target").alias("_mid"), F.col("length").alias("_l"), F.col("path").alias("_p"))
+        right = tails.select(F.col("source").alias("_mid"), "target", F.slice("path", 2, half).alias("_rest"))
+        # of the paths of a pair no two have the same head, so the heads alone give their order
+        best = F.min(F.struct("_l", "_p", "_rest")).alias("b")
+        longer = left.join(right, "_mid").where("source <> target").groupBy("source", "target").agg(best)
+        met = _union(found).join(heads.select("source").distinct(), "source", "left_semi")
+        fresh = longer.join(met, ["source", "target"], "left_anti").select(
+            "source", "target", (F.col("b._l") + half).alias("length"), F.concat("b._p", "b._rest").alias("path")
         )
-    return paths
+        found.append(cut_lineage(fresh, "paths"))
+        half *= 2
 
 
 def cycles(pairs: DataFrame) -> DataFrame:

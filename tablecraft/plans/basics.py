@@ -444,9 +444,11 @@ def _key(prefix: str, col: str):
     return F.concat(F.lit(prefix), F.col(col).cast("string"))
 
 
-def key_edges(spark, d):
+def key_edges(spark, d, distinct=True):
     """Key graph: part to supplier (from line items), supplier to nation, nation to region."""
-    lines = read_table(spark, d, "lineitem", ["l_partkey", "l_suppkey"]).distinct()
+    lines = read_table(spark, d, "lineitem", ["l_partkey", "l_suppkey"])
+    if distinct:
+        lines = lines.distinct()
     suppliers = read_table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
     nations = read_table(spark, d, "nation", ["n_nationkey", "n_regionkey"])
     return (

@@ -590,8 +590,8 @@ FEEDS_SQL = f"""
             UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer)"""
 
 
-def feeds(spark, d):
-    edges = key_edges(spark, d).select(F.col("target").alias("source"), F.col("source").alias("target"))
+def feeds(spark, d, distinct=True):
+    edges = key_edges(spark, d, distinct).select(F.col("target").alias("source"), F.col("source").alias("target"))
     customers = read_table(spark, d, "customer", ["c_custkey", "c_nationkey"]).select(
         F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("source"),
         F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("target"),
@@ -693,7 +693,7 @@ def lineage_paths(spark, d):
 )
 def lineage_closure(spark, d):
     """All pairs of nodes with a path, by doubling."""
-    return ln.closure(feeds(spark, d)).withColumn("path", F.array_join("path", ">"))
+    return ln.closure(feeds(spark, d, distinct=False)).withColumn("path", F.array_join("path", ">"))
 
 
 # From a customer's nation to the nations of most of its suppliers: a graph with cycles.
