@@ -95,30 +95,37 @@ def reach(edges: DataFrame, roots: DataFrame, up: bool = True, most: int | None
     equally short ones it is the least. The walk takes a hop a round and goes on only from
     pairs not met before, so cycles end it; ``most`` bounds the hops. Roots do not reach
     themselves. A NULL end leads nowhere.
+
+    The first hop is the links of the roots as they are. Later hops begin where a link
+    ends, so they read the links of such nodes only, and compare what they find with those
+    pairs met before whose node lies ahead.
     """
     near, far = ("target", "source") if up else ("source", "target")
     links = cut_lineage(
         edges.select(F.col(near).alias("_near"), F.col(far).alias("_far")).dropna().distinct(), "links"
     )
-    frontier = cut_lineage(
-        roots.select("root").dropna().distinct().select(
-            "root", F.col("root").alias("node"), F.lit(0).cast("long").alias("depth"), F.array("root").alias("path")
-        ),
-        "reach",
-    )
-    levels = [frontier]
-    while most is None or len(levels) <= most:
+    inner = links.join(links.select(F.col("_far").alias("_near")).distinct(), "_near", "left_semi")
+    inner = cut_lineage(inner, "links")
+    starts = roots.select("root").dropna().distinct()
+    first = links.join(starts, F.col("root") == F.col("_near")).where("root <> _far").select("root", F.col("_far").alias("node"))
+    if most is not None and most < 1:
+        first = first.limit(0)
+    levels = [cut_lineage(first, "reach").withColumn("path", F.array("root", "node"))]
+    while most is None or len(levels) < most:
+        here = levels[-1].select(F.col("node").alias("_near")).distinct()
+        ahead = inner.join(here, "_near", "left_semi").select(F.col("_far").alias("node")).distinct()
         steps = (
-            frontier.join(links, frontier["node"] == links["_near"])
-            .groupBy("root", F.col("_far").alias("node"))
-            .agg((F.min("depth") + 1).alias("depth"), F.min(F.concat("path", F.array("_far"))).alias("path"))
+            levels[-1].join(inner, F.col("node") == F.col("_near")).where("root <> _far")
+            .groupBy("root", F.col("_far").alias("node")).agg(F.min("path").alias("path"))
+            .select("root", "node", F.concat("path", F.array("node")).alias("path"))
         )
-        met = reduce(DataFrame.unionByName, levels).select("root", "node")
-        frontier = cut_lineage(steps.join(met, ["root", "node"], "left_anti"), "reach")
-        if frontier.isEmpty():
+        met = _union([x.select("root", "node") for x in levels]).join(ahead, "node", "left_semi")
+        level = cut_lineage(steps.join(met, ["root", "node"], "left_anti"), "reach")
+        if level.isEmpty():
             break
-        levels.append(frontier)
-    return reduce(DataFrame.unionByName, levels).where("depth > 0")
+        levels.append(level)
+    found = [x.withColumn("depth", F.lit(i).cast("long")) for i, x in enumerate(levels, start=1)]
+    return _union(found).select("root", "node", "depth", "path")
 
 
 def closure(edges: DataFrame) -> DataFrame:

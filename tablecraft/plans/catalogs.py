@@ -676,7 +676,7 @@ def lineage_nearest(spark, d):
 )
 def lineage_paths(spark, d):
     """All sources of every part with a shortest path, at any depth."""
-    found = ln.reach(feeds(spark, d), _roots(spark, d, "part", "p_partkey", "p"))
+    found = ln.reach(feeds(spark, d, distinct=False), _roots(spark, d, "part", "p_partkey", "p"))
     return found.withColumn("path", F.array_join("path", ">"))
 
 

@@ -1,9 +1,10 @@
 """Reachability at any depth against a breadth-first search in memory."""
 
 import random
-from collections import deque
+from collections import Counter, deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablecraft.operators import lineage as ln
 
@@ -61,3 +62,20 @@ def test_no_roots_and_no_edges(spark):
     none = spark.createDataFrame([], "source string, target string")
     assert ln.closure(none).count() == 0
     assert ln.reach(none, spark.createDataFrame([("a",)], "root string")).count() == 0
+
+
+def test_pairs_are_stored_and_aggregated_once(spark, monkeypatch):
+    stored, sorts = Counter(), Counter()
+
+    def counted(df, name="cut", cut=ln.cut_lineage):
+        sorts[name] += "SortAggregate" in df._jdf.queryExecution().executedPlan().toString()
+        kept = cut(df, name)
+        stored[name] += kept.count()
+        return kept
+
+    monkeypatch.setattr(ln, "cut_lineage", counted)
+    df = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("c", "e"), ("x", "y")], "source string, target string")
+    assert ln.closure(df).count() == stored["paths"] == 10
+    assert ln.reach(df, spark.createDataFrame([("a",), ("b",)], "root string"), up=False).count() == stored["reach"] == 7
+    # the first hop is the links as they are
+    assert sorts["reach"] == 3
