@@ -17,6 +17,7 @@ from tablecraft.operators import credit, star
 from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
 from tablecraft.plans.scalars import calendar_sql
+from tablecraft.session import cut_lineage
 from tablecraft.sources.tables import read_table, rows
 
 DIM_ATTRS = ["c_name", "c_mktsegment", "last_priority"]
@@ -52,18 +53,30 @@ def build_dim_customer_scd2(spark, d):
 
 
 def fact_sales(spark, d):
-    """Line items with surrogate keys; customers unknown on day 1 get the unknown member."""
-    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    sales = fx.fact_rows(spark, d).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    customers = star.build_dim(fx.snapshot(spark, d, fx.DAY_1), ["c_custkey"], [], sk="customer_sk")
-    parts = star.build_dim(read_table(spark, d, "part", ["p_partkey"]), ["p_partkey"], [], sk="part_sk")
-    suppliers = star.build_dim(
-        read_table(spark, d, "supplier", ["s_suppkey"]), ["s_suppkey"], [], sk="supplier_sk"
+    """Line items with surrogate keys; customers unknown on day 1 get the unknown member.
+
+    The orders, fewer than their lines, take the keys of their customers before they meet
+    the lines. The members are stored, so Spark knows which are small enough to broadcast.
+    """
+    def members(src, key, sk):
+        return cut_lineage(star.build_dim(src, [key], [], sk=sk), "members")
+
+    customers = members(fx.snapshot(spark, d, fx.DAY_1), "c_custkey", "customer_sk")
+    parts = members(read_table(spark, d, "part", ["p_partkey"]), "p_partkey", "part_sk")
+    suppliers = members(read_table(spark, d, "supplier", ["s_suppkey"]), "s_suppkey", "supplier_sk")
+    orders = star.build_fact(
+        read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]),
+        {"customer_sk": (customers, "o_custkey", "c_custkey", "customer_sk")},
+        measures={},
+        degenerate={
+            "o_orderkey": F.col("o_orderkey"),
+            "date_key": F.date_format("o_orderdate", "yyyyMMdd").cast("long"),
+        },
     )
-    return star.build_fact(
+    sales = fx.fact_rows(spark, d).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    fact = star.build_fact(
         sales,
         {
-            "customer_sk": (customers, "o_custkey", "c_custkey", "customer_sk"),
             "part_sk": (parts, "l_partkey", "p_partkey", "part_sk"),
             "supplier_sk": (suppliers, "l_suppkey", "s_suppkey", "supplier_sk"),
         },
@@ -72,8 +85,9 @@ def fact_sales(spark, d):
             "sales_amount": units(F.col("price")),
             "discount_rate": units(F.col("discount")),
         },
-        degenerate={"date_key": F.date_format("o_orderdate", "yyyyMMdd").cast("long")},
+        degenerate={"customer_sk": F.col("customer_sk"), "date_key": F.col("date_key")},
     )
+    return fact.select("customer_sk", "part_sk", "supplier_sk", "date_key", "quantity", "sales_amount", "discount_rate")
 
 
 FACT_SQL = f"""

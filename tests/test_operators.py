@@ -1,6 +1,7 @@
 """Joins, set operations, projections, quality rules and lineage on small rows."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -11,6 +12,7 @@ from tablecraft.operators import aggregates as agg
 from tablecraft.operators import determinism as det
 from tablecraft.operators import joins, lineage, quality, setops
 from tablecraft.operators.projections import apply_mappings, derive_entity, exclude_values
+from tablecraft.plans import QUERIES
 from tablecraft.sources import sinks
 from tablecraft.sources.tables import catalog, read_table
 
@@ -273,3 +275,17 @@ def test_filters_and_columns_reach_the_scan(spark, data):
     plan = QUERIES["filter_date_range"](spark, data)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_lines_meet_the_orders_once_their_customers_are_known(spark, data):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = QUERIES["build_fact_sales"](spark, data)._jdf.queryExecution()
+        text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan, "formatted")
+    finally:
+        spark.conf.set(limit, before)
+    nodes = [n for n in text.split("\n\n") if re.match(r"\(\d+\) Exchange", n.strip())]
+    # lines are dealt by order, part and supplier, not by customer
+    assert sum("l_partkey" in n or "sales_amount" in n for n in nodes) == 3
