@@ -143,13 +143,17 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def unique_columns(tables: Mapping[str, DataFrame]) -> dict[str, set[str]]:
+def unique_columns(tables: Mapping[str, DataFrame], derived: Collection[str] = ()) -> dict[str, set[str]]:
     """Columns without NULL whose values never repeat, by table.
 
     One plain aggregate over a table rules out columns with a NULL, of whole numbers from a
     range smaller than the number of rows, or with far fewer values than rows by a sketch;
     only the values of the others are counted. The aggregates of all tables run as one
     job, and so do the counts. One row per table and per such column reaches the driver.
+
+    Tables named in ``derived`` are not stored: the first pass computes them whole, and most
+    large ones have no possible column left. One that is left is counted from the plan of
+    the table; several are stored, without the other columns, and counted from there.
     """
     summaries = []
     for name, df in tables.items():
@@ -172,14 +176,17 @@ def unique_columns(tables: Mapping[str, DataFrame]) -> dict[str, set[str]]:
         # four standard errors below the number of rows
         & (F.col("c.about") * (1 + 4 * SKETCH_ERROR) >= F.col("rows"))
     )
-    sizes, parts = {}, []
+    sizes, left, parts = {}, {}, []
     for row in possible.select("table_name", "rows", "c.name").collect():
         sizes[row["table_name"]] = row["rows"]
-        df = tables[row["table_name"]]
-        counted = distinct_counts(df, [f for f in df.schema.fields if f.name == row["name"]])
-        parts.append(counted.select(F.lit(row["table_name"]).alias("table_name"), "*"))
+        left.setdefault(row["table_name"], []).append(row["name"])
+    for name, columns in left.items():
+        df = tables[name].select(*[f"`{c}`" for c in columns])
+        if name in derived and len(columns) > 1:
+            df = cut_lineage(df, name)
+        parts.append(distinct_counts(df, df.schema.fields).select(F.lit(name).alias("table_name"), "*"))
     found: dict[str, set[str]] = {name: set() for name in tables}
-    for r in reduce(DataFrame.unionByName, parts).take(len(parts)) if parts else []:
+    for r in reduce(DataFrame.unionByName, parts).take(sum(map(len, left.values()))) if parts else []:
         if r["distinct_count"] == sizes[r["table_name"]]:
             found[r["table_name"]].add(r["column_name"])
     return found
@@ -191,18 +198,20 @@ def catalog(
     keys: Mapping[str, Sequence[str]] | None = None,
     measured: bool | Sequence[str] = True,
     counts: bool = True,
+    derived: Collection[str] = (),
 ) -> DataFrame:
     """Catalog rows, with the measured profile of all or of the named tables.
 
     A measured table without a declared key takes its first unique column as key.
-    Without ``counts`` only these keys are searched, and only tables that need one.
+    Without ``counts`` only these keys are searched, and only tables that need one; of
+    ``derived`` tables nothing but possible keys is stored for that.
     """
     base = catalog_columns(spark, tables, keys)
     chosen = tables if measured is True else {t: tables[t] for t in measured or ()}
     if not chosen:
         return base
     if not counts:
-        unique = unique_columns({t: df for t, df in chosen.items() if not (keys or {}).get(t)})
+        unique = unique_columns({t: df for t, df in chosen.items() if not (keys or {}).get(t)}, derived)
         first = dict(keys or {})
         for t, names in unique.items():
             first[t] = [c for c in tables[t].columns if c in names][:1]

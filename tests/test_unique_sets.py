@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecraft.operators import determinism as det
+from tablecraft.plans import catalogs
 from tablecraft.sources import profiles, tables
 
 
@@ -88,3 +89,40 @@ def test_only_new_files_are_read(spark, table, tmp_path):
 def test_unique_columns_of_small_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "b", 1.0), (3, "b", 2.0)], "k int, s string, x double")
     assert tables.unique_columns({"t": df, "none": df.where("k > 9")}) == {"t": {"k"}, "none": set()}
+
+
+def test_of_a_derived_table_only_several_possible_keys_are_stored(spark, monkeypatch):
+    stored = []
+
+    def kept(df, name="cut"):
+        stored.append((name, df.columns))
+        return df
+
+    monkeypatch.setattr(tables, "cut_lineage", kept)
+    df = spark.range(50).selectExpr("id AS k", "id % 3 AS v", "concat('n', id) AS s", "id + 0.5 AS x")
+    made = {"none": df.select("v"), "one": df.select("v", "k"), "more": df, "given": df}
+    found = tables.unique_columns(made, derived=["none", "one", "more"])
+    assert found == {"none": set(), "one": {"k"}, "more": {"k", "s", "x"}, "given": {"k", "s", "x"}}
+    assert stored == [("more", ["k", "s", "x"])]
+
+
+def test_the_fact_is_not_stored_to_find_that_it_has_no_key(spark, tmp_path, monkeypatch):
+    day = "timestamp_ntz'1996-01-01'"
+    made = {
+        "customer": "id AS c_custkey; concat('c', id) AS c_name; 1 AS c_nationkey; 1.5D AS c_acctbal; 'm' AS c_mktsegment",
+        "supplier": "id AS s_suppkey; 's' AS s_name; 1 AS s_nationkey; 1.5D AS s_acctbal",
+        "part": "id AS p_partkey; 'p' AS p_name; 'b' AS p_brand; 't' AS p_type; 1 AS p_size; 1.5D AS p_retailprice",
+        "orders": f"id AS o_orderkey; id % 4 AS o_custkey; 'F' AS o_orderstatus; 9D AS o_totalprice; {day} AS o_orderdate; '1' AS o_orderpriority",
+        "lineitem": "id AS l_orderkey; id % 5 AS l_partkey; id % 2 AS l_suppkey; 3D AS l_quantity; 2D AS l_extendedprice; 0D AS l_discount",
+        "events": f"id AS event_id; {day} AS ts; id % 3 AS user_id; 'a' AS event_type; 1D AS value; 'x' AS props",
+    }
+    for name, columns in made.items():
+        spark.range(12).selectExpr(*columns.split("; ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    stored = []
+    for module in (catalogs, tables):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, name="cut": stored.append(name) or df)
+    found = catalogs.built_catalog(spark, str(tmp_path)).where("is_primary_key").collect()
+    assert {(r["table_name"], r["column_name"]) for r in found if r["table_name"] in catalogs.MEASURED} == {
+        ("dim_customer", "c_custkey"), ("customer", "c_custkey"), ("orders", "o_orderkey"), ("events", "event_id")
+    }
+    assert stored == ["dim_customer"]
