@@ -193,11 +193,14 @@ class Ordered:
         )
 
 
-def ordered(df: DataFrame, part: Sequence[str], order: Sequence[str | Column]) -> Ordered:
+def ordered(
+    df: DataFrame, part: Sequence[str], order: Sequence[str | Column], sizes: tuple[int, int] | None = None
+) -> Ordered:
     """Prepare ``df`` for ordered functions; splits groups beyond the row limit.
 
     Without a group the rows are always split. ``order`` must be unique inside a group. The segments are stored, because a
-    segment number read twice from a shuffle could differ between the reads.
+    segment number read twice from a shuffle could differ between the reads. ``sizes`` are
+    the ``group_sizes``, or bounds above them, where they are known without computing ``df``.
     """
     if not order:
         raise ValueError("an ordered window needs an order")
@@ -205,7 +208,7 @@ def ordered(df: DataFrame, part: Sequence[str], order: Sequence[str | Column]) -
     limit = group_limit(spark)
     total = 0
     if part:
-        total, largest = group_sizes(df, part)
+        total, largest = sizes or group_sizes(df, part)
         if largest <= limit:
             return Ordered(df, tuple(part), tuple(order), split=False)
     segments = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / limit))

@@ -82,13 +82,21 @@ def _name() -> Column:
     return F.regexp_extract("_metadata.file_path", RELATIVE, 1).alias("file")
 
 
-def write_files(df: DataFrame, path: str, keys: Sequence[str], within: str | None = None) -> str:
+def write_files(
+    df: DataFrame, path: str, keys: Sequence[str], within: str | None = None, newest: str | None = None
+) -> str:
     """Write ``df`` ranged over ``keys`` into a new folder, whose name is returned.
 
-    ``within`` names a column whose values never share a file; it is not stored.
+    The rows of a file are in the order of ``keys``. ``within`` names a column whose values
+    never share a file; it is not stored. Of several rows of a key the one with the largest
+    value of ``newest`` is kept, without this column.
     """
     folder = f"data/{uuid.uuid4().hex}"
-    writer = df.repartitionByRange(*([within] if within else []), *keys).sortWithinPartitions(*keys).write
+    order = [*([within] if within else []), *keys]
+    ranged = df.repartitionByRange(*order)
+    if newest:  # the rows of a key are in one range
+        ranged = dedup_latest(ranged, keys, [F.desc(newest)]).drop("rn", newest)
+    writer = ranged.sortWithinPartitions(*order).write
     (writer.partitionBy(within) if within else writer).parquet(f"{path}/{folder}")
     return folder
 
@@ -96,18 +104,27 @@ def write_files(df: DataFrame, path: str, keys: Sequence[str], within: str | Non
 def file_rows(
     spark: SparkSession, path: str, folder: str, schema: StructType, keys: Sequence[str], tier: int, version: int
 ) -> DataFrame:
-    """The manifest rows of a folder: ranges of keys, rows and bytes of its files."""
-    key = F.struct(*[F.col(k) for k in keys])
-    stats = (
-        spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/{folder}")
-        .select(_name(), "_metadata.file_size", key.alias("k"))
-        .groupBy("file")
-        .agg(
-            F.min("k").alias("lo"), F.max("k").alias("hi"), F.count(F.lit(1)).alias("rows"),
-            F.first("file_size").alias("bytes"),
-        )
+    """The manifest rows of a folder of ``write_files``: ranges of keys, rows and bytes of its files.
+
+    The rows of a file are in order, so its range is its first and its last row, and no
+    column is read to count them.
+    """
+    read = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/{folder}")
+    at = F.col("_metadata.row_index")
+    sizes = cut_lineage(
+        read.groupBy(F.col("_metadata.file_path").alias("p")).agg(
+            F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes")
+        ),
+        "file-sizes",
+    )
+    key = F.struct(*[F.col(k) for k in keys]).alias("k")
+    ends = read.select(_name(), F.col("_metadata.file_path").alias("p"), at.alias("i"), key).join(
+        sizes.select("p", "rows", "bytes", F.explode(F.array_distinct(F.array(F.lit(0).cast("long"), F.col("rows") - 1))).alias("i")),
+        ["p", "i"],
     )
-    return stats.select(
+    return ends.groupBy("file").agg(
+        F.min("k").alias("lo"), F.max("k").alias("hi"), F.max("rows").alias("rows"), F.max("bytes").alias("bytes")
+    ).select(
         "*", F.lit(tier).alias("tier"), F.lit(version).cast("long").alias("added"),
         F.lit(None).cast("string").alias("ddl"),
     )

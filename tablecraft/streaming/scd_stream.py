@@ -21,13 +21,13 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tablecraft.functions.scalars import sentinel
-from tablecraft.operators.windows import dedup_latest, join_nullsafe, ordered
-from tablecraft.session import cut_lineage
+from tablecraft.operators.windows import Ordered, dedup_latest, group_sizes, join_nullsafe, ordered
+from tablecraft.session import cut_lineage, group_limit
 from tablecraft.sources import versions
 from tablecraft.sources.versions import ADDED
 
@@ -82,18 +82,34 @@ def _collapsed(points: DataFrame, keys: Sequence[str], tracked: Sequence[str], t
     return points.groupBy(*keys, ts_col).agg(last.alias("_s"), *old).select(*keys, ts_col, "_s.*", *([OLD] if old else []))
 
 
-def _touched(runs: DataFrame, points: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
-    """Of the keys of ``points`` the rows from the version that holds their first time on."""
+def _touched(runs: DataFrame, points: DataFrame, keys: Sequence[str], ts_col: str) -> tuple[DataFrame, DataFrame]:
+    """Of the keys of ``points`` the rows from the version that holds their first time on.
+
+    With them come the stored places among which they are, one row per key and time.
+    """
     low = points.groupBy(*keys).agg(F.min(ts_col).alias(LOW))
     near = (F.col(ts_col) >= F.col(LOW)) | (F.col(STARTS) & (F.col(UNTIL) >= F.col(LOW)))
     # a row may have been replaced by one that is not near, so the newest one of each place is read
     places = cut_lineage(
         join_nullsafe(runs.select(*keys, ts_col, STARTS, UNTIL), low, keys, "inner").where(near)
-        .select(*keys, ts_col).distinct(),
+        .select(*keys, ts_col, LOW).distinct(),
         "places",
     )
-    found = join_nullsafe(runs, places.withColumn("_hit", F.lit(True)), [*keys, ts_col], "inner").drop("_hit")
-    return join_nullsafe(_newest(found, keys, ts_col), low, keys, "inner").where(near).drop(LOW, ADDED)
+    found = join_nullsafe(runs, places, [*keys, ts_col], "inner")
+    return _newest(found, keys, ts_col).where(near).drop(LOW, ADDED), places
+
+
+def _with_ends(rows: Ordered, keys: Sequence[str], ts_col: str, state: Column) -> DataFrame:
+    """The points, whether they start a version, and if so until when."""
+    before = rows.lag(F.struct(state.alias("s")), "_before")
+    marked = before.df.withColumn(STARTS, F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(state)).drop("_before")
+    if not rows.split:  # the next start is the last one met from the end of the group, in the same task
+        later = Window.partitionBy(*keys).orderBy(F.desc(ts_col)).rowsBetween(Window.unboundedPreceding, -1)
+        following = F.last(F.when(F.col(STARTS), F.col(ts_col)), ignorenulls=True).over(later)
+        return marked.withColumn(UNTIL, F.when(F.col(STARTS), F.coalesce(following, sentinel())))
+    begun = rows.with_df(marked.where(STARTS)).lead(F.col(ts_col), UNTIL).df.withColumn(UNTIL, F.coalesce(UNTIL, sentinel()))
+    others = marked.where(~F.col(STARTS)).withColumn(UNTIL, F.lit(None).cast(begun.schema[UNTIL].dataType))
+    return begun.unionByName(others)
 
 
 def apply_batch(
@@ -115,24 +131,24 @@ def apply_batch(
     points = cut_lineage(_collapsed(batch.select(*keys, ts_col, *tracked, *tie), keys, tracked, ts_col, tie), "points")
     values = [*tracked, *tie]
     runs: Runs = {}
+    sizes = None
     if last >= 0:
         runs, schema = _state(spark, path, last)
-        old = _touched(_read(spark, path, schema, runs), points, keys, ts_col)
+        old, places = _touched(_read(spark, path, schema, runs), points, keys, ts_col)
         known = old.withColumn(OLD, F.struct(*[F.col(c) for c in [*values, STARTS, UNTIL]])).drop(STARTS, UNTIL)
-        points = _collapsed(points.unionByName(known, allowMissingColumns=True), keys, tracked, ts_col, tie)
+        # the points are among the new ones and the places, so these bound their groups
+        sizes = group_sizes(points.select(*keys).unionByName(places.select(*keys)), keys)
+        points = points.unionByName(known, allowMissingColumns=True)
+        if sizes[1] <= group_limit(spark):
+            points = points.repartition(*keys)  # as the windows below need them, so that they move once
+        points = _collapsed(points, keys, tracked, ts_col, tie)
     state = F.struct(*[F.col(c) for c in tracked])
-    rows = ordered(points, keys, [ts_col])
-    before = rows.lag(F.struct(state.alias("s")), "_before")
-    marked = before.df.withColumn(STARTS, F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(state)).drop("_before")
-    marked = cut_lineage(marked, "marked") if rows.split is False else marked
-    begun = rows.with_df(marked.where(STARTS)).lead(F.col(ts_col), UNTIL).df.withColumn(UNTIL, F.coalesce(UNTIL, sentinel()))
-    others = marked.where(~F.col(STARTS)).withColumn(UNTIL, F.lit(None).cast(begun.schema[UNTIL].dataType))
-    every = begun.unionByName(others)
+    every = _with_ends(ordered(points, keys, [ts_col], sizes), keys, ts_col, state)
     now = F.struct(*[F.col(c) for c in [*values, STARTS, UNTIL]])
     stored = [*keys, ts_col, *values, STARTS, UNTIL]
     if last >= 0:
         every = every.where(F.col(OLD).isNull() | ~F.col(OLD).eqNullSafe(now))
-    every = every.select(*stored)
+    every = cut_lineage(every.select(*stored), "ends")  # read to sample its ranges and to write them
     if last < 0:
         schema = _with_roles(every.schema, {"key": keys, "tracked": tracked, "at": [ts_col], "tie": tie})
     after = _merged(spark, path, schema, runs | {(1, batch_id): versions.write_files(every, path, [*keys, ts_col])}, fan)
@@ -164,8 +180,7 @@ def _merged(spark: SparkSession, path: str, schema: StructType, runs: Runs, fan:
     while any(t >= tier for t, _ in runs):
         full = {run: folder for run, folder in runs.items() if run[0] == tier}
         if len(full) >= fan:
-            rows = _newest(_read(spark, path, schema, full), keys, ts_col).select(*schema.names)
-            one = versions.write_files(rows, path, [*keys, ts_col])
+            one = versions.write_files(_read(spark, path, schema, full), path, [*keys, ts_col], newest=ADDED)
             runs = {run: folder for run, folder in runs.items() if run not in full}
             runs[tier + 1, max(added for _, added in full)] = one
         tier += 1

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecraft.functions.scalars import ts
-from tablecraft.operators import quality, scd, vault
+from tablecraft.operators import quality, scd, vault, windows
+from tablecraft.session import GROUP_ROWS_KEY
 from tablecraft.sources import versions
 from tablecraft.streaming import scd_stream
 
@@ -210,6 +211,41 @@ def test_rows_in_any_order_give_the_history_of_their_log(spark, tmp_path, seed):
     assert history_bag(scd_stream.read_history(spark, path, 5)) == history_bag(whole)
 
 
+@pytest.mark.parametrize("limit", ["1", "3"])
+def test_groups_beyond_the_limit_give_the_same_history(spark, tmp_path, limit):
+    rnd = random.Random(7)
+    data = [(rnd.choice([None, 1, 1, 2]), rnd.choice(["a", "b", None]), f"2024-01-{rnd.randint(1, 28):02d} 00:00:00", i) for i in range(24)]
+    path = str(tmp_path / "out")
+    spark.conf.set(GROUP_ROWS_KEY, limit)
+    try:
+        for number in range(2):
+            scd_stream.apply_batch(as_log(spark, data[number::2]), number, path, KEYS, TRACKED, "at", ["id"])
+    finally:
+        spark.conf.unset(GROUP_ROWS_KEY)
+    whole = scd.scd2_backfill(as_log(spark, data), KEYS, TRACKED, "at", ["id"])
+    assert history_bag(scd_stream.read_history(spark, path, 1)) == history_bag(whole)
+
+
+def test_groups_are_bounded_without_computing_the_joined_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    scd_stream.apply_batch(as_log(spark, [(1, "a", D1, 0), (2, "b", D1, 1)]), 0, path, KEYS, TRACKED, "at", ["id"])
+    stored = []
+
+    def kept(df, name="cut", cut=scd_stream.cut_lineage):
+        stored.append(name)
+        return cut(df, name)
+
+    def counted(*_):
+        raise AssertionError("the rows were computed to count their groups")
+
+    monkeypatch.setattr(scd_stream, "cut_lineage", kept)
+    monkeypatch.setattr(windows, "group_sizes", counted)
+    scd_stream.apply_batch(as_log(spark, [(1, "c", D2, 2), (3, "d", D1, 3)]), 1, path, KEYS, TRACKED, "at", ["id"])
+    assert stored == ["points", "places", "ends"]
+    data = [(1, "a", D1, 0), (2, "b", D1, 1), (1, "c", D2, 2), (3, "d", D1, 3)]
+    assert history_bag(scd_stream.read_history(spark, path, 1)) == walk(data)
+
+
 def test_a_batch_that_fails_before_publishing_is_applied_again(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "out")
     scd_stream.apply_batch(as_log(spark, [(1, "a", D1, 0)]), 0, path, KEYS, TRACKED, "at", ["id"])

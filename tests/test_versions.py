@@ -120,3 +120,37 @@ def test_empty_tables(spark, tmp_path):
     versions.merge(numbers(spark, 0, 3), path, KEYS)
     versions.merge(numbers(spark, 0, 3).where("k < 0"), path, KEYS)
     assert values(versions.read(spark, path, KEYS)) == {0: "a", 1: "a", 2: "a"}
+
+
+@pytest.mark.parametrize("within", [None, "part"])
+def test_ranges_of_files_come_from_their_ends_and_no_column_is_counted(spark, tmp_path, monkeypatch, within):
+    df = spark.range(3_000).selectExpr("IF(id % 50 = 0, NULL, id * 7919 % 3001) AS k", "concat('s', id * 31 % 997) AS s", "id % 3 AS part")
+    plans = []
+
+    def kept(frame, name="cut", cut=versions.cut_lineage):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return cut(frame, name)
+
+    monkeypatch.setattr(versions, "cut_lineage", kept)
+    path = str(tmp_path / "t")
+    found = versions.add_files(df if within else df.drop("part"), path, ["k", "s"], 0, 5, within).collect()
+    seen = {}
+    for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/data").select("k", "s", F.col("_metadata.file_path").alias("f")).collect():
+        seen.setdefault(r["f"].split("/t/")[1], []).append((r["k"] is not None, r["k"], r["s"]))
+    assert len(found) == len(seen) and sum(r["rows"] for r in found) == 3_000
+    for r in found:
+        low, high = min(seen[r["file"]], key=str_key), max(seen[r["file"]], key=str_key)
+        assert (tuple(r["lo"]), tuple(r["hi"]), r["rows"]) == (low[1:], high[1:], len(seen[r["file"]]))
+        assert r["bytes"] > 0 and r["added"] == 5
+    assert len(plans) == 1 and "ReadSchema: struct<>" in plans[0] and "SortAggregate" not in plans[0]
+
+
+def str_key(row):
+    return row[0], row[1] or 0, row[2]
+
+
+def test_files_keep_the_newest_row_of_a_key(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (None, "c", 1), (None, "d", 2), (2, "e", 0)], "k int, v string, n int")
+    folder = versions.write_files(df, str(tmp_path), ["k"], newest="n")
+    rows = spark.read.parquet(f"{tmp_path}/{folder}")
+    assert rows.columns == ["k", "v"] and sorted((r["v"], r["k"]) for r in rows.collect()) == [("b", 1), ("d", None), ("e", 2)]
