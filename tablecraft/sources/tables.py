@@ -151,8 +151,8 @@ def unique_columns(tables: Mapping[str, DataFrame], derived: Collection[str] = (
     only the values of the others are counted. The aggregates of all tables run as one
     job, and so do the counts. One row per table and per such column reaches the driver.
 
-    Tables named in ``derived`` are not stored: the first pass computes them whole, and most
-    large ones have no possible column left. One that is left is counted from the plan of
+    Tables named in ``derived`` are not stored: the first pass computes them whole, and
+    without a possible column that is all. One that is left is counted from the plan of
     the table; several are stored, without the other columns, and counted from there.
     """
     summaries = []
