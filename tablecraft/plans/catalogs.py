@@ -17,7 +17,7 @@ from tablecraft.plans import fixtures as fx
 from tablecraft.plans.basics import KEY_EDGES_SQL, NODES_SQL, key_edges, key_nodes
 from tablecraft.plans.history import customer_history
 from tablecraft.plans.registry import query
-from tablecraft.plans.stars import FACT_SQL, fact_sales
+from tablecraft.plans.stars import FACT_SQL, fact_members, fact_sales, sales_core
 from tablecraft.plans.vaults import hub_customer, link_rows, sat_customer
 from tablecraft.session import cut_lineage, work_path
 from tablecraft.sources import profiles
@@ -108,13 +108,13 @@ def catalog_sketched(spark, d):
 # ---------------------------------------------------- catalog of built tables
 
 
-def built_tables(spark, d):
+def built_tables(spark, d, members=None):
     return {
         "hub_customer": hub_customer(spark, d),
         "link_order_customer": link_rows(read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])),
         "sat_customer": sat_customer(spark, d),
         "dim_customer": customer_history(spark, d).withColumnRenamed("sk", "customer_sk"),
-        "fact_sales": fact_sales(spark, d),
+        "fact_sales": fact_sales(spark, d, members),
         "customer": read_table(spark, d, "customer"),
         "orders": read_table(spark, d, "orders"),
         "events": read_table(spark, d, "events"),
@@ -183,9 +183,15 @@ CATALOG_SQL = f"""
 
 
 def built_catalog(spark, d):
-    tables = built_tables(spark, d)
+    members = fact_members(spark, d)
+    tables = built_tables(spark, d, members)
     tables["dim_customer"] = cut_lineage(tables["dim_customer"], "dim_customer")  # has a key, so it is read again
-    found = catalog(spark, tables, DECLARED_KEYS, measured=MEASURED, counts=False, derived=["fact_sales"])
+    # every member, and the unknown one
+    core = sales_core(spark, d), {sk: dim.count() + 1 for sk, dim in members.items()}
+    found = catalog(
+        spark, tables, DECLARED_KEYS, measured=MEASURED, counts=False, derived=["fact_sales"],
+        cores={"fact_sales": core},
+    )
     return found.select("table_name", "column_name", "data_type", "ordinal", "is_primary_key")
 
 

@@ -52,39 +52,69 @@ def build_dim_customer_scd2(spark, d):
     return fx.with_text_stamps(dim)
 
 
-def fact_sales(spark, d):
-    """Line items with surrogate keys; customers unknown on day 1 get the unknown member.
+def fact_members(spark, d):
+    """Members of the fact's dimensions by surrogate key, which stands beside the natural one.
 
-    The orders, fewer than their lines, take the keys of their customers before they meet
-    the lines. The members are stored, so Spark knows which are small enough to broadcast.
+    They are stored, so Spark knows which are small enough to broadcast.
     """
     def members(src, key, sk):
         return cut_lineage(star.build_dim(src, [key], [], sk=sk), "members")
 
-    customers = members(fx.snapshot(spark, d, fx.DAY_1), "c_custkey", "customer_sk")
-    parts = members(read_table(spark, d, "part", ["p_partkey"]), "p_partkey", "part_sk")
-    suppliers = members(read_table(spark, d, "supplier", ["s_suppkey"]), "s_suppkey", "supplier_sk")
+    return {
+        "customer_sk": members(fx.snapshot(spark, d, fx.DAY_1), "c_custkey", "customer_sk"),
+        "part_sk": members(read_table(spark, d, "part", ["p_partkey"]), "p_partkey", "part_sk"),
+        "supplier_sk": members(read_table(spark, d, "supplier", ["s_suppkey"]), "s_suppkey", "supplier_sk"),
+    }
+
+
+def _order_columns():
+    return {
+        "o_orderkey": F.col("o_orderkey"),
+        "date_key": F.date_format("o_orderdate", "yyyyMMdd").cast("long"),
+    }
+
+
+def _sales(spark, d, orders):
+    return fx.fact_rows(spark, d).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _sales_measures():
+    return {
+        "quantity": units(F.col("quantity")),
+        "sales_amount": units(F.col("price")),
+        "discount_rate": units(F.col("discount")),
+    }
+
+
+def sales_core(spark, d):
+    """The rows of the fact before its lookups, each of which keeps every row at least once."""
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_orderdate"])
+    dated = star.build_fact(orders, {}, measures={}, degenerate=_order_columns())
+    return star.build_fact(
+        _sales(spark, d, dated), {}, measures=_sales_measures(), degenerate={"date_key": F.col("date_key")}
+    )
+
+
+def fact_sales(spark, d, members=None):
+    """Line items with surrogate keys; customers unknown on day 1 get the unknown member.
+
+    The orders, fewer than their lines, take the keys of their customers before they meet
+    the lines. ``members`` are the ``fact_members``, where they are stored already.
+    """
+    members = members or fact_members(spark, d)
     orders = star.build_fact(
         read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]),
-        {"customer_sk": (customers, "o_custkey", "c_custkey", "customer_sk")},
+        {"customer_sk": (members["customer_sk"], "o_custkey", "c_custkey", "customer_sk")},
         measures={},
-        degenerate={
-            "o_orderkey": F.col("o_orderkey"),
-            "date_key": F.date_format("o_orderdate", "yyyyMMdd").cast("long"),
-        },
+        degenerate=_order_columns(),
     )
-    sales = fx.fact_rows(spark, d).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     fact = star.build_fact(
-        sales,
+        _sales(spark, d, orders),
         {
-            "part_sk": (parts, "l_partkey", "p_partkey", "part_sk"),
-            "supplier_sk": (suppliers, "l_suppkey", "s_suppkey", "supplier_sk"),
-        },
-        measures={
-            "quantity": units(F.col("quantity")),
-            "sales_amount": units(F.col("price")),
-            "discount_rate": units(F.col("discount")),
+            "part_sk": (members["part_sk"], "l_partkey", "p_partkey", "part_sk"),
+            "supplier_sk": (members["supplier_sk"], "l_suppkey", "s_suppkey", "supplier_sk"),
         },
+        measures=_sales_measures(),
         degenerate={"customer_sk": F.col("customer_sk"), "date_key": F.col("date_key")},
     )
     return fact.select("customer_sk", "part_sk", "supplier_sk", "date_key", "quantity", "sales_amount", "discount_rate")

@@ -143,7 +143,13 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def unique_columns(tables: Mapping[str, DataFrame], derived: Collection[str] = ()) -> dict[str, set[str]]:
+#: A table before its lookups, and how many values each looked-up column can take.
+Core = tuple[DataFrame, Mapping[str, int]]
+
+
+def unique_columns(
+    tables: Mapping[str, DataFrame], derived: Collection[str] = (), cores: Mapping[str, Core] | None = None
+) -> dict[str, set[str]]:
     """Columns without NULL whose values never repeat, by table.
 
     One plain aggregate over a table rules out columns with a NULL, of whole numbers from a
@@ -154,10 +160,24 @@ def unique_columns(tables: Mapping[str, DataFrame], derived: Collection[str] = (
     Tables named in ``derived`` are not stored: the first pass computes them whole, and
     without a possible column that is all. One that is left is counted from the plan of
     the table; several are stored, without the other columns, and counted from there.
+
+    ``cores`` are tables before their lookups. A lookup keeps every row at least once, so a
+    column that repeats in the core repeats in the table, and so does a looked-up column
+    that can take fewer values than the core has rows. All columns are searched in the core
+    like that, and the table itself is computed only for those that are left.
     """
+    cores = cores or {}
+    looked_up = {name: core[1] for name, core in cores.items()}
+    searched = {name: cores[name][0] if name in cores else df for name, df in tables.items()}
     summaries = []
-    for name, df in tables.items():
-        cells = []
+    for name, df in searched.items():
+        cells = [
+            F.struct(
+                F.lit(c).alias("name"), F.count(F.lit(1)).alias("filled"),
+                F.lit(float(values)).alias("spread"), F.count(F.lit(1)).alias("about"),
+            )
+            for c, values in looked_up.get(name, {}).items()
+        ]
         for f in df.schema.fields:
             whole = isinstance(f.dataType, T.IntegralType)
             spread = F.max(f"`{f.name}`").cast("decimal(38,0)") - F.min(f"`{f.name}`") + 1
@@ -177,18 +197,29 @@ def unique_columns(tables: Mapping[str, DataFrame], derived: Collection[str] = (
         & (F.col("c.about") * (1 + 4 * SKETCH_ERROR) >= F.col("rows"))
     )
     sizes, left, parts = {}, {}, []
+    found: dict[str, set[str]] = {name: set() for name in tables}
     for row in possible.select("table_name", "rows", "c.name").collect():
-        sizes[row["table_name"]] = row["rows"]
-        left.setdefault(row["table_name"], []).append(row["name"])
+        name = row["table_name"]
+        sizes[name] = row["rows"]
+        if row["name"] in looked_up.get(name, ()):
+            found[name].add(row["name"])
+        else:
+            left.setdefault(name, []).append(row["name"])
     for name, columns in left.items():
-        df = tables[name].select(*[f"`{c}`" for c in columns])
+        df = searched[name].select(*[f"`{c}`" for c in columns])
         if name in derived and len(columns) > 1:
             df = cut_lineage(df, name)
         parts.append(distinct_counts(df, df.schema.fields).select(F.lit(name).alias("table_name"), "*"))
-    found: dict[str, set[str]] = {name: set() for name in tables}
     for r in reduce(DataFrame.unionByName, parts).take(sum(map(len, left.values()))) if parts else []:
         if r["distinct_count"] == sizes[r["table_name"]]:
             found[r["table_name"]].add(r["column_name"])
+    undecided = {
+        name: tables[name].select(*[f"`{c}`" for c in tables[name].columns if c in found[name]])
+        for name in cores
+        if found.get(name)
+    }
+    if undecided:
+        found |= unique_columns(undecided, derived)
     return found
 
 
@@ -199,19 +230,21 @@ def catalog(
     measured: bool | Sequence[str] = True,
     counts: bool = True,
     derived: Collection[str] = (),
+    cores: Mapping[str, Core] | None = None,
 ) -> DataFrame:
     """Catalog rows, with the measured profile of all or of the named tables.
 
     A measured table without a declared key takes its first unique column as key.
     Without ``counts`` only these keys are searched, and only tables that need one; of
-    ``derived`` tables nothing but possible keys is stored for that.
+    ``derived`` tables nothing but possible keys is stored for that, and of those in
+    ``cores`` the lookups are computed only where the core leaves a column.
     """
     base = catalog_columns(spark, tables, keys)
     chosen = tables if measured is True else {t: tables[t] for t in measured or ()}
     if not chosen:
         return base
     if not counts:
-        unique = unique_columns({t: df for t, df in chosen.items() if not (keys or {}).get(t)}, derived)
+        unique = unique_columns({t: df for t, df in chosen.items() if not (keys or {}).get(t)}, derived, cores)
         first = dict(keys or {})
         for t, names in unique.items():
             first[t] = [c for c in tables[t].columns if c in names][:1]

@@ -126,3 +126,46 @@ def test_the_fact_is_not_stored_to_find_that_it_has_no_key(spark, tmp_path, monk
         ("dim_customer", "c_custkey"), ("customer", "c_custkey"), ("orders", "o_orderkey"), ("events", "event_id")
     }
     assert stored == ["dim_customer"]
+
+
+def test_lookups_are_computed_only_where_the_core_leaves_a_column(spark):
+    core = spark.range(50).selectExpr("id % 3 AS v", "id AS k")
+    never = core.selectExpr("CAST(raise_error('computed') AS bigint) AS sk", "v")
+    # 49 values on 50 rows
+    assert tables.unique_columns({"t": never}, ["t"], {"t": (core.select("v"), {"sk": 49})}) == {"t": set()}
+    members = spark.range(50).selectExpr("id AS d", "id + 100 AS sk")
+
+    def found(dim, rows=core):
+        whole = rows.join(dim, F.col("k") == F.col("d"), "left").select("sk", "v", "k")
+        return tables.unique_columns({"t": whole}, cores={"t": (rows, {"sk": 51})})["t"]
+
+    assert found(members) == {"sk", "k"}
+    assert found(members.unionByName(members.where("d = 7"))) == set()  # the lookup repeats a row
+    assert found(members.where("d > 7")) == {"k"}
+    assert found(members, core.where("k > 99")) == set()
+
+
+def test_the_lookups_of_the_fact_are_not_computed_to_find_that_it_has_no_key(spark, tmp_path, monkeypatch):
+    day = "timestamp_ntz'1996-01-01'"
+    made = {
+        "customer": "id AS c_custkey; concat('c', id) AS c_name; 1 AS c_nationkey; 1.5D AS c_acctbal; 'm' AS c_mktsegment",
+        "supplier": "id AS s_suppkey; 's' AS s_name; 1 AS s_nationkey; 1.5D AS s_acctbal",
+        "part": "id AS p_partkey; 'p' AS p_name; 'b' AS p_brand; 't' AS p_type; 1 AS p_size; 1.5D AS p_retailprice",
+        "orders": f"id AS o_orderkey; id % 4 AS o_custkey; 'F' AS o_orderstatus; 9D AS o_totalprice; {day} AS o_orderdate; '1' AS o_orderpriority",
+        "lineitem": "id % 12 AS l_orderkey; id % 5 AS l_partkey; id % 2 AS l_suppkey; 3D AS l_quantity; 2D AS l_extendedprice; 0D AS l_discount",
+        "events": f"id AS event_id; {day} AS ts; id % 3 AS user_id; 'a' AS event_type; 1D AS value; 'x' AS props",
+    }
+    for name, columns in made.items():
+        lines = 40 if name == "lineitem" else 12
+        spark.range(lines).selectExpr(*columns.split("; ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    fact = catalogs.fact_sales
+
+    def never(*args):
+        return fact(*args).withColumn("part_sk", F.raise_error(F.lit("computed")).cast("long"))
+
+    monkeypatch.setattr(catalogs, "fact_sales", never)
+    keys = catalogs.built_catalog(spark, str(tmp_path)).where("is_primary_key").collect()
+    assert {r["column_name"] for r in keys if r["table_name"] in catalogs.MEASURED} == {
+        "c_custkey", "o_orderkey", "event_id"
+    }
+    assert not [r for r in keys if r["table_name"] == "fact_sales"]
