@@ -17,7 +17,7 @@ from tablecraft.plans import fixtures as fx
 from tablecraft.plans.basics import KEY_EDGES_SQL, NODES_SQL, key_edges, key_nodes
 from tablecraft.plans.history import customer_history
 from tablecraft.plans.registry import query
-from tablecraft.plans.stars import FACT_SQL, fact_members, fact_sales, sales_core
+from tablecraft.plans.stars import FACT_SQL, fact_members, fact_sales, sales_core, sales_join
 from tablecraft.plans.vaults import hub_customer, link_rows, sat_customer
 from tablecraft.session import cut_lineage, work_path
 from tablecraft.sources import profiles
@@ -190,7 +190,7 @@ def built_catalog(spark, d):
     core = sales_core(spark, d), {sk: dim.count() + 1 for sk, dim in members.items()}
     found = catalog(
         spark, tables, DECLARED_KEYS, measured=MEASURED, counts=False, derived=["fact_sales"],
-        cores={"fact_sales": core},
+        cores={"fact_sales": core}, joins={"fact_sales": sales_join(spark, d)},
     )
     return found.select("table_name", "column_name", "data_type", "ordinal", "is_primary_key")
 

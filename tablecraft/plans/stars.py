@@ -18,7 +18,7 @@ from tablecraft.plans import fixtures as fx
 from tablecraft.plans.registry import query
 from tablecraft.plans.scalars import calendar_sql
 from tablecraft.session import cut_lineage
-from tablecraft.sources.tables import read_table, rows
+from tablecraft.sources.tables import joined_rows, read_table, rows
 
 DIM_ATTRS = ["c_name", "c_mktsegment", "last_priority"]
 
@@ -86,15 +86,26 @@ def _sales_measures():
     }
 
 
+def _dated_orders(spark, d):
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_orderdate"])
+    return star.build_fact(orders, {}, measures={}, degenerate=_order_columns())
+
+
 def sales_core(spark, d):
     """The rows of the fact before its lookups, each of which keeps every row at least once."""
-    orders = read_table(spark, d, "orders", ["o_orderkey", "o_orderdate"])
-    dated = star.build_fact(orders, {}, measures={}, degenerate=_order_columns())
     return star.build_fact(
-        _sales(spark, d, dated), {}, measures=_sales_measures(), degenerate={"date_key": F.col("date_key")}
+        _sales(spark, d, _dated_orders(spark, d)), {}, measures=_sales_measures(),
+        degenerate={"date_key": F.col("date_key")},
     )
 
 
+def sales_join(spark, d):
+    """What ``sales_core`` joins: the dates of the orders, the measures of the lines, the number of rows."""
+    lines, orders = fx.fact_rows(spark, d), _dated_orders(spark, d)
+    measures = star.build_fact(lines, {}, measures=_sales_measures())
+    return [orders.select("date_key"), measures], joined_rows(lines, orders, "l_orderkey", "o_orderkey")
+
+
 def fact_sales(spark, d, members=None):
     """Line items with surrogate keys; customers unknown on day 1 get the unknown member.
 

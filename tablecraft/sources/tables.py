@@ -146,9 +146,49 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 #: A table before its lookups, and how many values each looked-up column can take.
 Core = tuple[DataFrame, Mapping[str, int]]
 
+#: The tables that a core joins, each with the columns it gives, and one row with the number of joined rows.
+Join = tuple[Sequence[DataFrame], DataFrame]
+
+
+def joined_rows(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """One row with the number of rows (``rows``) that the inner join on a key has.
+
+    Rows are counted per key before the shuffle, so a key travels once per task and side,
+    without the columns of its rows.
+    """
+    n = left.groupBy(F.col(left_key).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    m = right.groupBy(F.col(right_key).alias("_r")).agg(F.count(F.lit(1)).alias("_m"))
+    total = F.sum(F.col("_n") * F.col("_m"))
+    return n.join(m, F.col("_l") == F.col("_r")).agg(F.coalesce(total, F.lit(0)).alias("rows"))
+
+
+def _cell(name: str, nulls: Column, spread: Column, about: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("name"), nulls.cast("long").alias("nulls"),
+        spread.cast("double").alias("spread"), about.cast("long").alias("about"),
+    )
+
+
+def _value_cells(df: DataFrame, nulls: bool = True) -> list[Column]:
+    """Per column: its NULLs, how many whole numbers its range has, about how many values."""
+    cells = []
+    for f in df.schema.fields:
+        col = F.col(f"`{f.name}`")
+        whole = isinstance(f.dataType, T.IntegralType)
+        cells.append(
+            _cell(
+                f.name,
+                F.count(F.lit(1)) - F.count(col) if nulls else F.lit(0),
+                F.max(col).cast("decimal(38,0)") - F.min(col) + 1 if whole else F.lit(None),
+                F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(value_key(f)), SKETCH_LOG)),
+            )
+        )
+    return cells
+
 
 def unique_columns(
-    tables: Mapping[str, DataFrame], derived: Collection[str] = (), cores: Mapping[str, Core] | None = None
+    tables: Mapping[str, DataFrame], derived: Collection[str] = (), cores: Mapping[str, Core] | None = None,
+    joins: Mapping[str, Join] | None = None,
 ) -> dict[str, set[str]]:
     """Columns without NULL whose values never repeat, by table.
 
@@ -165,33 +205,33 @@ def unique_columns(
     column that repeats in the core repeats in the table, and so does a looked-up column
     that can take fewer values than the core has rows. All columns are searched in the core
     like that, and the table itself is computed only for those that are left.
+
+    ``joins`` name what a core joins. A column takes no value in the join that it has not in
+    its own table, so one with fewer values there than the join has rows repeats in the core;
+    the core itself is computed only for those that are left. NULLs of rows that may meet
+    none rule out nothing.
     """
-    cores = cores or {}
+    cores, joins = cores or {}, joins or {}
     looked_up = {name: core[1] for name, core in cores.items()}
     searched = {name: cores[name][0] if name in cores else df for name, df in tables.items()}
     summaries = []
     for name, df in searched.items():
         cells = [
-            F.struct(
-                F.lit(c).alias("name"), F.count(F.lit(1)).alias("filled"),
-                F.lit(float(values)).alias("spread"), F.count(F.lit(1)).alias("about"),
-            )
-            for c, values in looked_up.get(name, {}).items()
+            _cell(c, F.lit(0), F.lit(values), F.lit(values)) for c, values in looked_up.get(name, {}).items()
         ]
-        for f in df.schema.fields:
-            whole = isinstance(f.dataType, T.IntegralType)
-            spread = F.max(f"`{f.name}`").cast("decimal(38,0)") - F.min(f"`{f.name}`") + 1
-            cells.append(
-                F.struct(
-                    F.lit(f.name).alias("name"), F.count(F.col(f"`{f.name}`")).alias("filled"),
-                    (spread.cast("double") if whole else F.lit(None).cast("double")).alias("spread"),
-                    F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(value_key(f)), SKETCH_LOG)).alias("about"),
-                )
-            )
-        summaries.append(df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.array(*cells).alias("cells")))
+        if name in joins:
+            sources, size = joins[name]
+            found = [f"_cells_{i}" for i in range(len(sources))]
+            for out, source in zip(found, sources, strict=True):
+                size = size.crossJoin(source.agg(F.array(*_value_cells(source, nulls=False)).alias(out)))
+            looked = [F.array(*cells)] if cells else []
+            one = size.select("rows", F.concat(*looked, *found).alias("cells"))
+        else:
+            one = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*cells, *_value_cells(df)).alias("cells"))
+        summaries.append(one.select(F.lit(name).alias("table_name"), "rows", "cells"))
     summed = reduce(DataFrame.unionByName, summaries).select("table_name", "rows", F.explode("cells").alias("c"))
     possible = summed.where(
-        (F.col("rows") > 0) & (F.col("c.filled") == F.col("rows"))
+        (F.col("rows") > 0) & (F.col("c.nulls") == 0)
         & (F.col("c.spread").isNull() | (F.col("c.spread") >= F.col("rows")))
         # four standard errors below the number of rows
         & (F.col("c.about") * (1 + 4 * SKETCH_ERROR) >= F.col("rows"))
@@ -231,20 +271,22 @@ def catalog(
     counts: bool = True,
     derived: Collection[str] = (),
     cores: Mapping[str, Core] | None = None,
+    joins: Mapping[str, Join] | None = None,
 ) -> DataFrame:
     """Catalog rows, with the measured profile of all or of the named tables.
 
     A measured table without a declared key takes its first unique column as key.
     Without ``counts`` only these keys are searched, and only tables that need one; of
-    ``derived`` tables nothing but possible keys is stored for that, and of those in
-    ``cores`` the lookups are computed only where the core leaves a column.
+    ``derived`` tables nothing but possible keys is stored for that, of those in ``cores``
+    the lookups are computed only where the core leaves a column, and of cores in ``joins``
+    the join only where the tables it joins leave one.
     """
     base = catalog_columns(spark, tables, keys)
     chosen = tables if measured is True else {t: tables[t] for t in measured or ()}
     if not chosen:
         return base
     if not counts:
-        unique = unique_columns({t: df for t, df in chosen.items() if not (keys or {}).get(t)}, derived, cores)
+        unique = unique_columns({t: df for t, df in chosen.items() if not (keys or {}).get(t)}, derived, cores, joins)
         first = dict(keys or {})
         for t, names in unique.items():
             first[t] = [c for c in tables[t].columns if c in names][:1]

@@ -169,3 +169,60 @@ def test_the_lookups_of_the_fact_are_not_computed_to_find_that_it_has_no_key(spa
         "c_custkey", "o_orderkey", "event_id"
     }
     assert not [r for r in keys if r["table_name"] == "fact_sales"]
+
+
+def test_a_join_is_computed_only_where_the_joined_tables_leave_a_column(spark):
+    lines = spark.createDataFrame([(i % 10, i % 3, i) for i in range(40)], "k long, v long, w long")
+    orders = spark.createDataFrame([(i, 100 + i) for i in range(10)], "o long, x long")
+
+    def found(lines, orders, core=None):
+        core = core or lines.join(orders, F.col("k") == F.col("o")).select("v", "w", "x")
+        parts = [orders.select("x"), lines.select("v", "w")], tables.joined_rows(lines, orders, "k", "o")
+        whole = core.selectExpr("1L AS sk", "*")
+        return tables.unique_columns({"t": whole}, ["t"], {"t": (core, {"sk": 1})}, {"t": parts})["t"]
+
+    never = lines.selectExpr("CAST(raise_error('computed') AS bigint) AS v", "w", "1L AS x")
+    few = lines.withColumn("w", F.col("w") % 39)  # 39 values in 40 rows
+    assert found(few, orders, never) == set()
+    assert found(lines, orders) == {"w"}
+    assert found(lines, orders.unionByName(orders.where("o = 3"))) == set()  # lines 3, 13, 23, 33 twice
+    # lines that meet no order take their NULL and repeated values with them
+    lost = spark.createDataFrame([(77, None, None), (78, 1, 5), (None, 1, 5)], "k long, v long, w long")
+    assert found(lines.unionByName(lost), orders) == {"w"}
+    assert found(lines.unionByName(lost), orders.where("o = 4").withColumn("x", F.lit(None).cast("long"))) == {"w"}
+    assert found(lines.where("w < 2").unionByName(lost), orders) == {"v", "w", "x"}
+    assert found(lines.where("w < 2").withColumn("w", F.nullif("w", F.lit(1))), orders) == {"v", "x"}
+    assert found(lines, orders.where("o > 99")) == set()
+
+
+def test_joined_rows_are_counted_per_key(spark):
+    left = spark.createDataFrame([(k,) for k in [1, 1, 1, 2, 3, 3, None, None]], "a long")
+    right = spark.createDataFrame([(k,) for k in [1, 1, 3, 4, None]], "b long")
+    assert tables.joined_rows(left, right, "a", "b").collect()[0]["rows"] == 8
+    assert tables.joined_rows(left, right.where("b = 4"), "a", "b").collect()[0]["rows"] == 0
+
+
+def test_the_lines_do_not_meet_their_orders_to_find_that_the_fact_has_no_key(spark, tmp_path, monkeypatch):
+    day = "timestamp_ntz'1996-01-01'"
+    made = {
+        "customer": "id AS c_custkey; concat('c', id) AS c_name; 1 AS c_nationkey; 1.5D AS c_acctbal; 'm' AS c_mktsegment",
+        "supplier": "id AS s_suppkey; 's' AS s_name; 1 AS s_nationkey; 1.5D AS s_acctbal",
+        "part": "id AS p_partkey; 'p' AS p_name; 'b' AS p_brand; 't' AS p_type; 1 AS p_size; 1.5D AS p_retailprice",
+        "orders": f"id AS o_orderkey; id % 4 AS o_custkey; 'F' AS o_orderstatus; 9D AS o_totalprice; {day} AS o_orderdate; '1' AS o_orderpriority",
+        "lineitem": "id % 13 AS l_orderkey; id % 5 AS l_partkey; id % 2 AS l_suppkey; 3D AS l_quantity; 2D AS l_extendedprice; 0D AS l_discount",
+        "events": f"id AS event_id; {day} AS ts; id % 3 AS user_id; 'a' AS event_type; 1D AS value; 'x' AS props",
+    }
+    for name, columns in made.items():
+        lines = 40 if name == "lineitem" else 12
+        spark.range(lines).selectExpr(*columns.split("; ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    core = catalogs.sales_core
+
+    def never(*args):
+        return core(*args).withColumn("quantity", F.raise_error(F.lit("computed")).cast("double"))
+
+    monkeypatch.setattr(catalogs, "sales_core", never)
+    keys = catalogs.built_catalog(spark, str(tmp_path)).where("is_primary_key").collect()
+    assert {r["column_name"] for r in keys if r["table_name"] in catalogs.MEASURED} == {
+        "c_custkey", "o_orderkey", "event_id"
+    }
+    assert not [r for r in keys if r["table_name"] == "fact_sales"]
