@@ -200,8 +200,12 @@ class Encoder:
     def cut(self, text: str) -> list[str]:
         return self.units.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """All ids, the end id last; units met before are looked up."""
+    def encode(self, text: str | None) -> list[int]:
+        """All ids, the end id last."""
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str | None) -> np.ndarray:
+        """The ids of ``encode``, smaller in memory; units met before are looked up."""
         known = self.cache.get
         found = [known(u) or self.unit(u) for u in self.cut(text or "")]
         found.append(str(self.end).encode())
@@ -292,7 +296,7 @@ def encode_texts(docs: DataFrame, model: str, out: str = "ids") -> DataFrame:
         encode = encoder(model)
         for batch in batches:
             for piece in pieces(batch):
-                ids = [encode.encode(t) for t in piece.column("text").to_pylist()]
+                ids = [encode.encode_array(t) for t in piece.column("text").to_pylist()]
                 arrays = [piece.column(c) for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [*arrays, pa.array(ids, pa.list_(pa.int32()))], names=[*columns, out]
@@ -338,7 +342,7 @@ def round_trip(docs: DataFrame, model: str, ids: str = "token_ids", count: str =
         own = encoder(model)
         for batch in batches:
             for piece in pieces(batch, 64):
-                found = [own.encode(t) for t in piece.column(place).to_pylist()]
+                found = [own.encode_array(t) for t in piece.column(place).to_pylist()]
                 columns = list(piece.columns)
                 columns[place] = pa.array([own.decode(f.tolist()) for f in found], pa.string())
                 ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
