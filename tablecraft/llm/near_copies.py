@@ -15,6 +15,10 @@ on the bits. A bucket gives the edges of a spanning forest, not its pairs. Bucke
 dealt out in chunks of bounded size, every pair of chunks a task of its own, so none
 grows with the data.
 
+No side of a join is broadcast: the planner sees a table before its rows are multiplied
+by keys, or the size of its files, which is a fraction of what a broadcast holds. What a
+key owns once is stored before it meets the key's rows, so that a common key is split.
+
 The pipeline's stage (``keep_one``) keeps one row of every group.
 
 Defined cases: a null text is an empty one; texts without words have fingerprint zero
@@ -131,10 +135,11 @@ def links(nodes: DataFrame, distance: int, equal: int, blocks: int | None = None
             )
 
     dealt = nodes.select("fp", "more").mapInArrow(deal, "key long, fp long, more array<long>")
-    crowds = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowds = store(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "crowds")
     chunk = F.pmod(F.xxhash64("fp", "more"), F.col("chunks"))
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = (
-        dealt.join(crowds, "key")
+        dealt.hint("merge").join(crowds, "key")
         .withColumn("chunks", F.ceil(F.col("n") / F.lit(CHUNK)))
         .withColumn("chunk", chunk)
         # the pairs of chunks (i <= j) that this chunk is part of
@@ -146,6 +151,8 @@ def links(nodes: DataFrame, distance: int, equal: int, blocks: int | None = None
             "chunk",
             F.struct("fp", "more").alias("node"),
         )
+        # else the pairs of a key stay in one task; by number, as few bytes can be long work
+        .repartition(tasks, "key", "i", "j")
         .groupBy("key", "i", "j")
         .agg(
             F.collect_list(F.when(F.col("chunk") == F.col("i"), F.col("node"))).alias("left"),
@@ -224,15 +231,16 @@ def grouped(prints: DataFrame, distance: int, equal: int, blocks: int | None = N
     nodes = store(prints.groupBy("fp", "more").agg(F.min("doc_id").alias("first")), "nodes")
     edges = links(nodes, distance, equal, blocks)
     found = components(edges.select("a", "b"))
-    named = nodes.withColumn("node", F.concat(F.array("fp"), "more")).join(found, "node")
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = nodes.withColumn("node", F.concat(F.array("fp"), "more")).hint("merge").join(found, "node")
+    named = store(named, "named")
+    least = store(named.groupBy("component").agg(F.min("first").alias("component_id")), "least")
     linked = store(
-        named.join(least, "component").select("fp", "more", "component", "component_id"), "components"
+        named.hint("merge").join(least, "component").select("fp", "more", "component", "component_id"), "components"
     )
-    alone = nodes.join(linked, ["fp", "more"], "left_anti").select(
+    alone = nodes.hint("merge").join(linked, ["fp", "more"], "left_anti").select(
         "fp", "more", F.concat(F.array("fp"), "more").alias("component"), F.col("first").alias("component_id")
     )
-    return prints.join(store(linked.unionByName(alone), "groups"), ["fp", "more"])
+    return prints.hint("merge").join(store(linked.unionByName(alone), "groups"), ["fp", "more"])
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -274,7 +282,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
         .select("first.key")
     )
-    kept = keyed.join(store(keepers, "keepers"), "key", "left_semi")
+    kept = keyed.hint("merge").join(store(keepers, "keepers"), "key", "left_semi")
     first = Window.partitionBy("key").orderBy(F.xxhash64(*plain.columns))
     return (
         kept.withColumn("at", F.row_number().over(first)).where("at = 1").select(*plain.columns).toDF(*docs.columns)

@@ -12,8 +12,8 @@ import xxhash
 from conftest import texts_of
 from pyspark.sql import functions as F
 
-from tablecraft.llm import multiset, near_copies, repeats, shards
-from tablecraft.llm.common import components, rank_rows
+from tablecraft.llm import common, multiset, near_copies, repeats, shards
+from tablecraft.llm.common import components, rank_rows, store
 from tablecraft.llm.queries import QUERIES
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -271,6 +271,21 @@ def test_null_and_repeated_ids_join_nothing(spark):
     assert {t: k for k, t in kept} == {t: 3 if k == 9 else None if k < 6 else 7 for k, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("run", [near_copies.keep_one])
+def test_no_side_of_a_join_is_broadcast(odd, monkeypatch, run):
+    """Rows are multiplied after the planner has sized them; stored files are smaller than their rows."""
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    for module in (near_copies, common):
+        monkeypatch.setattr(module, "store", lambda df, name: store(planned(df), name))
+    assert planned(run(odd)).count()
+    assert sum("SortMergeJoin" in p for p in plans) >= 5 and not any("Broadcast" in p for p in plans)
+
+
 # --- repeats
 
 
