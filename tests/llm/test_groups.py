@@ -271,7 +271,7 @@ def test_null_and_repeated_ids_join_nothing(spark):
     assert {t: k for k, t in kept} == {t: 3 if k == 9 else None if k < 6 else 7 for k, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("run", [near_copies.keep_one])
+@pytest.mark.parametrize("run", [near_copies.keep_one, near_copies.near_copies])
 def test_no_side_of_a_join_is_broadcast(odd, monkeypatch, run):
     """Rows are multiplied after the planner has sized them; stored files are smaller than their rows."""
     plans = []
