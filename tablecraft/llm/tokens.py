@@ -42,6 +42,13 @@ UNITS = 150_000
 PAIRS = 150_000
 
 
+class Ids(list):
+    """A list of ids that also converts as an array does."""
+
+    def tolist(self) -> list[int]:
+        return list(self)
+
+
 class Encoder:
     """Pieces of a model file, read with its own library, and the encoder over them."""
 
@@ -202,7 +209,7 @@ class Encoder:
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
-        return self.encode_array(text).tolist()
+        return Ids(self.encode_array(text).tolist())
 
     def encode_array(self, text: str | None) -> np.ndarray:
         """The ids of ``encode``, smaller in memory; units met before are looked up."""

@@ -223,7 +223,7 @@ def unique_columns(
             sources, size = joins[name]
             found = [f"_cells_{i}" for i in range(len(sources))]
             for out, source in zip(found, sources, strict=True):
-                size = size.crossJoin(source.agg(F.array(*_value_cells(source, nulls=False)).alias(out)))
+                size = size.join(source.agg(F.array(*_value_cells(source, nulls=False)).alias(out)))  # one row each
             looked = [F.array(*cells)] if cells else []
             one = size.select("rows", F.concat(*looked, *found).alias("cells"))
         else:
